@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from checks import queries_relational
+from checks import queries_events, queries_relational
 from checks.views import with_views
 
-RAW = {**queries_relational.SQL}
+RAW = {**queries_relational.SQL, **queries_events.SQL}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -9,7 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.operators import hierarchy
+from millrace.operators.sessions import sessionise
+from millrace.plans import clickstream as click
+from millrace.plans import governance as gov
 from millrace.plans import relational as rel
+from millrace.plans import semistructured as semi
 from millrace.session import prepare
 from millrace.sources.retail import AS_OF_EVENTS, AS_OF_ORDERS, SESSION_GAP_S, Retail
 
@@ -24,6 +28,10 @@ def _calendar(r: Retail) -> DataFrame:
     return rel.calendar_orders(rel.date_dim(r.spark, first.date(), days), r.orders)
 
 
+def _sessions(r: Retail) -> DataFrame:
+    return click.session_report(r.user_events, AS_OF_EVENTS, SESSION_GAP_S)
+
+
 RELATIONAL: dict[str, Query] = {
     "active_customers": lambda r: rel.active_customers(r.customers, ["NATION_1", "NATION_2"]),
     "recent_customers": lambda r: rel.recent_customers(r.customers, AS_OF_ORDERS, months=72),
@@ -57,7 +65,38 @@ RELATIONAL: dict[str, Query] = {
     "name_distance": lambda r: rel.name_distance(r.customers),
 }
 
-QUERIES: dict[str, Query] = {**RELATIONAL}
+EVENTS: dict[str, Query] = {
+    "json_typed": lambda r: semi.typed_events(r.raw_events),
+    "json_items": lambda r: semi.json_items(r.raw_events),
+    "json_profiles": lambda r: semi.json_profiles(r.raw_events),
+    "json_purchases": lambda r: semi.json_purchases(r.raw_events),
+    "json_corrupt": lambda r: semi.json_corrupt(r.raw_events),
+    "json_keys": lambda r: semi.json_keys(r.raw_events),
+    "split_kv": lambda r: semi.raw_log_pairs(r.raw_events),
+    "topk_carts": lambda r: semi.topk_carts(r.user_events, AS_OF_EVENTS),
+    "order_payloads": lambda r: semi.order_payloads(r.order_items),
+    "daily_user_metrics": lambda r: click.daily_user_metrics(r.user_events, AS_OF_EVENTS).drop("approx_unique_events"),
+    "sessionise": lambda r: sessionise(
+        r.user_events.select("event_id", "user_id", "event_ts"), "user_id", "event_ts", "event_id", SESSION_GAP_S
+    ),
+    "session_metrics": lambda r: _sessions(r).withColumn("median_lat", F.round("median_lat", 6))
+    .withColumn("median_lon", F.round("median_lon", 6))
+    .drop("device_type", "country"),
+    "session_p95": lambda r: click.session_p95(_sessions(r)),
+    "enriched_events": lambda r: click.enriched_events(r.user_events, r.session_lookup),
+    "state_path": lambda r: click.state_path(r.user_state_changes),
+}
+
+GOVERNANCE: dict[str, Query] = {
+    "secure_customers": lambda r: gov.role_views(
+        r.customers, r.role_country_map, ["ACCOUNTADMIN", "SECURITY_ADMIN", "PII_ADMIN", "R0"]
+    ),
+    "pii_projection": lambda r: gov.pii_projection(r.customers),
+    "order_risk": lambda r: gov.order_risk(r.orders, r.customers, AS_OF_ORDERS, days=30),
+    "customer_audit_log": lambda r: gov.customer_audit_log(r.customers, AS_OF_ORDERS),
+}
+
+QUERIES: dict[str, Query] = {**RELATIONAL, **EVENTS, **GOVERNANCE}
 
 
 def run(name: str, spark: SparkSession, sf_dir: str) -> DataFrame:
