@@ -147,15 +147,19 @@ VIEWS = {
         FROM v_bronze1 b FULL JOIN (SELECT * FROM v_feed WHERE NOT (action = 'DELETE' AND is_update)) f
           ON b.order_id = f.order_id
         WHERE b.order_id IS NOT NULL OR f.action = 'INSERT'""",
-    # One day before the run: older segments, countries and hashes for some customers.
+    # Left by earlier runs: older segments and countries for some customers, two versions for others.
     "v_dim0": """
-        SELECT row_number() OVER (ORDER BY customer_id) AS customer_sk, customer_id, full_name,
-               email_hash, CASE WHEN customer_id % 13 = 5 THEN 'NATION_OLD' ELSE country END AS country,
-               CASE WHEN customer_id % 10 = 1 THEN CASE segment WHEN 'VIP' THEN 'STANDARD' ELSE 'VIP' END
-                    ELSE segment END AS segment,
-               CASE WHEN customer_id % 7 = 2 THEN TIMESTAMP '1999-01-01 00:00:00' ELSE TIMESTAMP '2000-01-01 00:00:00' END
-                   AS valid_from, CAST(NULL AS TIMESTAMP) AS valid_to, true AS is_current
-        FROM v_dim_source WHERE customer_id % 4 <> 3""",
+        SELECT row_number() OVER (ORDER BY customer_id, valid_from) AS customer_sk, *
+        FROM (SELECT customer_id, full_name, email_hash, CASE WHEN customer_id % 13 = 5 THEN 'NATION_OLD' ELSE country END AS country,
+                     CASE WHEN customer_id % 10 = 1 THEN CASE segment WHEN 'VIP' THEN 'STANDARD' ELSE 'VIP' END
+                          ELSE segment END AS segment,
+                     CASE WHEN customer_id % 7 = 2 THEN TIMESTAMP '1999-01-01 00:00:00' ELSE TIMESTAMP '2000-01-01 00:00:00' END
+                         AS valid_from, CAST(NULL AS TIMESTAMP) AS valid_to, true AS is_current
+              FROM v_dim_source WHERE customer_id % 4 <> 3
+              UNION ALL
+              SELECT customer_id, full_name, email_hash, 'NATION_OLD', 'STANDARD', TIMESTAMP '1998-01-01 00:00:00',
+                     TIMESTAMP '1999-01-01 00:00:00', false
+              FROM v_dim_source WHERE customer_id % 4 <> 3 AND customer_id % 7 = 2)""",
     "v_dim_source": """
         SELECT customer_id, first_name || ' ' || last_name AS full_name, sha256(lower(email)) AS email_hash, country,
                CASE WHEN vip THEN 'VIP' ELSE 'STANDARD' END AS segment, signup_ts
@@ -165,7 +169,7 @@ VIEWS = {
         WHERE signup_ts >= TIMESTAMP '2001-08-01 00:00:00' OR customer_id IN (SELECT customer_id FROM v_feed)""",
     "v_dim_expired": """
         SELECT d.customer_id FROM v_dim0 d JOIN v_dim_scope s USING (customer_id)
-        WHERE d.email_hash <> s.email_hash OR d.country <> s.country OR d.segment <> s.segment""",
+        WHERE d.is_current AND (d.email_hash <> s.email_hash OR d.country <> s.country OR d.segment <> s.segment)""",
     "v_dim_new": """
         SELECT (SELECT max(customer_sk) FROM v_dim0) + row_number() OVER (ORDER BY customer_id) AS customer_sk, *
         FROM (SELECT customer_id, full_name, email_hash, country, segment,
@@ -176,9 +180,9 @@ VIEWS = {
               FROM v_dim_scope WHERE customer_id NOT IN (SELECT customer_id FROM v_dim0))""",
     "v_dim": """
         SELECT customer_sk, customer_id, full_name, email_hash, country, segment, valid_from,
-               CASE WHEN customer_id IN (SELECT customer_id FROM v_dim_expired)
+               CASE WHEN is_current AND customer_id IN (SELECT customer_id FROM v_dim_expired)
                     THEN TIMESTAMP '2001-08-02 00:00:00' ELSE valid_to END AS valid_to,
-               customer_id NOT IN (SELECT customer_id FROM v_dim_expired) AS is_current
+               is_current AND customer_id NOT IN (SELECT customer_id FROM v_dim_expired) AS is_current
         FROM v_dim0
         UNION ALL SELECT customer_sk, customer_id, full_name, email_hash, country, segment, valid_from, valid_to, is_current
         FROM v_dim_new""",
@@ -193,7 +197,7 @@ VIEWS = {
                CAST(b.order_ts AS DATE) AS order_date, b.order_status, CAST(b.total_amount AS DECIMAL(14,2)) AS gross_amount,
                CAST(0 AS DECIMAL(14,2)) AS tax_amount, CAST(b.total_amount AS DECIMAL(14,2)) AS net_amount,
                CAST(0 AS BIGINT) AS line_count, CAST(NULL AS VARCHAR) AS payload
-        FROM v_bronze1 b JOIN v_dim0 d USING (customer_id) WHERE b.order_id % 3 = 0""",
+        FROM v_bronze1 b JOIN v_dim0 d ON d.customer_id = b.customer_id AND d.is_current WHERE b.order_id % 3 = 0""",
     "v_fact_source": """
         SELECT f.order_id, f.action, d.customer_sk, CAST(f.order_ts AS DATE) AS order_date, f.order_status,
                CAST(f.total_amount AS DECIMAL(14,2)) AS gross_amount,
@@ -233,6 +237,25 @@ VIEWS = {
         JOIN v_customers c ON c.customer_id = w.customer_id
         LEFT JOIN v_top_category t ON t.customer_id = w.customer_id
         WHERE c.country IN (SELECT country FROM v_customers WHERE is_active)""",
+    "v_top_category_earlier": """
+        SELECT customer_id, category, qty
+        FROM (SELECT customer_id, category, qty,
+                     row_number() OVER (PARTITION BY customer_id ORDER BY qty DESC, category) AS rn
+              FROM (SELECT o.customer_id, p.category, CAST(sum(i.quantity) AS DECIMAL(18,0)) AS qty
+                    FROM v_orders o JOIN v_order_items i USING (order_id) JOIN v_products p USING (sku)
+                    WHERE o.order_ts >= TIMESTAMP '2001-07-01 00:00:00' - INTERVAL 30 DAY
+                    GROUP BY ALL))
+        WHERE rn = 1""",
+    "v_c360_earlier": """
+        SELECT w.customer_id, DATE '2001-07-01' AS snapshot_date, w.total_spend_30d, w.order_count_30d, w.last_order_ts,
+               t.category AS top_category, '{"country":"' || c.country || '","tier":"gold"}' AS traits
+        FROM (SELECT customer_id, CAST(sum(total_amount) AS DECIMAL(18,2)) AS total_spend_30d,
+                     CAST(count(*) AS INTEGER) AS order_count_30d, max(order_ts) AS last_order_ts
+              FROM v_orders WHERE order_ts >= TIMESTAMP '2001-07-01 00:00:00' - INTERVAL 30 DAY
+                              AND order_ts < TIMESTAMP '2001-07-01 00:00:00' GROUP BY customer_id) w
+        JOIN v_customers c ON c.customer_id = w.customer_id
+        LEFT JOIN v_top_category_earlier t ON t.customer_id = w.customer_id
+        WHERE c.country IN (SELECT country FROM v_customers WHERE is_active)""",
 }
 
 _NAME = re.compile(r"\bv_[a-z_0-9]+\b")

@@ -3,32 +3,40 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import date
+from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from millrace.functions.semantics import order_asc
 from millrace.operators import hierarchy
+from millrace.operators import writes as wr
+from millrace.operators.changes import as_of_read
 from millrace.operators.sessions import sessionise
+from millrace.plans import cdc
 from millrace.plans import clickstream as click
+from millrace.plans import customer360 as c360
 from millrace.plans import governance as gov
 from millrace.plans import relational as rel
 from millrace.plans import semistructured as semi
+from millrace.plans import warehouse as dwh
 from millrace.session import prepare
-from millrace.sources.retail import AS_OF_EVENTS, AS_OF_ORDERS, SESSION_GAP_S, Retail
+from millrace.sources.history import BRIDGE_DAY, EARLIER, History
+from millrace.sources.retail import AS_OF_EVENTS, AS_OF_ORDERS, SESSION_GAP_S, ntz
 
-Query = Callable[[Retail], DataFrame]
+Query = Callable[[History], DataFrame]
 SNAPSHOT = AS_OF_ORDERS.date()
+AS_OF_MIDDLE = datetime(1999, 6, 1)
 
 
-def _calendar(r: Retail) -> DataFrame:
+def _calendar(r: History) -> DataFrame:
     # Two dates reach the driver; they size the calendar.
     first, last = r.orders.agg(F.min("order_ts"), F.max("order_ts")).first()
     days = (last.date() - first.date()).days + 1
     return rel.calendar_orders(rel.date_dim(r.spark, first.date(), days), r.orders)
 
 
-def _sessions(r: Retail) -> DataFrame:
+def _sessions(r: History) -> DataFrame:
     return click.session_report(r.user_events, AS_OF_EVENTS, SESSION_GAP_S)
 
 
@@ -96,8 +104,108 @@ GOVERNANCE: dict[str, Query] = {
     "customer_audit_log": lambda r: gov.customer_audit_log(r.customers, AS_OF_ORDERS),
 }
 
-QUERIES: dict[str, Query] = {**RELATIONAL, **EVENTS, **GOVERNANCE}
+NEW_CUSTOMERS = [
+    ("Alice", "Singh", "alice@example.com", date(2024, 1, 15), "IN"),
+    ("Bob", "Khan", "bob@example.com", date(2024, 2, 20), "US"),
+    ("Charlie", "Lopez", "chuck@example.com", date(2024, 3, 5), "MX"),
+]
+
+
+def _insert(r: History) -> DataFrame:
+    """Insert rows that name neither key nor activity into the customer table."""
+    table = r.customers.select(
+        "customer_id", "first_name", "last_name", "email", F.to_date("signup_ts").alias("signup_date"), "country", "is_active"
+    )
+    rows = r.spark.createDataFrame(
+        NEW_CUSTOMERS, "first_name string, last_name string, email string, signup_date date, country string"
+    )
+    keyed = wr.assign_surrogate_keys(
+        rows, [order_asc("signup_date"), order_asc("email")], "customer_id", dwh.next_key(table, "customer_id")
+    )
+    return table.unionByName(wr.apply_defaults(keyed, table.schema, {"is_active": F.lit(True)}))
+
+
+def _blank(r: History) -> DataFrame:
+    blank = F.col("email").isNull() | (F.trim("email") == "")
+    return wr.delete_where(r.customers.select("customer_id", "email"), blank)
+
+
+def _inactive(r: History) -> DataFrame:
+    old = F.col("signup_ts") < rel.since(AS_OF_ORDERS, "3 years")
+    return wr.update_where(r.customers, old, {"is_active": F.lit(False)}).select("customer_id", "is_active")
+
+
+def _upsert(r: History) -> wr.MergeResult:
+    return c360.upsert_360(r.c360_before, r.snapshot, AS_OF_ORDERS)
+
+
+def _restore(r: History) -> DataFrame:
+    """Bring rows of an earlier version back into the present table."""
+    channel = r.orders.select("order_id", "channel")
+    columns = ["order_id", "total_amount", "order_status", "channel"]
+    present = r.bronze_v2.join(channel, "order_id").select(*columns)
+    earlier = r.bronze_v1.join(channel, "order_id").select(*columns)
+    restored = {c: F.col(f"s.{c}") for c in ["total_amount", "order_status"]}
+    return wr.merge_into(
+        present,
+        earlier,
+        ["order_id"],
+        matched=[wr.Matched("update", None, restored)],
+        not_matched=[wr.NotMatched({c: F.col(f"s.{c}") for c in columns})],
+    ).rows
+
+
+def _silver(r: History) -> DataFrame:
+    return cdc.silver_merge(r.silver_before, r.feed, AS_OF_ORDERS).rows
+
+
+def _gold(r: History) -> DataFrame:
+    before = cdc.gold_rows(r.silver_before).withColumn("updated_at", ntz(EARLIER))
+    return cdc.gold_merge(before, _silver(r), AS_OF_ORDERS, days=30).rows.drop("updated_at")
+
+
+def _dim(r: History) -> DataFrame:
+    scope = dwh.dim_scope(r.dim_source, r.feed, AS_OF_ORDERS)
+    return dwh.scd2_merge(r.dim_before, r.dim_source, scope, AS_OF_ORDERS)[0]
+
+
+def _fact(r: History) -> DataFrame:
+    return dwh.fact_merge(r.fact_before, r.feed, r.order_items, _dim(r), AS_OF_ORDERS)[0]
+
+
+WRITES: dict[str, Query] = {
+    "values_insert": _insert,
+    "update_inactive": _inactive,
+    "delete_blank_email": _blank,
+    "surrogate_keys": lambda r: wr.assign_surrogate_keys(
+        r.customers, [order_asc("signup_ts"), order_asc("customer_id")], "customer_sk"
+    ).select("customer_id", "customer_sk"),
+    "merge_upsert": lambda r: _upsert(r).log.select(
+        "customer_id", "snapshot_date", "total_spend_30d", "order_count_30d", F.col("_action").alias("action")
+    ),
+    "merge_counts": lambda r: _upsert(r).counts,
+    "merge_restore": _restore,
+    "change_feed": lambda r: r.feed.select("order_id", "action", "is_update", "order_status", "total_amount"),
+    "cdc_silver_merge": lambda r: _silver(r).select("order_id", "order_status", "total_amount", "is_high_value", "is_deleted"),
+    "cdc_gold_daily": _gold,
+    "late_orders_alert": lambda r: cdc.late_orders(_silver(r), AS_OF_ORDERS).drop("alert_ts"),
+}
+
+WAREHOUSE: dict[str, Query] = {
+    "scd2_customers": lambda r: _dim(r).drop("customer_sk", "attrs"),
+    "fact_merge": lambda r: _fact(r).drop("order_sk", "payload_parts", "loaded_at"),
+    "bridge_rebuild": lambda r: dwh.bridge_rebuild(r.bridge_before, _fact(r), r.order_items, r.products, BRIDGE_DAY),
+    "orphan_rejects": lambda r: dwh.orphan_rejects(r.feed, _dim(r), "run").drop("run_id"),
+    "vip_history": lambda r: dwh.vip_history(_dim(r)),
+    "as_of_read": lambda r: as_of_read(_dim(r), ntz(AS_OF_MIDDLE)).select("customer_id", "segment", "valid_from", "valid_to"),
+    "customer_360": lambda r: r.snapshot.drop("churn_score", "unique_sessions", "hll_sessions"),
+    "top_category": lambda r: c360.top_category(r.orders, r.order_items, r.products, AS_OF_ORDERS),
+    "campaign_join": lambda r: rel.campaign_join(r.snapshot, r.customers, r.campaign_attribution, SNAPSHOT, AS_OF_EVENTS),
+    "hll_rollup": lambda r: c360.hll_rollup(c360.daily_sketches(r.orders), AS_OF_ORDERS),
+}
+
+QUERIES: dict[str, Query] = {**RELATIONAL, **EVENTS, **GOVERNANCE, **WRITES, **WAREHOUSE}
 
 
 def run(name: str, spark: SparkSession, sf_dir: str) -> DataFrame:
-    return QUERIES[name](Retail(prepare(spark), sf_dir))
+    return QUERIES[name](History(prepare(spark), sf_dir))
