@@ -16,6 +16,7 @@ from millrace.operators.sessions import sessionise
 from millrace.plans import cdc
 from millrace.plans import clickstream as click
 from millrace.plans import customer360 as c360
+from millrace.plans import fileflows as flow
 from millrace.plans import governance as gov
 from millrace.plans import relational as rel
 from millrace.plans import semistructured as semi
@@ -204,7 +205,15 @@ WAREHOUSE: dict[str, Query] = {
     "hll_rollup": lambda r: c360.hll_rollup(c360.daily_sketches(r.orders), AS_OF_ORDERS),
 }
 
-QUERIES: dict[str, Query] = {**RELATIONAL, **EVENTS, **GOVERNANCE, **WRITES, **WAREHOUSE}
+FLOWS: dict[str, Query] = {
+    name: getattr(flow, name)
+    for name in [
+        "load_json", "load_csv", "load_json_array", "filename_date", "load_audit", "unload_parquet", "table_profile",
+        "auto_ingest", "append_feed", "stream_sessions", "rebuild_partitions", "run_audit", "dwh_refresh", "churn_model",
+    ]
+}
+
+QUERIES: dict[str, Query] = {**RELATIONAL, **EVENTS, **GOVERNANCE, **WRITES, **WAREHOUSE, **FLOWS}
 
 
 def run(name: str, spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -15,6 +15,8 @@ RUNTIME = {
     # A join whose output feeds an aggregation on the same key is otherwise left
     # unsplit, because splitting costs one more shuffle.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Folders of a date-partitioned table are listed by this many tasks, not one each.
+    "spark.sql.sources.parallelPartitionDiscovery.parallelism": "200",
 }
 
 
@@ -32,6 +34,7 @@ def local_session(cores: int | str = 8, shuffle_partitions: int = 8, memory: str
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.driver.memory", memory)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.warehouse.dir", os.path.join(tempfile.gettempdir(), "millrace-warehouse"))
     )
     spark = builder.getOrCreate()
