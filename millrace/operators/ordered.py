@@ -52,6 +52,13 @@ def hot_keys(df: DataFrame, keys: list[str], limit: int | None = None) -> DataFr
     return stage(counted, "hot-keys")
 
 
+@dataclass(frozen=True)
+class Hot:
+    """The outcome of a look for hot keys, to share between steps over the same keys."""
+
+    keys: DataFrame | None
+
+
 def split_hot(df: DataFrame, hot: DataFrame, keys: list[str]) -> tuple[DataFrame, DataFrame]:
     """(rows of ordinary keys, rows of hot keys)."""
     on = match_keys("d", "h", keys)
@@ -61,14 +68,21 @@ def split_hot(df: DataFrame, hot: DataFrame, keys: list[str]) -> tuple[DataFrame
     )
 
 
+def find_hot(df: DataFrame, keys: list[str], limit: int | None = None) -> Hot:
+    return Hot(hot_keys(df.select(*keys), keys, limit))
+
+
 def ordered_scan(
-    df: DataFrame, keys: list[str], order: list[Column], scan: Scan, limit: int | None = None
+    df: DataFrame, keys: list[str], order: list[Column], scan: Scan, hot: Hot | None = None
 ) -> DataFrame:
-    """Add the columns of ``scan``. ``order`` must be a total order within a key."""
-    hot = hot_keys(df, keys, limit)
-    if hot is None:
+    """Add the columns of ``scan``. ``order`` must be a total order within a key.
+
+    Pass ``hot`` when the hot keys of these rows are known already.
+    """
+    hot = hot or find_hot(df, keys)
+    if hot.keys is None:
         return _plain(df, keys, order, scan)
-    ordinary, huge = split_hot(df, hot, keys)
+    ordinary, huge = split_hot(df, hot.keys, keys)
     plain = _plain(ordinary, keys, order, scan)
     carried = _in_parts(huge, keys, order, scan)
     same_types = [F.col(f.name).cast(f.dataType).alias(f.name) for f in plain.schema]
@@ -197,7 +211,7 @@ def qualify_topn(df: DataFrame, keys: list[str], order: list[Column], n: int, na
 
 
 def exact_percentile(
-    df: DataFrame, keys: list[str], values: dict[str, str], p: float, limit: int | None = None
+    df: DataFrame, keys: list[str], values: dict[str, str], p: float, hot: Hot | None = None
 ) -> DataFrame:
     """Interpolated percentile of each column of ``values`` (new name -> source) per key.
 
@@ -205,11 +219,11 @@ def exact_percentile(
     values of a group, so groups over the limit are ranked with a partitioned scan
     instead and only the two middle rows are read.
     """
-    hot = hot_keys(df, keys, limit)
+    hot = hot or find_hot(df, keys)
     builtin = [F.percentile(F.col(source), F.lit(p)).alias(name) for name, source in values.items()]
-    if hot is None:
+    if hot.keys is None:
         return df.groupBy(*keys).agg(*builtin)
-    ordinary, huge = split_hot(df, hot, keys)
+    ordinary, huge = split_hot(df, hot.keys, keys)
     result = None
     for name, source in values.items():
         one = _ranked_percentile(huge.select(*keys, source), keys, source, p, name)

@@ -9,24 +9,29 @@ from pyspark.sql import functions as F
 
 from millrace.functions.scoring import amount_bucket
 from millrace.functions.semantics import datediff_boundary, order_asc
-from millrace.operators.ordered import Scan, exact_percentile, match_keys, ordered_scan
+from millrace.operators.ordered import Hot, Scan, exact_percentile, find_hot, match_keys, ordered_scan
 
 
 def sessionise(
-    df: DataFrame, key: str, ts: str, tiebreak: str, gap_s: int, limit: int | None = None
+    df: DataFrame, key: str, ts: str, tiebreak: str, gap_s: int, hot: Hot | None = None
 ) -> DataFrame:
-    """Add ``is_session_start`` and ``session_no``; a gap of more than ``gap_s`` opens a session."""
+    """Add ``is_session_start`` and ``session_no``; a gap of more than ``gap_s`` opens a session.
+
+    ``hot`` holds the users with very many events, looked for here when not given.
+    """
+    hot = hot or find_hot(df, [key])
     order = [order_asc(ts), order_asc(tiebreak)]
-    seen = ordered_scan(df, [key], order, Scan(lags={"_prev_ts": (ts, 1)}), limit)
+    seen = ordered_scan(df, [key], order, Scan(lags={"_prev_ts": (ts, 1)}), hot)
     opens = F.col("_prev_ts").isNull() | (datediff_boundary("second", "_prev_ts", ts) > gap_s)
     flagged = seen.withColumn("is_session_start", F.when(opens, 1).otherwise(0)).drop("_prev_ts")
-    numbered = ordered_scan(flagged, [key], order, Scan(running_sums={"session_no": "is_session_start"}), limit)
+    numbered = ordered_scan(flagged, [key], order, Scan(running_sums={"session_no": "is_session_start"}), hot)
     return numbered.withColumn("session_no", F.col("session_no").cast("bigint"))
 
 
-def session_metrics(df: DataFrame, limit: int | None = None) -> DataFrame:
+def session_metrics(df: DataFrame, hot: Hot | None = None) -> DataFrame:
     """One row per session of typed, sessionised events.
 
+    ``hot`` holds the sessions with very many events, looked for here when not given.
     ``country`` and ``device_type`` take the smallest value where the source takes
     any, so that reruns agree.
     """
@@ -42,7 +47,7 @@ def session_metrics(df: DataFrame, limit: int | None = None) -> DataFrame:
         F.min("device_type").alias("device_type"),
         F.min("country").alias("country"),
     )
-    medians = exact_percentile(df, keys, {"median_lat": "lat", "median_lon": "lon"}, 0.5, limit)
+    medians = exact_percentile(df, keys, {"median_lat": "lat", "median_lon": "lon"}, 0.5, hot)
     on = match_keys("t", "m", keys)
     return totals.alias("t").join(medians.alias("m"), on, "left").select(
         "t.user_id",
@@ -113,14 +118,14 @@ def sequence_match(
     states: tuple[str, str, str],
     max_days: tuple[int, int],
     names: tuple[str, str, str],
-    limit: int | None = None,
+    hot: Hot | None = None,
 ) -> DataFrame:
     """Three adjacent rows of a key in the given states, each step within its day limit.
 
     Only neighbouring rows are compared: any other state in between breaks the match.
     """
     scan = Scan(lags={"_s2": (state, 2), "_s1": (state, 1), "_t2": (ts, 2), "_t1": (ts, 1)})
-    seen = ordered_scan(df, [key], [order_asc(ts), order_asc(tiebreak)], scan, limit)
+    seen = ordered_scan(df, [key], [order_asc(ts), order_asc(tiebreak)], scan, hot)
     first, second, third = states
     return seen.where(
         (F.col("_s2") == first)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions.scoring import clean_email
 from millrace.functions.semantics import order_desc
-from millrace.operators.ordered import qualify_topn
+from millrace.operators.ordered import find_hot, qualify_topn
 from millrace.operators.semi import path
 from millrace.operators.sessions import interval_join, sequence_match, session_metrics, sessionise
 from millrace.plans.relational import since
@@ -48,7 +48,10 @@ def typed_user_events(events: DataFrame) -> DataFrame:
 def session_report(events: DataFrame, as_of: datetime, gap_s: int, days: int = 30) -> DataFrame:
     """Session metrics of the last ``days`` days of events."""
     recent = events.where(F.col("event_ts") >= since(as_of, f"{days} days"))
-    return session_metrics(sessionise(typed_user_events(recent), "user_id", "event_ts", "event_id", gap_s))
+    busy = find_hot(recent, ["user_id"])
+    sessions = sessionise(typed_user_events(recent), "user_id", "event_ts", "event_id", gap_s, busy)
+    # Without a busy user there is no busy session.
+    return session_metrics(sessions, busy if busy.keys is None else None)
 
 
 def session_p95(sessions: DataFrame, last_n: int = 100) -> DataFrame:

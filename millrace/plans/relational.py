@@ -84,21 +84,23 @@ def active_countries(customers: DataFrame) -> DataFrame:
 def order_facts(orders: DataFrame, items: DataFrame, as_of: datetime, years: int = 2) -> DataFrame:
     """One row per order that counts: net amount, quantity, distinct SKUs.
 
-    Items are aggregated per (order, sku) and then per order before the join, so
-    the join sees one row per order and no DISTINCT expansion is needed.
+    Orders are filtered before the join, so items of other orders are dropped at the
+    join. Rows are combined per (order, sku) and then per order, which counts the
+    SKUs without expanding rows for DISTINCT.
     """
     wanted = orders.where(
         ~F.col("order_status").isin("CANCELLED", "FAILED", "RETURNED") & (F.col("order_ts") >= since(as_of, f"{years} years"))
     ).select("customer_id", "order_id", F.to_date("order_ts").alias("order_date"), "channel")
-    kept = 1 - F.col("discount_pct") / F.lit("100.0").cast("decimal(4,1)")
+    kept = (100 - F.col("discount_pct")) * F.lit("0.01").cast("decimal(2,2)")
     amount = (F.col("quantity") * F.col("unit_price") * kept).cast("decimal(24,6)")
-    per_sku = items.groupBy("order_id", "sku").agg(F.sum(amount).alias("amount"), F.sum("quantity").alias("qty"))
-    per_order = per_sku.groupBy("order_id").agg(
+    order = ["order_id", "customer_id", "order_date", "channel"]
+    lines = wanted.join(items.select("order_id", "sku", "quantity", amount.alias("amount")), "order_id")
+    per_sku = lines.groupBy(*order, "sku").agg(F.sum("amount").alias("amount"), F.sum("quantity").alias("qty"))
+    return per_sku.groupBy(*order).agg(
         F.sum("amount").cast("decimal(24,6)").alias("order_total"),
         F.sum("qty").cast("decimal(18,0)").alias("total_qty"),
         F.count("sku").alias("distinct_skus"),
     )
-    return wanted.join(per_order, "order_id")
 
 
 def clv(orders: DataFrame, items: DataFrame, customers: DataFrame, as_of: datetime, first_n: int = 50) -> DataFrame:

@@ -4,17 +4,22 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions.semantics import json_object, order_asc, order_desc
+from millrace.operators.ordered import hot_keys, split_hot
 from millrace.operators.semi import array_size, flatten, object_entries, path, split_kv
 from millrace.plans.relational import since
 
 
 def parsed(raw: DataFrame) -> DataFrame:
-    """JSON text to variant; text that does not parse becomes NULL."""
-    return raw.withColumn("v", F.try_parse_json("payload"))
+    """JSON text to variant; text that does not parse becomes NULL.
+
+    The variant comes out of a one-element generator: a filter on it is then not
+    pushed below with a second copy of the parse, so each text is parsed once.
+    """
+    return raw.select("*", F.inline(F.array(F.struct(F.try_parse_json("payload").alias("v")))))
 
 
 def typed_events(raw: DataFrame, types: tuple[str, ...] = ("purchase", "page_view")) -> DataFrame:
@@ -147,24 +152,43 @@ def order_payloads(items: DataFrame, part_size: int = 10_000) -> DataFrame:
 
     An order of up to ``part_size`` items has one row, ``part_no`` 0, holding the
     whole array. A larger order is spread over as many rows as it needs, so no task
-    collects an unbounded group. Identical items are counted before anything is
-    collected, and long runs of copies are cut to ``part_size`` each.
+    collects an unbounded group.
     """
-    same = ["order_id", "sku", "quantity", "unit_price"]
-    counted = items.groupBy(*same).agg(F.count(F.lit(1)).alias("copies"))
+    hot = hot_keys(items.select("order_id"), ["order_id"], part_size)
+    if hot is None:
+        return _whole_payloads(items)
+    ordinary, huge = split_hot(items, hot, ["order_id"])
+    return _whole_payloads(ordinary).unionByName(_payload_parts(huge, part_size))
+
+
+def _entry() -> Column:
+    return F.struct(
+        F.col("sku"), F.col("quantity").cast("string").alias("qty"), F.col("unit_price").cast("string").alias("price")
+    )
+
+
+def _whole_payloads(items: DataFrame) -> DataFrame:
+    element = F.struct("sku", "quantity", "unit_price", _entry().alias("e"))
+    arrays = items.groupBy("order_id").agg(
+        F.count(F.lit(1)).alias("line_count"), F.sort_array(F.collect_list(element)).alias("elements")
+    )
+    payload = F.to_json(F.transform("elements", lambda x: x["e"]))
+    return arrays.select("order_id", F.lit(0).cast("bigint").alias("part_no"), "line_count", payload.alias("payload"))
+
+
+def _payload_parts(items: DataFrame, part_size: int) -> DataFrame:
+    """Parts of about ``part_size`` items. Identical items are counted before anything
+    is collected, and long runs of copies are cut to ``part_size`` each."""
+    counted = items.groupBy("order_id", "sku", "quantity", "unit_price").agg(F.count(F.lit(1)).alias("copies"))
     sizes = counted.groupBy("order_id").agg(F.sum("copies").alias("line_count"))
     size = F.lit(part_size).cast("bigint")
-    runs = counted.withColumn("run", F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("copies") - 1) / size)))).withColumn(
+    last_run = F.floor((F.col("copies") - 1) / size)
+    runs = counted.withColumn("run", F.explode(F.sequence(F.lit(0).cast("bigint"), last_run))).withColumn(
         "n", F.least(size, F.col("copies") - F.col("run") * size)
     )
     parts = F.ceil(F.col("line_count") / size)
-    part_no = F.when(parts <= 1, F.lit(0).cast("bigint")).otherwise(
-        F.pmod(F.xxhash64("sku", "quantity", "unit_price", "run"), parts)
-    )
-    entry = F.struct(
-        F.col("sku"), F.col("quantity").cast("string").alias("qty"), F.col("unit_price").cast("string").alias("price")
-    )
-    element = F.struct("sku", "quantity", "unit_price", F.array_repeat(entry, F.col("n").cast("int")).alias("e"))
+    part_no = F.pmod(F.xxhash64("sku", "quantity", "unit_price", "run"), parts)
+    element = F.struct("sku", "quantity", "unit_price", F.array_repeat(_entry(), F.col("n").cast("int")).alias("e"))
     arrays = (
         runs.join(sizes, "order_id")
         .withColumn("part_no", part_no)

@@ -21,6 +21,7 @@ from millrace.sources.retail import day, ntz
 
 DIM_DATA = ["full_name", "email_hash", "country", "segment", "attrs"]
 DIM_COLUMNS = ["customer_sk", "customer_id", *DIM_DATA, "valid_from", "valid_to", "is_current"]
+ITEMS_PER_PAYLOAD = 10_000
 COMPARED = ["email_hash", "country", "segment"]
 
 
@@ -53,11 +54,10 @@ def next_key(df: DataFrame, key: str) -> int:
     return (df.agg(F.max(key)).first()[0] or 0) + 1
 
 
-def number_new_rows(df: DataFrame, key: str, order: list[Column]) -> DataFrame:
-    """Give rows whose ``key`` is NULL the next keys, in ``order``. ``df`` is staged."""
-    fresh = df.where(F.col(key).isNull()).drop(key)
-    numbered = global_row_number(fresh, order, key, next_key(df, key))
-    return df.where(F.col(key).isNotNull()).unionByName(numbered)
+def number_new_rows(kept: DataFrame, fresh: DataFrame, key: str, order: list[Column]) -> DataFrame:
+    """``kept`` plus ``fresh`` rows under the next keys, in ``order``. ``kept`` is staged."""
+    numbered = global_row_number(fresh.drop(key), order, key, next_key(kept, key))
+    return kept.unionByName(numbered)
 
 
 def scd2_merge(
@@ -96,21 +96,28 @@ def scd2_merge(
         F.lit(None).cast("timestamp_ntz").alias("valid_to"),
         F.lit(True).alias("is_current"),
     )
-    full_log = stage(log.unionByName(versions), "dim-log")
-    rows = full_log.select(*DIM_COLUMNS)
-    return number_new_rows(rows, "customer_sk", [order_asc("customer_id"), order_asc("valid_from")]), full_log
+    has_key = F.col("customer_sk").isNotNull()
+    full_log = log.unionByName(versions)
+    kept = log.where(has_key).select(*DIM_COLUMNS)
+    fresh = full_log.where(~has_key).select(*DIM_COLUMNS)
+    return number_new_rows(kept, fresh, "customer_sk", [order_asc("customer_id"), order_asc("valid_from")]), full_log
 
 
 def fact_source(feed: DataFrame, items: DataFrame, dim: DataFrame) -> DataFrame:
     """Feed rows of known customers, with amounts, line count and item payload.
 
     The payload is the order's first array of items; ``payload_parts`` says how many
-    there are. Only an order of more than 10,000 items has further ones, which
+    there are. Only an order of more than ``ITEMS_PER_PAYLOAD`` items has further ones, which
     ``order_payloads`` returns.
     """
-    payloads = order_payloads(items)
-    first = payloads.where(F.col("part_no") == 0).select("order_id", "line_count", "payload")
-    sizes = first.withColumn("payload_parts", F.ceil(F.col("line_count") / 10_000))
+    # A feed is small next to the items, so items of other orders are dropped first.
+    touched = feed.select("order_id").distinct()
+    payloads = order_payloads(items.join(touched, "order_id", "left_semi"), ITEMS_PER_PAYLOAD)
+    sizes = payloads.groupBy("order_id").agg(
+        F.max("line_count").alias("line_count"),
+        F.min_by("payload", "part_no").alias("payload"),
+        F.count(F.lit(1)).alias("payload_parts"),
+    )
     current = dim.where("is_current").select("customer_id", "customer_sk")
     gross = F.col("total_amount")
 
@@ -163,7 +170,8 @@ def fact_merge(fact: DataFrame, feed: DataFrame, items: DataFrame, dim: DataFram
     )
     log = stage(merged.log, "fact-merge")
     rows = log.where(F.col("_action") != "delete").drop("_action")
-    return number_new_rows(rows, "order_sk", [order_asc("order_id")]), log
+    has_key = F.col("order_sk").isNotNull()
+    return number_new_rows(rows.where(has_key), rows.where(~has_key), "order_sk", [order_asc("order_id")]), log
 
 
 def bridge_rebuild(bridge: DataFrame, fact: DataFrame, items: DataFrame, products: DataFrame, run_day: date) -> DataFrame:
