@@ -71,11 +71,13 @@ def load_json(
     Parsing happens once: the result is staged.
     """
     with_corrupt = StructType([*schema.fields, StructField(CORRUPT, StringType())])
+    # Lines are read as text first: the JSON reader rejects a row for one bad byte.
+    lines = spark.read.text(list(paths)).select(F.make_valid_utf8("value").alias("value"), F.col("_metadata.file_path").alias(FILE))
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
     rows = (
-        spark.read.schema(with_corrupt)
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", CORRUPT)
-        .json(list(paths))
+        lines.where(F.trim("value") != "")
+        .select(FILE, F.from_json("value", with_corrupt, options).alias("r"))
+        .select("r.*", FILE)
     )
     lengths = lengths or {}
 
@@ -89,7 +91,7 @@ def load_json(
 
     error = F.when(F.col(CORRUPT).isNotNull(), F.lit("not valid JSON for the declared schema"))
     names = [f.name for f in schema.fields]
-    raw = stage(rows.select(*[column(f) for f in schema.fields], _file_name(), CORRUPT, error.alias(ERROR)), "json-load")
+    raw = stage(rows.select(*[column(f) for f in schema.fields], FILE, CORRUPT, error.alias(ERROR)), "json-load")
     load = Load(raw, names)
     rejected = load.rejects.count()
     if rejected > max_errors:
