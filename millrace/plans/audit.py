@@ -85,7 +85,8 @@ def rebuild_partitions(
     """Write the source rows of a date range over the table partitioned by ``date_col`` at ``path``.
 
     All dates are written in one job by a dynamic partition overwrite, which leaves
-    other dates alone and replaces partitions only when the whole job succeeds. With
+    other dates alone and replaces partitions only when the whole job succeeds. Dates
+    of the range that have no source row any more are then removed. With
     ``keep_outside=False`` the table keeps nothing but the range, as the source
     system's swap does.
     """
@@ -94,12 +95,26 @@ def rebuild_partitions(
     if dry_run:
         return report
     writer = balanced(chosen, [date_col], max_records).write.mode("overwrite").partitionBy(date_col)
-    if keep_outside:
-        writer = writer.option("partitionOverwriteMode", "dynamic")
-    writer.parquet(path)
+    if not keep_outside:
+        writer.parquet(path)
+        return report
+    # At most one value per day of the range reaches the driver.
+    in_range = F.col(date_col).between(day(start), day(end))
+    present = source.sparkSession.read.parquet(path).where(in_range).select(date_col).distinct()
+    emptied = present.join(chosen.select(date_col).distinct(), date_col, "left_anti").collect()
+    writer.option("partitionOverwriteMode", "dynamic").parquet(path)
+    _drop_partitions(source.sparkSession, path, date_col, [row[date_col] for row in emptied])
     return report
 
 
+def _drop_partitions(spark: SparkSession, path: str, column: str, values: list[date]) -> None:
+    """Remove some partition folders of a table."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    for value in values:
+        folder = hadoop.Path(f"{path}/{column}={value.isoformat()}")
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 @dataclass(frozen=True)
 class Warehouse:
     """The tables a refresh reads and, in new versions, returns."""
