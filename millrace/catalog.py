@@ -13,6 +13,7 @@ from millrace.operators import hierarchy
 from millrace.operators import writes as wr
 from millrace.operators.changes import as_of_read
 from millrace.operators.sessions import sessionise
+from millrace.operators.staging import scratch_path
 from millrace.plans import cdc
 from millrace.plans import clickstream as click
 from millrace.plans import customer360 as c360
@@ -70,7 +71,9 @@ RELATIONAL: dict[str, Query] = {
     "category_tree": lambda r: hierarchy.category_tree(r.categories),
     "customer_lifetime": lambda r: rel.customer_lifetime(r.orders, r.customers),
     "country_summary": lambda r: rel.country_summary(rel.customer_lifetime(r.orders, r.customers)).drop("p95_revenue"),
-    "top_countries": lambda r: rel.top_countries(rel.country_summary(rel.customer_lifetime(r.orders, r.customers))),
+    "top_countries": lambda r: rel.top_countries(
+        rel.refresh_layers(r.orders, r.customers, scratch_path(r.spark, "layers"))[1]
+    ),
     "name_distance": lambda r: rel.name_distance(r.customers),
 }
 

@@ -111,8 +111,8 @@ def _ranged(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
     two reads or when a task is run again.
     """
     sort = [F.col(k).asc() for k in keys] + order
-    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ordered = df.repartitionByRange(parts, *sort).sortWithinPartitions(*sort)
+    # No number of parts: adaptive execution merges neighbouring ranges that are small.
+    ordered = df.repartitionByRange(*sort).sortWithinPartitions(*sort)
     return stage(ordered.withColumn("_part", F.spark_partition_id()), "ranged")
 
 

@@ -37,7 +37,7 @@ def session_metrics(df: DataFrame, hot: Hot | None = None) -> DataFrame:
     """
     keys = ["user_id", "session_no"]
     gmv = F.sum(F.coalesce("order_total", F.lit(0).cast("decimal(12,2)"))).cast("decimal(12,2)")
-    totals = df.groupBy(*keys).agg(
+    totals = [
         F.min("event_ts").alias("session_start"),
         F.max("event_ts").alias("session_end"),
         F.count(F.lit(1)).alias("event_count"),
@@ -46,12 +46,19 @@ def session_metrics(df: DataFrame, hot: Hot | None = None) -> DataFrame:
         F.array_join(F.sort_array(F.collect_set("utm_source")), "|").alias("_sources"),
         F.min("device_type").alias("device_type"),
         F.min("country").alias("country"),
-    )
-    medians = exact_percentile(df, keys, {"median_lat": "lat", "median_lon": "lon"}, 0.5, hot)
-    on = match_keys("t", "m", keys)
-    return totals.alias("t").join(medians.alias("m"), on, "left").select(
-        "t.user_id",
-        "t.session_no",
+    ]
+    medians = {"median_lat": "lat", "median_lon": "lon"}
+    hot = hot or find_hot(df, keys)
+    if hot.keys is None:
+        # One pass: the medians' buffers are bounded by the session's size.
+        builtin = [F.percentile(F.col(source), F.lit(0.5)).alias(name) for name, source in medians.items()]
+        sessions = df.groupBy(*keys).agg(*totals, *builtin)
+    else:
+        exact = exact_percentile(df, keys, medians, 0.5, hot).alias("m")
+        sessions = df.groupBy(*keys).agg(*totals).alias("t").join(exact, match_keys("t", "m", keys), "left")
+        sessions = sessions.select("t.*", *medians)
+    return sessions.select(
+        *keys,
         "session_start",
         "session_end",
         datediff_boundary("second", "session_start", "session_end").alias("duration_s"),
@@ -59,8 +66,7 @@ def session_metrics(df: DataFrame, hot: Hot | None = None) -> DataFrame:
         "gmv",
         amount_bucket(F.col("gmv")).alias("gmv_bucket"),
         F.nullif(F.col("_sources"), F.lit("")).alias("utm_sources"),
-        "median_lat",
-        "median_lon",
+        *medians,
         "device_type",
         "country",
     )

@@ -11,7 +11,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StructField, StructType
 
 from millrace.operators.ordered import global_row_number
 
@@ -56,6 +56,22 @@ def assign_surrogate_keys(df: DataFrame, order: list[Column], key: str, start: i
     return global_row_number(df, order, key, start)
 
 
+class KeyViolation(ValueError):
+    """Rows break a table's declared keys."""
+
+
+def check_keys(df: DataFrame, not_null: list[str], unique: list[str]) -> None:
+    """Check declared NOT NULL columns and a primary key before a write; raise when rows break them.
+
+    Spark does not enforce them. Only the two counts reach the driver.
+    """
+    missing = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in not_null], F.lit(False))
+    groups = df.groupBy(*unique).agg(F.count(F.lit(1)).alias("n"), F.count_if(missing).alias("missing"))
+    found = groups.agg(F.sum("missing").alias("nulls"), F.count_if(F.col("n") > 1).alias("repeated")).first()
+    if found["nulls"] or found["repeated"]:
+        raise KeyViolation(f"{found['nulls'] or 0} rows with NULL in {not_null}, {found['repeated']} repeated keys {unique}")
+
+
 @dataclass(frozen=True)
 class Matched:
     """WHEN MATCHED [AND when] THEN UPDATE SET ... | DELETE.
@@ -120,8 +136,8 @@ def merge_into(
     """MERGE as one full outer join; the first clause whose condition holds wins.
 
     * Rows with a NULL key, and target rows outside ``target_scope``, never match.
-      Each gets a non-zero ``_lane`` in the join key, so they are spread over all
-      tasks instead of meeting on one key, and the two sides use opposite signs.
+      They stay out of the join: the target's pass through unshuffled and the
+      source's can only be inserted.
     * Fails when two source rows would change the same target row.
       ``source_is_unique`` skips that check for a source grouped by the keys.
     * Columns not named by a clause keep the target's value, or NULL on insert.
@@ -129,52 +145,52 @@ def merge_into(
     if not source_is_unique and matched:
         _check_single_match(target, source, on, matched, target_scope)
 
-    spread = 1 + F.pmod(F.xxhash64(*target.columns), F.lit(4096))
-    t = target.select(
-        "*",
-        F.when(_joinable(on, target_scope), F.lit(0)).otherwise(spread).cast("int").alias("_lane"),
-        F.lit(True).alias("_here"),
-    ).alias("t")
-    spread = -1 - F.pmod(F.xxhash64(*on, F.monotonically_increasing_id()), F.lit(4096))
-    s = source.select(
-        "*",
-        F.when(_joinable(on, None), F.lit(0)).otherwise(spread).cast("int").alias("_lane"),
-        F.lit(True).alias("_here"),
-    ).alias("s")
-    condition = reduce(
-        lambda a, b: a & b, [F.col(f"t.{k}") == F.col(f"s.{k}") for k in on] + [F.col("t._lane") == F.col("s._lane")]
-    )
-    joined = t.join(s, condition, "full")
+    t_usable, s_usable = _joinable(on, target_scope), _joinable(on, None)
+    t = target.where(t_usable).withColumn("_here", F.lit(True)).alias("t")
+    s = source.where(s_usable).withColumn("_here", F.lit(True)).alias("s")
+    joined = t.join(s, reduce(lambda a, b: a & b, [F.col(f"t.{k}") == F.col(f"s.{k}") for k in on]), "full")
     in_target, in_source = F.col("t._here").isNotNull(), F.col("s._here").isNotNull()
 
     # Number of the first clause that fires: matched clauses first, then inserts.
-    clause = None
-    for i, m in enumerate(matched):
-        test = in_target & in_source & _fires(m)
-        clause = F.when(test, F.lit(i)) if clause is None else clause.when(test, F.lit(i))
-    for i, n in enumerate(not_matched):
-        test = ~in_target & _fires(n)
-        number = F.lit(len(matched) + i)
-        clause = F.when(test, number) if clause is None else clause.when(test, number)
-    decided = joined.withColumn("_clause", clause)
-
+    tests = [in_target & in_source & _fires(m) for m in matched] + [~in_target & _fires(n) for n in not_matched]
     actions = [m.action for m in matched] + ["insert"] * len(not_matched)
+    values = [m.set for m in matched] + [n.values for n in not_matched]
+    decided = joined.withColumn("_clause", _first_true(tests))
     action = F.when(in_target & F.col("_clause").isNull(), F.lit("keep"))
     for i, name in enumerate(actions):
         action = action.when(F.col("_clause") == i, F.lit(name))
 
-    columns = []
-    for f in target.schema:
-        value = F.col(f"t.{f.name}")
-        for i, c in enumerate([*matched, *not_matched]):
-            new = c.set.get(f.name) if isinstance(c, Matched) else c.values.get(f.name)
-            if new is not None:
-                value = F.when(F.col("_clause") == i, new).otherwise(value)
-        columns.append(value.cast(f.dataType).alias(f.name))
-    log = decided.select(action.alias("_action"), *columns).where(F.col("_action").isNotNull())
+    def column(f: StructField, otherwise: Column, numbered: list[tuple[int, dict[str, Column]]]) -> Column:
+        value = otherwise
+        for i, new in numbered:
+            if f.name in new:
+                value = F.when(F.col("_clause") == i, new[f.name]).otherwise(value)
+        return value.cast(f.dataType).alias(f.name)
+
+    all_values = list(enumerate(values))
+    log = decided.select(action.alias("_action"), *[column(f, F.col(f"t.{f.name}"), all_values) for f in target.schema])
+    log = log.where(F.col("_action").isNotNull())
+
+    untouched = target.where(~t_usable).select(F.lit("keep").alias("_action"), *target.columns)
+    log = log.unionByName(untouched)
+    if not_matched:
+        keyless = source.where(~s_usable).alias("s").withColumn("_clause", _first_true([_fires(n) for n in not_matched]))
+        inserts = list(enumerate(n.values for n in not_matched))
+        added = keyless.where(F.col("_clause").isNotNull()).select(
+            F.lit("insert").alias("_action"), *[column(f, F.lit(None), inserts) for f in target.schema]
+        )
+        log = log.unionByName(added)
     return MergeResult(log)
 
 
+def _first_true(tests: list[Column]) -> Column:
+    """Position of the first condition that holds, NULL when none does."""
+    chain = F.when(tests[0], F.lit(0))
+    for i, test in enumerate(tests[1:], 1):
+        chain = chain.when(test, F.lit(i))
+    return chain
+
+
 def _check_single_match(
     target: DataFrame, source: DataFrame, on: list[str], matched: list[Matched], target_scope: Column | None
 ) -> None:

@@ -12,6 +12,7 @@ from millrace.functions.semantics import order_desc
 from millrace.operators.ordered import find_hot, qualify_topn
 from millrace.operators.semi import path
 from millrace.operators.sessions import interval_join, sequence_match, session_metrics, sessionise
+from millrace.operators.staging import stage
 from millrace.plans.relational import since
 
 
@@ -58,9 +59,11 @@ def session_p95(sessions: DataFrame, last_n: int = 100) -> DataFrame:
     """The last ``last_n`` sessions per user that took time, with their country's 95th percentile.
 
     The percentile covers all sessions of the country. It is aggregated and joined
-    back, because a window would sort a whole country in one task.
+    back, because a window would sort a whole country in one task. The sessions are
+    staged, so that building them is not repeated for the two sides.
     """
-    timed = sessions.where(F.col("duration_s") > 0).select("user_id", "session_no", "session_start", "country", "duration_s")
+    columns = ["user_id", "session_no", "session_start", "country", "duration_s"]
+    timed = stage(sessions.where(F.col("duration_s") > 0).select(*columns), "timed-sessions")
     # Whole seconds: the buffer holds one entry per distinct duration.
     p95 = timed.groupBy("country").agg(F.percentile("duration_s", F.lit(0.95)).alias("p95_duration_country"))
     last = qualify_topn(timed, ["user_id"], [order_desc("session_start"), order_desc("session_no")], last_n, "rn")

@@ -173,12 +173,11 @@ def monthly_funnel(orders: DataFrame, as_of: datetime, months: int = 12) -> Data
 
 def top_skus(orders: DataFrame, items: DataFrame, n: int = 5) -> DataFrame:
     """Comma-separated best SKUs per customer, by quantity."""
-    by_order = items.groupBy("order_id", "sku").agg(F.sum("quantity").alias("qty"))
     bought = (
         orders.select("order_id", "customer_id")
-        .join(by_order, "order_id")
+        .join(items.select("order_id", "sku", "quantity"), "order_id")
         .groupBy("customer_id", "sku")
-        .agg(F.sum("qty").alias("total_qty"))
+        .agg(F.sum("quantity").alias("total_qty"))
     )
     best = qualify_topn(bought, ["customer_id"], [order_desc("total_qty"), order_asc("sku")], n, "rn")
     ordered = F.array_sort(F.collect_list(F.struct("rn", "sku")))
@@ -371,6 +370,18 @@ def country_summary(lifetime: DataFrame) -> DataFrame:
     )
 
 
+def refresh_layers(orders: DataFrame, customers: DataFrame, root: str) -> tuple[DataFrame, DataFrame]:
+    """Rewrite both stored layers below ``root``; layer 2 reads the stored layer 1."""
+    spark = orders.sparkSession
+
+    def stored(df: DataFrame, name: str) -> DataFrame:
+        df.write.mode("overwrite").parquet(f"{root}/{name}")
+        return spark.read.schema(df.schema).parquet(f"{root}/{name}")
+
+    lifetime = stored(customer_lifetime(orders, customers), "customer_lifetime")
+    return lifetime, stored(country_summary(lifetime), "country_summary")
+
+
 def top_countries(summary: DataFrame, n: int = 25) -> DataFrame:
     """Countries by revenue; ranks tie. The window sees one row per country."""
     ranked = summary.select(

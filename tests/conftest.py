@@ -12,7 +12,10 @@ SF = "/root/testdata/sf0.001"
 
 @pytest.fixture(scope="session")
 def spark():
-    return local_session(cores=8, shuffle_partitions=4, memory="6g")
+    session = local_session(cores=8, shuffle_partitions=4, memory="6g")
+    # Small inputs would otherwise be merged into one part, and nothing would be carried over.
+    session.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    return session
 
 
 @pytest.fixture(scope="session")

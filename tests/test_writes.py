@@ -7,13 +7,15 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from millrace.functions.semantics import order_asc
-from millrace.operators.changes import as_of_read, change_feed, collapse_feed
+from millrace.operators.changes import as_of_read, change_feed, collapse_feed, initial_feed
 from millrace.operators.writes import (
+    KeyViolation,
     Matched,
     MergeError,
     NotMatched,
     apply_defaults,
     assign_surrogate_keys,
+    check_keys,
     delete_in,
     delete_where,
     merge_into,
@@ -137,3 +139,36 @@ def test_as_of_read_is_half_open(spark):
     )
     at = F.lit("2020-02-01").cast("timestamp_ntz")
     assert [r.k for r in as_of_read(df, at).collect()] == [2]
+
+
+def test_keys_are_checked_before_a_write(spark):
+    df = spark.createDataFrame([(1, "a"), (2, None)], "k int, v string")
+    check_keys(df, ["k"], ["k"])
+    with pytest.raises(KeyViolation, match="1 rows with NULL"):
+        check_keys(df, ["k", "v"], ["k"])
+    with pytest.raises(KeyViolation, match="1 repeated"):
+        check_keys(df.unionByName(df.where("k = 1")), ["k"], ["k"])
+
+
+def test_keyless_and_closed_rows_stay_out_of_the_merge_join(spark):
+    t = spark.createDataFrame([(None, 1, True), (1, 2, False), (1, 3, True)], "k int, v int, cur boolean")
+    s = spark.createDataFrame([(None, 7), (None, 7), (1, 9)], "k int, v int")
+    merged = merge_into(
+        t,
+        s,
+        ["k"],
+        [Matched("update", None, {"v": F.col("s.v")})],
+        [NotMatched({"k": F.col("s.k"), "v": F.col("s.v"), "cur": F.lit(True)})],
+        target_scope=F.col("cur"),
+    )
+    assert rows(merged.rows) == sorted(
+        [(None, 1, True), (None, 7, True), (None, 7, True), (1, 2, False), (1, 9, True)], key=repr
+    )
+
+
+def test_a_feed_can_start_with_the_rows_already_there(spark):
+    df = spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string")
+    feed = initial_feed(df, ["k"])
+    assert feed.where("action = 'INSERT' and not is_update").count() == 2
+    later = change_feed(df, df.withColumn("v", F.lit("a")), ["k"]).where("k = 2").select("row_id").distinct()
+    assert rows(feed.where("k = 2").select("row_id")) == rows(later)
