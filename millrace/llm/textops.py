@@ -12,6 +12,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 
 SLICE_BYTES = 2 << 20
 _BASE = 0x9E3779B97F4A7C15
