@@ -233,9 +233,10 @@ def _hub_links(members: DataFrame, hubs: DataFrame, rule: Similarity, lanes: int
 
     lane = F.pmod(F.xxhash64("doc_id"), F.lit(lanes))
     left = members.withColumn("lane", lane)
-    used = left.select("hub", "lane").distinct()
-    right = used.join(hubs.withColumnRenamed("doc_id", "h"), F.col("hub") == F.col("h")).select(F.col("h").alias("doc_id"), "tokens", "hub", "lane")
-    return left.groupBy("hub", "lane").cogroup(right.groupBy("hub", "lane")).applyInPandas(run, "a long, b long")
+    used = left.select(F.col("hub").alias("h"), F.col("lane").alias("l")).distinct()
+    right = used.join(hubs.select(F.col("doc_id").alias("h"), F.col("tokens").alias("t")), "h")
+    right = right.select(F.col("h").alias("doc_id"), F.col("t").alias("tokens"), F.col("h").alias("at"), F.col("l").alias("at_lane"))
+    return left.groupBy("hub", "lane").cogroup(right.groupBy("at", "at_lane")).applyInPandas(run, "a long, b long")
 
 
 def jaccard_components(docs: DataFrame, rule: Similarity) -> DataFrame:
@@ -248,7 +249,7 @@ def jaccard_components(docs: DataFrame, rule: Similarity) -> DataFrame:
     """
     described = stage(describe(docs, rule), "sets")
     # The representatives of equal sets; sets without shingles are linked with nothing.
-    classes = described.filter("n_shingles > 0").groupBy("set_hash").agg(F.min("doc_id").alias("class_id"))
+    classes = stage(described.filter("n_shingles > 0").groupBy("set_hash").agg(F.min("doc_id").alias("class_id")), "representatives")
     own = F.when(F.col("n_shingles") > 0, F.col("class_id")).otherwise(F.col("doc_id"))
     members = described.drop("sigs").join(classes, "set_hash", "left").select("doc_id", "n_shingles", own.alias("class_id"))
     members = stage(members, "classes")
