@@ -25,6 +25,8 @@ from millrace.llm import textops
 
 #: The characters with Unicode's White_Space property.
 WHITE = r"\t-\r \x85\xa0  -     　"
+#: Text whose distinct words are encoded together.
+BATCH_BYTES = 12 << 20
 _RARE_WHITE = regex.compile(r"[\x85\xa0  -     　]")
 
 
@@ -253,7 +255,7 @@ def encode(docs: DataFrame, rank_file: str, pattern: str, text: str = "text", in
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ranks, compiled = ranks_of(raw), regex.compile(pattern)
-        for batch in textops.slices(batches, text, 32 << 20):
+        for batch in textops.slices(batches, text, BATCH_BYTES):
             ids = encode_batch(batch.column(text), ranks, compiled)
             yield pa.record_batch([*batch.columns, ids], names=[*names, into])
 
