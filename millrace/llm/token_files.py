@@ -1,7 +1,8 @@
 """Token ids in flat binary files with 64-bit document offsets.
 
 A set of token files has, for each part, ``<name>.bin``: the ids as little-endian unsigned
-32-bit integers, one document after the other, and ``<name>.idx``: little-endian signed
+integers, of 16 bits where the vocabulary allows and of 32 bits otherwise (``width`` in the
+manifest has the bytes), one document after the other, and ``<name>.idx``: little-endian signed
 64-bit pairs (document id, end of the document in ids, counted from the start of the part).
 The parts hold ascending document ids. The base of a part is the prefix sum of the parts
 before it, and is kept in the manifest, not in the files, so parts are written without
@@ -25,7 +26,7 @@ from millrace.llm import textops
 from millrace.llm.bpe import _ranges
 from millrace.operators.staging import stage
 
-MANIFEST = "part int, name string, first_id long, docs long, tokens long"
+MANIFEST = "part int, name string, width int, first_id long, docs long, tokens long"
 #: Encoded words that a worker remembers at most.
 REMEMBERED = 1_500_000
 _PUNCTUATION = np.array([33 <= b <= 126 and not chr(b).isalnum() and b != 39 for b in range(256)])
@@ -49,6 +50,10 @@ class WordEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # the strings of special tokens are ordinary text
+        vocabulary = self.tokenizer.get_vocab()
+        self.last = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.last[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
+        self.width = 2 if len(self.last) <= 1 << 16 else 4
         self.forget()
 
     def forget(self) -> None:
@@ -57,11 +62,31 @@ class WordEncoder:
         self.ids: list[np.ndarray] = []
         self.ends = np.zeros(1, np.int64)
 
+    def _encode_words(self, names: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, their number by word). Words of letters only are one match each, and are encoded many to a line."""
+        plain = np.array([w.isalpha() and w.lower().isalpha() for w in names], bool)
+        counts = np.zeros(len(names), np.int64)
+        lines = [names[i] for i in np.flatnonzero(plain)]
+        lines = [" ".join(lines[i : i + 500]) for i in range(0, len(lines), 500)]
+        found = [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast(lines, add_special_tokens=False)]
+        joined = np.concatenate(found) if found else np.zeros(0, np.uint32)
+        ends = np.flatnonzero(self.last[joined]) + 1
+        if len(ends) != plain.sum():
+            raise ValueError("the tokenizer does not mark the end of each word")
+        counts[plain] = np.diff(ends, prepend=0)
+        rest = self.tokenizer.encode_batch_fast([names[i] for i in np.flatnonzero(~plain)], add_special_tokens=False)
+        rest = [np.array(e.ids, np.uint32) for e in rest]
+        counts[~plain] = [len(r) for r in rest]
+        starts = np.cumsum(counts) - counts
+        ids = np.zeros(int(counts.sum()), np.uint32)
+        ids[_ranges(starts[plain], counts[plain])] = joined
+        if rest:
+            ids[_ranges(starts[~plain], counts[~plain])] = np.concatenate(rest)
+        return ids, counts
+
     def _learn(self, keys: np.ndarray, names: list[str]) -> None:
-        found = self.tokenizer.encode_batch_fast(names, add_special_tokens=False)
-        ids = [e.ids for e in found]
-        sizes = np.array([len(i) for i in ids], np.int64)
-        self.ids.append(np.array([x for i in ids for x in i], np.uint32))
+        ids, sizes = self._encode_words(names)
+        self.ids.append(ids)
         self.slot = np.concatenate((self.slot, np.arange(len(self.keys), len(self.keys) + len(keys))))
         self.ends = np.concatenate((self.ends, self.ends[-1] + np.cumsum(sizes)))
         self.keys = np.concatenate((self.keys, keys))
@@ -82,7 +107,7 @@ class WordEncoder:
         split = (cut < b) & (cut > a) & _ALNUM[data[np.maximum(cut - 1, 0)]] & (quotes[b] == quotes[a])
         starts = np.concatenate((a, cut[split]))
         ends = np.concatenate((np.where(split, cut, b), b[split]))
-        order = np.argsort(starts)
+        order = np.argsort(starts, kind="stable")
         starts, ends = starts[order], ends[order]
         cuts = np.searchsorted(starts, offsets)
         own, at, inverse = np.unique(textops.Rolling(data).of(starts, ends), return_index=True, return_inverse=True)
@@ -137,13 +162,13 @@ def write(docs: DataFrame, tokenizer: str, folder: str, end_id: int = 1, parts:
             keep = np.ones(len(flat), bool)
             keep[ends - 1] = False
             flat[keep] = ids
-            out.write(flat.astype("<u4").tobytes())
+            out.write(flat.astype(f"<u{encoder.width}").tobytes())
             index.write(np.stack((doc_ids, tokens_done + ends), 1).astype("<i8").tobytes())
             docs_done, tokens_done = docs_done + n, tokens_done + len(flat)
         if out is not None:
             out.close()
             index.close()
-            yield pa.record_batch([pa.array([x], t) for x, t in ((part, pa.int32()), (name, pa.string()), (first_id, pa.int64()), (docs_done, pa.int64()), (tokens_done, pa.int64()))], names=["part", "name", "first_id", "docs", "tokens"])
+            yield pa.record_batch([pa.array([x], t) for x, t in ((part, pa.int32()), (name, pa.string()), (encoder.width, pa.int32()), (first_id, pa.int64()), (docs_done, pa.int64()), (tokens_done, pa.int64()))], names=["part", "name", "width", "first_id", "docs", "tokens"])
 
     ordered = docs.select("doc_id", "text").repartitionByRange(parts, "doc_id").sortWithinPartitions("doc_id")
     manifest = stage(ordered.mapInArrow(run, MANIFEST), "manifest")
@@ -153,7 +178,7 @@ def write(docs: DataFrame, tokenizer: str, folder: str, end_id: int = 1, parts:
 
 
 def read(manifest: DataFrame, folder: str) -> DataFrame:
-    """(doc_id, start, n_tokens, ids) of every document in the files; ``ids`` are the file's bytes.
+    """(doc_id, start, n_tokens, ids) of every document in the files; ``ids`` are little-endian unsigned 32-bit integers.
 
     Files on a mounted file system are memory-mapped; others are read by range.
     """
@@ -164,17 +189,19 @@ def read(manifest: DataFrame, folder: str) -> DataFrame:
             for row in batch.to_pylist():
                 with files.open_input_file(f"{where}/{row['name']}.idx") as f:
                     index = np.frombuffer(f.read(), "<i8").reshape(-1, 2)
+                width = row["width"]
+                kind = f"<u{width}"
                 if isinstance(files, pyarrow.fs.LocalFileSystem):
-                    tokens = np.memmap(f"{where}/{row['name']}.bin", "<u4", "r")
-                    stretch = lambda a, b, tokens=tokens: tokens[a:b].tobytes()
+                    tokens = np.memmap(f"{where}/{row['name']}.bin", kind, "r")
+                    stretch = lambda a, b, tokens=tokens: tokens[a:b]
                 else:
                     source = files.open_input_file(f"{where}/{row['name']}.bin")
-                    stretch = lambda a, b, source=source: source.read_at(4 * (b - a), 4 * a)
+                    stretch = lambda a, b, source=source, width=width, kind=kind: np.frombuffer(source.read_at(width * (b - a), width * a), kind)
                 starts = np.concatenate(([0], index[:-1, 1]))
                 for k in range(0, len(index), 500):
                     ids, a, b = index[k : k + 500, 0], starts[k : k + 500], index[k : k + 500, 1]
                     yield pa.record_batch(
-                        [pa.array(ids), pa.array(a + row["base"]), pa.array(b - a), pa.array([stretch(x, y) for x, y in zip(a.tolist(), b.tolist(), strict=True)], pa.binary())],
+                        [pa.array(ids), pa.array(a + row["base"]), pa.array(b - a), pa.array([stretch(x, y).astype("<u4").tobytes() for x, y in zip(a.tolist(), b.tolist(), strict=True)], pa.binary())],
                         names=["doc_id", "start", "n_tokens", "ids"],
                     )
 
