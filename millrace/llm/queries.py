@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import bpe, jaccard, token_files
+from millrace.llm import bpe, fm_dedup, jaccard, suffix_dedup, token_files
 from millrace.llm.shipping import ship
 from millrace.operators.staging import scratch_path
 from millrace.session import prepare
@@ -21,6 +21,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return prepare(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"), 400)
+    return kept.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = fm_dedup.remove_repeats(table(spark, sf_dir, "documents"), 50)
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2(F.encode("kept", "utf-8"), 256).alias("kept_sha256"))
+
+
 def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = scratch_path(spark, "tokens")
     manifest = token_files.write(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), folder)
@@ -41,7 +51,9 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op2_suffix_dedup": op2_suffix_dedup,
     "op3_token_files": op3_token_files,
+    "op4_substring_dedup": op4_substring_dedup,
     "op7_byte_bpe": op7_byte_bpe,
     "op10_jaccard_join": op10_jaccard_join,
 }
