@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import bpe, fm_dedup, jaccard, suffix_dedup, token_files
+from millrace.llm import bpe, fm_dedup, jaccard, suffix_dedup, token_files, toxicity
+from millrace.llm.samples import held_out
 from millrace.llm.shipping import ship
 from millrace.operators.staging import scratch_path
 from millrace.session import prepare
@@ -37,6 +38,13 @@ def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read(manifest, folder).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = toxicity.score(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
+    predicted = (F.col("toxicity") >= 0.5).cast("int").alias("predicted")
+    return scored.select("doc_id", held_out().alias("held_out"), F.col("toxicity").alias("score"), predicted, "toxic_spans")
+
+
 def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
     ids = bpe.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), ranks, public_tokenizers.PATTERN).drop("text")
@@ -54,6 +62,7 @@ QUERIES: dict[str, Query] = {
     "op2_suffix_dedup": op2_suffix_dedup,
     "op3_token_files": op3_token_files,
     "op4_substring_dedup": op4_substring_dedup,
+    "op5_toxicity": op5_toxicity,
     "op7_byte_bpe": op7_byte_bpe,
     "op10_jaccard_join": op10_jaccard_join,
 }
