@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import bpe, fm_dedup, jaccard, suffix_dedup, token_files, toxicity
+from millrace.llm import bpe, fm_dedup, jaccard, quality, suffix_dedup, token_files, toxicity
 from millrace.llm.samples import held_out
 from millrace.llm.shipping import ship
 from millrace.operators.staging import scratch_path
@@ -22,6 +22,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return prepare(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = quality.score(docs, quality.train(docs, table(spark, sf_dir, "labels")))
+    predicted = (F.col("quality_score") >= 0.3).cast("int").alias("predicted")
+    return scored.select("doc_id", held_out().alias("held_out"), F.col("quality_score").alias("score"), predicted)
+
+
 def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"), 400)
     return kept.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
@@ -59,6 +66,7 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_quality": op1_quality,
     "op2_suffix_dedup": op2_suffix_dedup,
     "op3_token_files": op3_token_files,
     "op4_substring_dedup": op4_substring_dedup,

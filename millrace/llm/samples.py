@@ -21,4 +21,4 @@ def training_rows(docs: DataFrame, labels: DataFrame, label: str, most: int) ->
     count = known.count()
     if count > most:
         known = known.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < int(most / count * (1 << 30)))
-    return docs.select("doc_id", "text").join(known, "doc_id")
+    return docs.select("doc_id", "text").join(F.broadcast(known), "doc_id")  # bounded by ``most``
