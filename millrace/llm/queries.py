@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import bpe, fm_dedup, jaccard, quality, suffix_dedup, token_files, toxicity
+from millrace.llm import bpe, fm_dedup, jaccard, quality, rules, suffix_dedup, token_files, toxicity
 from millrace.llm.samples import held_out
 from millrace.llm.shipping import ship
 from millrace.operators.staging import scratch_path
@@ -60,6 +60,10 @@ def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.decode(digests, ranks).select("doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rules.judge(table(spark, sf_dir, "documents"))
+
+
 def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     rule = jaccard.Similarity(words=3, num=90, den=100)
     return jaccard.jaccard_components(table(spark, sf_dir, "documents"), rule).select("doc_id", "n_shingles", "component_id")
@@ -72,6 +76,7 @@ QUERIES: dict[str, Query] = {
     "op4_substring_dedup": op4_substring_dedup,
     "op5_toxicity": op5_toxicity,
     "op7_byte_bpe": op7_byte_bpe,
+    "op9_quality_rules": op9_quality_rules,
     "op10_jaccard_join": op10_jaccard_join,
 }
 
