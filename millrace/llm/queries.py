@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import bpe, fm_dedup, jaccard, quality, rules, suffix_dedup, token_files, toxicity
+from millrace.llm import bpe, decontaminate, fm_dedup, jaccard, lines, quality, rules, suffix_dedup, token_files, toxicity
 from millrace.llm.samples import held_out
 from millrace.llm.shipping import ship
 from millrace.operators.staging import scratch_path
@@ -52,6 +52,10 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held_out().alias("held_out"), F.col("toxicity").alias("score"), predicted, "toxic_spans")
 
 
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
     ids = bpe.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), ranks, public_tokenizers.PATTERN).drop("text")
@@ -60,6 +64,11 @@ def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.decode(digests, ranks).select("doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = lines.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return kept.select("doc_id", "n_lines", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.judge(table(spark, sf_dir, "documents"))
 
@@ -75,7 +84,9 @@ QUERIES: dict[str, Query] = {
     "op3_token_files": op3_token_files,
     "op4_substring_dedup": op4_substring_dedup,
     "op5_toxicity": op5_toxicity,
+    "op6_decontamination": op6_decontamination,
     "op7_byte_bpe": op7_byte_bpe,
+    "op8_line_dedup": op8_line_dedup,
     "op9_quality_rules": op9_quality_rules,
     "op10_jaccard_join": op10_jaccard_join,
 }
