@@ -248,7 +248,7 @@ def earlier_spans(docs: DataFrame, length: int = 50) -> DataFrame:
     hot = held.join(anchors.filter("hot"), "anchor").select(*chosen)
     if not hot.isEmpty():
         loose = stage(loose_windows(docs, hot, w), "windows")
-        least = loose.groupBy("w1", "w2").agg(F.min("doc_id").alias("least"))
+        least = stage(loose.groupBy("w1", "w2").agg(F.min("doc_id").alias("least")), "first-windows")
         loose = loose.join(least, ["w1", "w2"]).filter("doc_id > least").join(hot.select(*key, "start"), key)
         answers = answers.union(loose.select(*key, (F.col("at") - F.col("start")).alias("first"), (F.col("at") - F.col("start") + 1).alias("stop")))
     answers = stage(answers, "answers")

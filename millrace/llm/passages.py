@@ -24,7 +24,9 @@ from pyspark.sql import functions as F
 
 from millrace.llm import textops
 
-HOT_UNITS = 1 << 18
+HOT_UNITS = 5 << 18
+#: Segments that are few enough to send to all tasks instead of shuffling the texts.
+FEW = 50_000
 #: Windows in a segment at most; longer runs (of one repeated word, say) are cut.
 LONGEST = 4096
 
@@ -137,6 +139,14 @@ def _wanted(kept: DataFrame) -> DataFrame:
     return kept.groupBy("doc_id").agg(F.collect_list(F.struct("start", "windows", "anchor", "c1", "c2")).alias("wanted"))
 
 
+def _with_wanted(docs: DataFrame, kept: DataFrame) -> DataFrame:
+    """Documents with the segments wanted of them; a short list goes to the texts, else both are shuffled."""
+    wanted = _wanted(kept)
+    if kept.count() <= FEW:
+        wanted = F.broadcast(wanted)
+    return docs.select("doc_id", "text").join(wanted, "doc_id")
+
+
 def _slices(batches: Iterator[pa.RecordBatch], w: Windows):
     """(units, text, absolute starts, windows, anchor, c1, c2, doc ids) of the wanted segments of a slice of documents."""
     for piece in textops.slices(batches):
@@ -160,8 +170,7 @@ def index_rows(docs: DataFrame, kept: DataFrame, w: Windows) -> DataFrame:
                 [*map(pa.array, (anchor, c1, c2, ids, start.astype(np.int32), windows.astype(np.int32))), raw], names=["anchor", "c1", "c2", "doc_id", "start", "windows", "units"]
             )
 
-    joined = docs.select("doc_id", "text").join(_wanted(kept), "doc_id")
-    return joined.mapInArrow(run, "anchor long, c1 long, c2 long, doc_id long, start int, windows int, units binary")
+    return _with_wanted(docs, kept).mapInArrow(run, "anchor long, c1 long, c2 long, doc_id long, start int, windows int, units binary")
 
 
 def loose_windows(docs: DataFrame, kept: DataFrame, w: Windows) -> DataFrame:
@@ -179,8 +188,7 @@ def loose_windows(docs: DataFrame, kept: DataFrame, w: Windows) -> DataFrame:
                 columns.append((np.repeat(start[k : k + 512], n) + step).astype(np.int32))
                 yield pa.record_batch(list(map(pa.array, columns)), names=["w1", "w2", "c1", "c2", "doc_id", "at"])
 
-    joined = docs.select("doc_id", "text").join(_wanted(kept), "doc_id")
-    return joined.mapInArrow(run, "w1 long, w2 long, c1 long, c2 long, doc_id long, at int")
+    return _with_wanted(docs, kept).mapInArrow(run, "w1 long, w2 long, c1 long, c2 long, doc_id long, at int")
 
 
 def by_anchor(rows: DataFrame) -> DataFrame:

@@ -27,7 +27,7 @@ SHARD = 1 << 19
 def suffixes(symbols: np.ndarray, order: int) -> tuple[np.ndarray, np.ndarray]:
     """(suffix array by the first ``order`` symbols at least, rank of the first ``FIRST`` symbols by suffix).
 
-    ``symbols`` are below 256 and fewer than 2^20; beyond the end lies a symbol smaller than all.
+    ``symbols`` are below 256 and fewer than 2^21; beyond the end lies a symbol smaller than all.
     """
     n = len(symbols)
     padded = np.concatenate((symbols.astype(np.uint64) + np.uint64(1), np.zeros(FIRST, np.uint64)))
@@ -35,7 +35,7 @@ def suffixes(symbols: np.ndarray, order: int) -> tuple[np.ndarray, np.ndarray]:
     for j in range(FIRST):
         key = (key << np.uint64(8 + (j > 0))) | padded[j : j + n] if j else padded[:n].copy()
     # 5 symbols of up to 9 bits and 19 bits of place fill 64 bits.
-    low = np.uint64(19) if n <= 1 << 19 else np.uint64(20)
+    low = np.uint64(19)
     if n > 1 << 19:
         order_by = np.argsort(key, kind="stable")
         key = key[order_by]
@@ -56,9 +56,9 @@ def suffixes(symbols: np.ndarray, order: int) -> tuple[np.ndarray, np.ndarray]:
     span = FIRST
     while span < order and len(active):
         ahead = rank[np.minimum(active + span, n)].astype(np.uint64)
-        key = np.sort((((rank[active].astype(np.uint64) << np.uint64(21)) | ahead) << np.uint64(20)) | active.astype(np.uint64))
-        active = (key & np.uint64((1 << 20) - 1)).astype(np.int64)
-        key >>= np.uint64(20)
+        key = np.sort((((rank[active].astype(np.uint64) << np.uint64(21)) | ahead) << np.uint64(21)) | active.astype(np.uint64))
+        active = (key & np.uint64((1 << 21) - 1)).astype(np.int64)
+        key >>= np.uint64(21)
         group = key >> np.uint64(21)
         step = np.arange(len(active))
         new_group = np.concatenate(([True], group[1:] != group[:-1]))
@@ -173,7 +173,7 @@ def repeated_spans(docs: DataFrame, length: int = 400) -> DataFrame:
     hot = held.join(anchors.filter("hot"), "anchor").select("anchor", "c1", "c2", "doc_id", "start", "windows")
     if not hot.isEmpty():
         loose = stage(loose_windows(docs, hot, w), "windows")
-        twice = loose.groupBy("w1", "w2").count().filter("count > 1").select("w1", "w2")
+        twice = stage(loose.groupBy("w1", "w2").count().filter("count > 1").select("w1", "w2"), "repeated-windows")
         loose = loose.join(twice, ["w1", "w2"]).select("doc_id", F.col("at").alias("first"), (F.col("at") + 1).alias("stop"))
         single = single.union(loose)
     return stage(whole.union(single), "spans")
