@@ -3,13 +3,13 @@ from checks.views import AS_OF_ORDERS
 _LOADED = """
     SELECT order_id, customer_id, order_ts, CASE WHEN order_id % 11 = 4 THEN NULL ELSE order_status END AS order_status,
            CASE WHEN order_id % 13 = 5 THEN NULL ELSE total_amount END AS total_amount
-    FROM v_bronze1 WHERE order_id % 100 <> 3"""
+    FROM v_bronze WHERE order_id % 100 <> 3"""
 
 SQL = {
     "load_csv": _LOADED,
     "load_json": """
         SELECT event_id, user_id, date_trunc('millisecond', event_ts) AS event_ts, left(event_type, 6) AS event_type
-        FROM v_user_events WHERE event_id % 997 <> 3""",
+        FROM v_user_events WHERE event_id % 997 <> 3 OR event_id >= 50000""",
     "load_json_array": """
         SELECT event_id, user_id, date_trunc('millisecond', event_ts) AS event_ts, event_type FROM v_user_events""",
     "filename_date": "SELECT event_id, user_id, CAST(event_ts AS DATE) AS file_date FROM v_user_events",
@@ -17,7 +17,7 @@ SQL = {
         SELECT event_date, count(*) AS n
         FROM (SELECT CAST(event_ts AS DATE) AS event_date, user_id FROM v_user_events GROUP BY ALL) GROUP BY event_date""",
     "auto_ingest": f"SELECT order_id, order_status, total_amount FROM ({_LOADED})",
-    "append_feed": "SELECT order_id, order_status, total_amount FROM v_bronze1",
+    "append_feed": "SELECT order_id, order_status, total_amount FROM v_bronze",
     "stream_sessions": """
         SELECT user_id, date_trunc('second', session_start) AS session_start, date_trunc('second', session_end) AS session_end, event_count
         FROM v_sessions

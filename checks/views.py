@@ -117,6 +117,8 @@ VIEWS = {
     "v_role_map": """
         SELECT 'R' || (n_nationkey % 3) AS role_name, n_name AS country FROM nation
         UNION ALL SELECT 'PII_ADMIN', n_name FROM nation WHERE n_nationkey % 3 = 1""",
+    "v_bronze": """
+        SELECT order_id, customer_id, order_ts, order_status, total_amount FROM v_orders""",
     "v_bronze1": """
         SELECT order_id, customer_id, order_ts, order_status, total_amount FROM v_orders WHERE order_id % 10 <> 9""",
     "v_bronze2": """

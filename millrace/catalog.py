@@ -109,9 +109,9 @@ GOVERNANCE: dict[str, Query] = {
 }
 
 NEW_CUSTOMERS = [
-    ("Alice", "Singh", "alice@example.com", date(2024, 1, 15), "IN"),
-    ("Bob", "Khan", "bob@example.com", date(2024, 2, 20), "US"),
-    ("Charlie", "Lopez", "chuck@example.com", date(2024, 3, 5), "MX"),
+    ("Mira", "Okafor", "mira@mail.test", date(2023, 11, 2), "NG"),
+    ("Jon", "Petit", "jon@mail.test", date(2024, 4, 18), "FR"),
+    ("Sana", "Ito", "sana@mail.test", date(2024, 6, 30), "JP"),
 ]
 
 

@@ -32,12 +32,12 @@ def change_feed(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
         F.explode(F.filter(F.array(deleted, inserted), lambda c: c.isNotNull())).alias("c")
     )
     flat = changes.select("c.r.*", "c.action", "c.is_update")
-    return flat.withColumn("row_id", F.sha1(F.concat_ws("|", *[F.col(k).cast("string") for k in keys])))
+    return flat.withColumn("row_id", F.sha1(F.to_json(F.struct(*keys), {"ignoreNullFields": "false"})))
 
 
 def initial_feed(table: DataFrame, keys: list[str]) -> DataFrame:
     """The feed of a stream that shows a table's initial rows: all of them as inserts."""
-    row_id = F.sha1(F.concat_ws("|", *[F.col(k).cast("string") for k in keys]))
+    row_id = F.sha1(F.to_json(F.struct(*keys), {"ignoreNullFields": "false"}))
     return table.select(
         "*", F.lit("INSERT").alias("action"), F.lit(False).alias("is_update"), row_id.alias("row_id")
     )

@@ -40,6 +40,7 @@ def object_entries(df: DataFrame, column: str, keep: list[str]) -> DataFrame:
 
 def split_kv(df: DataFrame, column: str, keep: list[str]) -> DataFrame:
     """``a=1, b=2`` text to one row per pair; tokens without ``=`` are skipped."""
+    strip = lambda x: F.regexp_replace(x, r"^\s+|\s+$", "")
     token = F.col("_token")
     at = F.instr(token, "=")
     return (
@@ -47,7 +48,7 @@ def split_kv(df: DataFrame, column: str, keep: list[str]) -> DataFrame:
         .where(at > 0)
         .select(
             *keep,
-            F.trim(F.substring(token, F.lit(1), at - 1)).alias("k"),
-            F.trim(F.substr(token, at + 1)).alias("v"),
+            strip(F.substring(token, F.lit(1), at - 1)).alias("k"),
+            strip(F.substr(token, at + 1)).alias("v"),
         )
     )

@@ -5,7 +5,7 @@ from __future__ import annotations
 from datetime import datetime, timedelta
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import StringIndexer, VectorAssembler
+from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -24,7 +24,8 @@ def features(snapshot: DataFrame) -> DataFrame:
             "spend": F.col("total_spend_30d").cast("double"),
             "orders": F.col("order_count_30d").cast("double"),
             "recency": datediff_boundary("day", "last_order_ts", "snapshot_date").cast("double"),
-            "signup_day": F.unix_date(F.to_date("signup_ts")).cast("double"),
+            # An unknown sign-up is a value of its own, before all others.
+            "signup_day": F.coalesce(F.unix_date(F.to_date("signup_ts")).cast("double"), F.lit(-1e6)),
         }
     )
 
@@ -35,10 +36,12 @@ def train_churn(labelled: DataFrame, trees: int = 5, depth: int = 3, seed: int =
     pipeline = Pipeline(
         stages=[
             StringIndexer(inputCol="country", outputCol="country_no", handleInvalid="keep"),
-            VectorAssembler(inputCols=[*NUMERIC, "country_no"], outputCol="features"),
+            # One column a country, so their number is not bound by the bins of a tree.
+            OneHotEncoder(inputCol="country_no", outputCol="country_at", handleInvalid="keep", dropLast=False),
+            VectorAssembler(inputCols=[*NUMERIC, "country_at"], outputCol="features"),
             GBTRegressor(
                 featuresCol="features", labelCol="target", lossType="squared", maxIter=trees, maxDepth=depth,
-                maxBins=64, seed=seed, checkpointInterval=-1,
+                seed=seed, checkpointInterval=-1,
             ),
         ]
     )

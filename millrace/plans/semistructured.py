@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions.semantics import json_object, order_asc, order_desc
-from millrace.operators.ordered import hot_keys, split_hot
+from millrace.operators.ordered import Scan, ordered_scan
 from millrace.operators.semi import array_size, flatten, object_entries, path, split_kv
 from millrace.plans.relational import since
 
@@ -148,52 +148,30 @@ def topk_carts(events: DataFrame, as_of: datetime, days: int = 7, min_price: str
 
 
 def order_payloads(items: DataFrame, part_size: int = 10_000) -> DataFrame:
-    """The items of each order as JSON arrays, sorted within each array.
+    """The items of each order as JSON arrays, in order of sku, quantity and price.
 
-    An order of up to ``part_size`` items has one row, ``part_no`` 0, holding the
-    whole array. A larger order is spread over as many rows as it needs, so no task
-    collects an unbounded group.
+    Part ``part_no`` holds the items at positions ``part_no * part_size`` and following, for
+    orders of every size. Equal items are counted before they are placed, so no task
+    collects more than a part.
     """
-    hot = hot_keys(items.select("order_id"), ["order_id"], part_size)
-    if hot is None:
-        return _whole_payloads(items)
-    ordinary, huge = split_hot(items, hot, ["order_id"])
-    return _whole_payloads(ordinary).unionByName(_payload_parts(huge, part_size))
-
-
-def _entry() -> Column:
-    return F.struct(
-        F.col("sku"), F.col("quantity").cast("string").alias("qty"), F.col("unit_price").cast("string").alias("price")
-    )
-
-
-def _whole_payloads(items: DataFrame) -> DataFrame:
-    element = F.struct("sku", "quantity", "unit_price", _entry().alias("e"))
-    arrays = items.groupBy("order_id").agg(
-        F.count(F.lit(1)).alias("line_count"), F.sort_array(F.collect_list(element)).alias("elements")
-    )
-    payload = F.to_json(F.transform("elements", lambda x: x["e"]))
-    return arrays.select("order_id", F.lit(0).cast("bigint").alias("part_no"), "line_count", payload.alias("payload"))
-
-
-def _payload_parts(items: DataFrame, part_size: int) -> DataFrame:
-    """Parts of about ``part_size`` items. Identical items are counted before anything
-    is collected, and long runs of copies are cut to ``part_size`` each."""
     counted = items.groupBy("order_id", "sku", "quantity", "unit_price").agg(F.count(F.lit(1)).alias("copies"))
+    order = [F.col(c).asc_nulls_first() for c in ("sku", "quantity", "unit_price")]
+    placed = ordered_scan(counted, ["order_id"], order, Scan(running_sums={"_upto": "copies"}))
     sizes = counted.groupBy("order_id").agg(F.sum("copies").alias("line_count"))
     size = F.lit(part_size).cast("bigint")
-    last_run = F.floor((F.col("copies") - 1) / size)
-    runs = counted.withColumn("run", F.explode(F.sequence(F.lit(0).cast("bigint"), last_run))).withColumn(
-        "n", F.least(size, F.col("copies") - F.col("run") * size)
-    )
-    parts = F.ceil(F.col("line_count") / size)
-    part_no = F.pmod(F.xxhash64("sku", "quantity", "unit_price", "run"), parts)
-    element = F.struct("sku", "quantity", "unit_price", F.array_repeat(_entry(), F.col("n").cast("int")).alias("e"))
-    arrays = (
-        runs.join(sizes, "order_id")
-        .withColumn("part_no", part_no)
-        .groupBy("order_id", "part_no", "line_count")
-        .agg(F.sort_array(F.collect_list(element)).alias("elements"))
-    )
+    first = F.col("_upto") - F.col("copies")
+    parts = F.sequence(F.floor(first / size), F.floor((F.col("_upto") - 1) / size))
+    runs = placed.select("*", F.explode(parts).alias("part_no"))
+    begin = F.greatest(first, F.col("part_no") * size)
+    n = F.least(F.col("_upto"), (F.col("part_no") + 1) * size) - begin
+    entry = F.struct(F.col("sku"), F.col("quantity").cast("string").alias("qty"), F.col("unit_price").cast("string").alias("price"))
+    element = F.struct(begin.alias("at"), F.array_repeat(entry, n.cast("int")).alias("e"))
+    arrays = runs.groupBy("order_id", "part_no").agg(F.sort_array(F.collect_list(element)).alias("elements"))
     flat = F.flatten(F.transform("elements", lambda x: x["e"]))
-    return arrays.select("order_id", "part_no", "line_count", F.to_json(flat).alias("payload"))
+    return arrays.join(sizes, "order_id").select("order_id", "part_no", "line_count", F.to_json(flat).alias("payload"))
+
+
+def whole_payload(parts: str) -> Column:
+    """One JSON array from a collected list of (part_no, payload)."""
+    inner = F.transform(F.sort_array(parts), lambda x: F.substr(x["payload"], F.lit(2), F.length(x["payload"]) - 2))
+    return F.concat(F.lit("["), F.array_join(inner, ","), F.lit("]"))

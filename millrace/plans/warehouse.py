@@ -16,12 +16,11 @@ from millrace.operators.semi import path
 from millrace.operators.staging import stage
 from millrace.operators.writes import Matched, MergeResult, NotMatched, merge_into
 from millrace.plans.relational import since
-from millrace.plans.semistructured import order_payloads
+from millrace.plans.semistructured import order_payloads, whole_payload
 from millrace.sources.retail import day, ntz
 
 DIM_DATA = ["full_name", "email_hash", "country", "segment", "attrs"]
 DIM_COLUMNS = ["customer_sk", "customer_id", *DIM_DATA, "valid_from", "valid_to", "is_current"]
-ITEMS_PER_PAYLOAD = 10_000
 COMPARED = ["email_hash", "country", "segment"]
 
 
@@ -54,9 +53,16 @@ def next_key(df: DataFrame, key: str) -> int:
     return (df.agg(F.max(key)).first()[0] or 0) + 1
 
 
-def number_new_rows(kept: DataFrame, fresh: DataFrame, key: str, order: list[Column]) -> DataFrame:
-    """``kept`` plus ``fresh`` rows under the next keys, in ``order``. ``kept`` is staged."""
-    numbered = global_row_number(fresh.drop(key), order, key, next_key(kept, key))
+def number_new_rows(
+    kept: DataFrame, fresh: DataFrame, key: str, order: list[Column], seen: DataFrame | None = None, last_key: int = 0
+) -> DataFrame:
+    """``kept`` plus ``fresh`` rows under the next keys, in ``order``. ``kept`` is staged.
+
+    Keys are not used again: they go on after the largest key of ``seen`` (``kept`` and
+    deleted rows) and after ``last_key``, the largest that earlier runs gave out.
+    """
+    start = max(next_key(kept if seen is None else seen, key), last_key + 1)
+    numbered = global_row_number(fresh.drop(key), order, key, start)
     return kept.unionByName(numbered)
 
 
@@ -106,18 +112,17 @@ def scd2_merge(
 def fact_source(feed: DataFrame, items: DataFrame, dim: DataFrame) -> DataFrame:
     """Feed rows of known customers, with amounts, line count and item payload.
 
-    The payload is the order's first array of items; ``payload_parts`` says how many
-    there are. Only an order of more than ``ITEMS_PER_PAYLOAD`` items has further ones, which
-    ``order_payloads`` returns.
+    The payload holds every item of the order, put together from the parts of
+    ``order_payloads``; ``payload_parts`` says how many there were.
     """
     # A feed is small next to the items, so items of other orders are dropped first.
     touched = feed.select("order_id").distinct()
-    payloads = order_payloads(items.join(touched, "order_id", "left_semi"), ITEMS_PER_PAYLOAD)
+    payloads = order_payloads(items.join(touched, "order_id", "left_semi"))
     sizes = payloads.groupBy("order_id").agg(
         F.max("line_count").alias("line_count"),
-        F.min_by("payload", "part_no").alias("payload"),
-        F.count(F.lit(1)).alias("payload_parts"),
+        F.collect_list(F.struct("part_no", "payload")).alias("parts"),
     )
+    sizes = sizes.select("order_id", "line_count", whole_payload("parts").alias("payload"), F.size("parts").alias("payload_parts"))
     current = dim.where("is_current").select("customer_id", "customer_sk")
     gross = F.col("total_amount")
 
@@ -150,8 +155,8 @@ FACT_DATA = [
 ]
 
 
-def fact_merge(fact: DataFrame, feed: DataFrame, items: DataFrame, dim: DataFrame, run_ts: datetime) -> tuple[DataFrame, DataFrame]:
-    """(new facts, change log). Deletes in the feed drop the fact row."""
+def fact_merge(fact: DataFrame, feed: DataFrame, items: DataFrame, dim: DataFrame, run_ts: datetime, last_key: int = 0) -> tuple[DataFrame, DataFrame]:
+    """(new facts, change log). Deletes in the feed drop the fact row; keys up to ``last_key`` were given out before."""
     now = ntz(run_ts)
     values = {c: F.col(f"s.{c}") for c in FACT_DATA}
     merged: MergeResult = merge_into(
@@ -171,7 +176,7 @@ def fact_merge(fact: DataFrame, feed: DataFrame, items: DataFrame, dim: DataFram
     log = stage(merged.log, "fact-merge")
     rows = log.where(F.col("_action") != "delete").drop("_action")
     has_key = F.col("order_sk").isNotNull()
-    return number_new_rows(rows.where(has_key), rows.where(~has_key), "order_sk", [order_asc("order_id")]), log
+    return number_new_rows(rows.where(has_key), rows.where(~has_key), "order_sk", [order_asc("order_id")], log, last_key), log
 
 
 def bridge_rebuild(bridge: DataFrame, fact: DataFrame, items: DataFrame, products: DataFrame, run_day: date) -> DataFrame:

@@ -175,10 +175,11 @@ def filename_date(spark: SparkSession, root: str, schema: StructType, pattern: s
     """
     rows = spark.read.schema(schema).option("recursiveFileLookup", True).parquet(root)
     full = F.col("_metadata.file_path")
-    # The path may carry a scheme, so the part below the root is found by name.
-    below = F.substring_index(full, root.rstrip("/").rsplit("/", 1)[-1] + "/", -1)
+    # The part below the root is cut by the root's length, both without scheme and host.
+    base = spark._jvm.org.apache.hadoop.fs.Path(root).toUri().getRawPath().rstrip("/")
+    below = F.substr(F.regexp_replace(full, "^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?", ""), F.lit(len(base) + 2))
     return rows.where(full.rlike(f"^(?:{pattern})$")).select(
-        "*", F.to_date(F.substring(below, start, 10), "yyyy-MM-dd").alias("file_date")
+        "*", F.try_to_date(F.substring(below, start, 10), "yyyy-MM-dd").alias("file_date")
     )
 
 

@@ -304,6 +304,11 @@ class Retail:
     def _bronze(self, orders: DataFrame) -> DataFrame:
         return orders.select("order_id", "customer_id", "order_ts", "order_status", "total_amount")
 
+    @cached_property
+    def bronze(self) -> DataFrame:
+        """All orders in the shape of bronze."""
+        return self._bronze(self.orders)
+
     @cached_property
     def bronze_v1(self) -> DataFrame:
         """Bronze before the change: a tenth of the orders has not arrived."""

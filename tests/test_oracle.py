@@ -13,7 +13,7 @@ CON = {}
 def test_every_sql_has_a_query():
     assert set(SQL) <= set(entry.queries())
     # What SQL cannot check: approximations, samples, file facts, a model.
-    assert set(entry.queries()) - set(SQL) == {"approx_channel", "sample_orders", "load_audit", "table_profile", "churn_model"}
+    assert set(entry.queries()) - set(SQL) == {"approx_channel", "load_audit", "table_profile", "churn_model"}
 
 
 @pytest.mark.parametrize("name", sorted(SQL))
