@@ -28,7 +28,7 @@ from millrace.operators.staging import stage
 
 MANIFEST = "part int, name string, width int, first_id long, docs long, tokens long"
 #: Encoded words that a worker remembers at most.
-REMEMBERED = 1_500_000
+REMEMBERED = 600_000
 _PUNCTUATION = np.array([33 <= b <= 126 and not chr(b).isalnum() and b != 39 for b in range(256)])
 _ALNUM = np.array([chr(b).isalnum() and b < 128 for b in range(256)])
 
@@ -62,20 +62,26 @@ class WordEncoder:
         self.ids: list[np.ndarray] = []
         self.ends = np.zeros(1, np.int64)
 
+    def _ids(self, texts: list[str], many: int) -> list[np.ndarray]:
+        """Ids of each text, ``many`` encoded at once, since the library's results are large."""
+        out = []
+        for k in range(0, len(texts), many):
+            out += [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast(texts[k : k + many], add_special_tokens=False)]
+        return out
+
     def _encode_words(self, names: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(ids, their number by word). Words of letters only are one match each, and are encoded many to a line."""
         plain = np.array([w.isalpha() and w.lower().isalpha() for w in names], bool)
         counts = np.zeros(len(names), np.int64)
         lines = [names[i] for i in np.flatnonzero(plain)]
         lines = [" ".join(lines[i : i + 500]) for i in range(0, len(lines), 500)]
-        found = [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast(lines, add_special_tokens=False)]
+        found = self._ids(lines, 16)
         joined = np.concatenate(found) if found else np.zeros(0, np.uint32)
         ends = np.flatnonzero(self.last[joined]) + 1
         if len(ends) != plain.sum():
             raise ValueError("the tokenizer does not mark the end of each word")
         counts[plain] = np.diff(ends, prepend=0)
-        rest = self.tokenizer.encode_batch_fast([names[i] for i in np.flatnonzero(~plain)], add_special_tokens=False)
-        rest = [np.array(e.ids, np.uint32) for e in rest]
+        rest = self._ids([names[i] for i in np.flatnonzero(~plain)], 4096)
         counts[~plain] = [len(r) for r in rest]
         starts = np.cumsum(counts) - counts
         ids = np.zeros(int(counts.sum()), np.uint32)
