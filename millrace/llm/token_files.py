@@ -28,7 +28,7 @@ from millrace.operators.staging import stage
 
 MANIFEST = "part int, name string, width int, first_id long, docs long, tokens long"
 #: Encoded words that a worker remembers at most.
-REMEMBERED = 600_000
+REMEMBERED = 300_000
 _PUNCTUATION = np.array([33 <= b <= 126 and not chr(b).isalnum() and b != 39 for b in range(256)])
 _ALNUM = np.array([chr(b).isalnum() and b < 128 for b in range(256)])
 
@@ -156,7 +156,7 @@ def write(docs: DataFrame, tokenizer: str, folder: str, end_id: int = 1, parts:
         docs_done = tokens_done = 0
         first_id = None
         out = None
-        for piece in textops.slices(batches):
+        for piece in textops.slices(batches, limit=1 << 20):
             if out is None:
                 out, index = files.open_output_stream(f"{where}/{name}.bin"), files.open_output_stream(f"{where}/{name}.idx")
             ids, cuts = encoder.encode(*textops.pack(piece.column("text")))
