@@ -5,6 +5,8 @@ from __future__ import annotations
 import os
 import tempfile
 import zipfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import lru_cache
 
 from pyspark.sql import SparkSession
@@ -28,3 +30,15 @@ def _ship(application: str) -> None:
 def ship(spark: SparkSession) -> None:
     """Send the package's source to the workers, once an application."""
     _ship(spark.sparkContext.applicationId)
+
+
+@contextmanager
+def arrow_batches(spark: SparkSession, size: int) -> Iterator[None]:
+    """While a job runs, hand the workers Arrow batches of at most ``size`` bytes, or of one row."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, size)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)

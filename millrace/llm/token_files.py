@@ -11,6 +11,7 @@ knowing one another.
 
 from __future__ import annotations
 
+import os
 import re
 import uuid
 from collections.abc import Iterator
@@ -24,11 +25,14 @@ from pyspark.sql import functions as F
 
 from millrace.llm import textops
 from millrace.llm.bpe import _ranges
+from millrace.llm.shipping import arrow_batches
 from millrace.operators.staging import stage
 
 MANIFEST = "part int, name string, width int, first_id long, docs long, tokens long"
 #: Encoded words that a worker remembers at most.
 REMEMBERED = 300_000
+#: Bytes of text that a worker holds at once, unless one document is longer.
+ARROW_BATCH = 4 << 20
 _PUNCTUATION = np.array([33 <= b <= 126 and not chr(b).isalnum() and b != 39 for b in range(256)])
 _ALNUM = np.array([chr(b).isalnum() and b < 128 for b in range(256)])
 
@@ -46,6 +50,8 @@ class WordEncoder:
     """
 
     def __init__(self, path: str):
+        # A task has one core; the library's own threads would each keep memory of their own.
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -177,7 +183,8 @@ def write(docs: DataFrame, tokenizer: str, folder: str, end_id: int = 1, parts:
             yield pa.record_batch([pa.array([x], t) for x, t in ((part, pa.int32()), (name, pa.string()), (encoder.width, pa.int32()), (first_id, pa.int64()), (docs_done, pa.int64()), (tokens_done, pa.int64()))], names=["part", "name", "width", "first_id", "docs", "tokens"])
 
     ordered = docs.select("doc_id", "text").repartitionByRange(parts, "doc_id").sortWithinPartitions("doc_id")
-    manifest = stage(ordered.mapInArrow(run, MANIFEST), "manifest")
+    with arrow_batches(docs.sparkSession, ARROW_BATCH):
+        manifest = stage(ordered.mapInArrow(run, MANIFEST), "manifest")
     # One row for each part.
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     return manifest.withColumn("base", F.coalesce(F.sum("tokens").over(before), F.lit(0)))
