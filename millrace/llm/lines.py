@@ -1,13 +1,18 @@
 """Line dedup by pairwise alignment.
 
-Documents overlap if they share a rare line: for each document, the lines that the fewest
-other documents have are its rare lines, and each leads to the first document with that
-line. The two are aligned by patience diff: lines that occur once in both, in their longest
-common order, anchor the alignment, and equal neighbours extend it. Aligned blocks are
-deleted from the later document.
+Documents overlap if they share a line: each leads to the first document with that line. The
+lines that the fewest other documents have are a document's rare lines; the partners that
+they lead to are aligned with it whole, by patience diff: lines that occur once in both, in
+their longest common order, anchor the alignment, and equal neighbours extend it. Aligned
+blocks are deleted from the later document.
+
+A document of many pieces has more partners than ``RARE``. All the others are aligned too,
+by the anchors alone: the lines that lead to a partner, in their longest common order. That
+takes one place per shared line and not both documents, so the work stays in proportion to
+the text, whatever the size of a group or the number of partners.
 
 Every line lives on in the first document that has it: there is no earlier one to align it
-with. The pairs number at most ``RARE`` per document, whatever the size of a group.
+with.
 """
 
 from __future__ import annotations
@@ -23,7 +28,7 @@ from pyspark.sql import functions as F
 from millrace.llm import textops
 from millrace.operators.staging import stage
 
-RARE = 3  # rare lines of a document that are followed
+RARE = 3  # rare lines of a document whose partners are aligned whole; the others by their anchors
 WORDS = 3  # words that a line needs to lead to another document
 
 
@@ -41,7 +46,7 @@ def _lines(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarra
 
 
 def line_table(docs: DataFrame) -> DataFrame:
-    """(doc_id, hashes, leads): hash of each line without white space at its ends (0: blank), and those that may lead elsewhere."""
+    """(doc_id, hashes, leads): hash of each line without white space at its ends (0: blank), and where those first stand that may lead elsewhere."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in textops.slices(batches):
@@ -52,13 +57,41 @@ def line_table(docs: DataFrame) -> DataFrame:
             filled = last > first
             hashes = np.zeros(len(starts), np.uint64)
             hashes[filled] = textops.Rolling(data).of(a[first[filled]], b[last[filled] - 1])
-            lead = last - first >= WORDS
-            keep = np.concatenate(([0], np.cumsum(lead)))[cuts]
+            at = np.flatnonzero(last - first >= WORDS)
+            text = np.searchsorted(cuts, at, "right") - 1
+            order = np.lexsort((at, hashes[at], text))
+            at, text = at[order], text[order]
+            fresh = np.ones(len(at), bool)
+            fresh[1:] = (text[1:] != text[:-1]) | (hashes[at[1:]] != hashes[at[:-1]])
+            at, text = at[fresh], text[fresh]
+            keep = np.searchsorted(text, np.arange(len(cuts)))
             yield pa.record_batch(
-                [piece.column("doc_id"), textops.lists(cuts, hashes.view(np.int64)), textops.lists(keep, hashes[lead].view(np.int64))], names=["doc_id", "hashes", "leads"]
+                [piece.column("doc_id"), textops.lists(cuts, hashes.view(np.int64)), textops.lists(keep, (at - cuts[text]).astype(np.int32))], names=["doc_id", "hashes", "leads"]
             )
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, hashes array<long>, leads array<long>")
+    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, hashes array<long>, leads array<int>")
+
+
+def _rising(pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """The longest run of pairs, sorted by the first number, that rises in the second."""
+    tails: list[int] = []
+    at: list[int] = []
+    back = [-1] * len(pairs)
+    for p, (_, i) in enumerate(pairs):
+        t = bisect_left(tails, i)
+        back[p] = at[t - 1] if t else -1
+        if t == len(tails):
+            tails.append(i)
+            at.append(p)
+        else:
+            tails[t], at[t] = i, p
+    chain = []
+    p = at[-1] if at else -1
+    while p >= 0:
+        chain.append(pairs[p])
+        p = back[p]
+    chain.reverse()
+    return chain
 
 
 def patience_blocks(old: list[int], new: list[int]) -> list[tuple[int, int]]:
@@ -93,26 +126,8 @@ def patience_blocks(old: list[int], new: list[int]) -> list[tuple[int, int]]:
         pairs = sorted((v[3], v[1]) for h, v in once.items() if h and v[0] == 1 == v[2])
         if not pairs:
             continue
-        # Longest run of anchors in rising order of both.
-        tails: list[int] = []
-        at: list[int] = []
-        back = [-1] * len(pairs)
-        for p, (_, i) in enumerate(pairs):
-            t = bisect_left(tails, i)
-            back[p] = at[t - 1] if t else -1
-            if t == len(tails):
-                tails.append(i)
-                at.append(p)
-            else:
-                tails[t], at[t] = i, p
-        chain = []
-        p = at[-1]
-        while p >= 0:
-            chain.append(pairs[p])
-            p = back[p]
-        chain.reverse()
         x, y = a, c
-        for j, i in chain:
+        for j, i in _rising(pairs):
             # The stretch before the anchor; the anchor itself starts the next one.
             if i > x and j > y:
                 work.append((x, i, y, j))
@@ -133,16 +148,32 @@ def _joined(blocks: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
+def anchored_lines(shared: list[tuple[int, int, int]]) -> list[int]:
+    """Lines of a document, from its (partner, line, line of the partner), in the longest common order with each partner."""
+    by_partner: dict[int, list[tuple[int, int]]] = {}
+    for first, at, there in sorted(shared):
+        by_partner.setdefault(first, []).append((at, there))
+    return sorted(j for pairs in by_partner.values() for j, _ in _rising(pairs))
+
+
+_BLOCKS = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
+
+
 def aligned_blocks(docs: DataFrame) -> DataFrame:
     """(doc_id, blocks): for each later document, the line ranges to delete."""
     lines = stage(line_table(docs), "lines")
-    single = lines.select("doc_id", F.explode(F.array_distinct("leads")).alias("line"))
-    shared = stage(single.groupBy("line").agg(F.count("*").alias("n"), F.min("doc_id").alias("first")).filter("n > 1"), "shared-lines")
+    places = F.transform("leads", lambda i: F.struct(F.get("hashes", i).alias("line"), i.alias("at")))
+    single = lines.select("doc_id", F.explode(places).alias("x")).select("doc_id", "x.line", "x.at")
+    found = single.groupBy("line").agg(F.count("*").alias("n"), F.min(F.struct("doc_id", "at")).alias("head"))
+    shared = stage(found.filter("n > 1").select("line", "n", F.col("head.doc_id").alias("first"), F.col("head.at").alias("there")), "shared-lines")
     met = single.join(shared, "line").filter("first < doc_id")
-    # The rarest shared lines of a document, whose number its length bounds.
-    order = F.sort_array(F.collect_set(F.struct("n", "line", "first")))
-    rare = met.groupBy("doc_id").agg(F.slice(order, 1, RARE).alias("rare"))
-    pairs = rare.select("doc_id", F.explode(F.array_distinct(F.transform("rare", lambda x: x["first"]))).alias("first"))
+    # The shared lines of a document, whose number its length bounds, the rarest first.
+    order = F.sort_array(F.collect_set(F.struct("n", "line", "first", "at", "there"))).alias("shared")
+    chosen = F.array_distinct(F.transform(F.slice("shared", 1, RARE), lambda x: x["first"])).alias("chosen")
+    ranked = met.groupBy("doc_id").agg(order).select("doc_id", "shared", chosen)
+    others = F.transform(F.filter("shared", lambda x: ~F.array_contains("chosen", x["first"])), lambda x: F.struct(x["first"].alias("first"), x["at"].alias("at"), x["there"].alias("there")))
+    partners = stage(ranked.select("doc_id", "chosen", others.alias("others")), "partners")
+    pairs = partners.select("doc_id", F.explode("chosen").alias("first"))
     old = lines.select(F.col("doc_id").alias("first"), F.col("hashes").alias("old"))
     both = pairs.join(lines.select("doc_id", F.col("hashes").alias("new")), "doc_id").join(old, "first").select("doc_id", "new", "old")
 
@@ -152,9 +183,17 @@ def aligned_blocks(docs: DataFrame) -> DataFrame:
                 [{"start": a, "end": b} for a, b in patience_blocks(old, new) if any(new[a:b])]
                 for new, old in zip(batch.column("new").to_pylist(), batch.column("old").to_pylist(), strict=True)
             ]
-            yield pa.record_batch([batch.column("doc_id"), pa.array(found, pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())])))], names=["doc_id", "blocks"])
+            yield pa.record_batch([batch.column("doc_id"), pa.array(found, _BLOCKS)], names=["doc_id", "blocks"])
+
+    def anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [anchored_lines([(x["first"], x["at"], x["there"]) for x in others]) for others in batch.column("others").to_pylist()]
+            blocks = [[{"start": j, "end": j + 1} for j in own] for own in found]
+            yield pa.record_batch([batch.column("doc_id"), pa.array(blocks, _BLOCKS)], names=["doc_id", "blocks"])
 
-    blocks = both.mapInArrow(run, "doc_id long, blocks array<struct<start:int,end:int>>")
+    kinds = "doc_id long, blocks array<struct<start:int,end:int>>"
+    rest = partners.filter(F.size("others") > 0).select("doc_id", "others").mapInArrow(anchors, kinds)
+    blocks = both.mapInArrow(run, kinds).union(rest)
     return blocks.groupBy("doc_id").agg(F.flatten(F.collect_list("blocks")).alias("blocks"))
 
 

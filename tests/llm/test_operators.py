@@ -178,6 +178,22 @@ def test_lines(spark, corpus):
     assert {x.strip() for t in texts.values() for x in t.split("\n")} <= left | {""}  # every line lives on
 
 
+def test_lines_of_many_partners(spark):
+    """Forty pieces of forty earlier documents in one: none of the pieces stays, whatever ``RARE`` is."""
+    ship(spark)
+    pieces = [f"piece {i} begins right here\nand piece {i} ends here" for i in range(40)]
+    rows = [(i, f"own words of {i}\n{p}") for i, p in enumerate(pieces)] + [(99, "\n".join(["start of all", *pieces])), (100, "and piece 7 ends here\npiece 7 begins right here")]
+    got = by_id(lines.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")))
+    assert all(got[i]["text"] == rows[i][1] for i in range(40))
+    assert (got[99]["text"], got[99]["n_removed"]) == ("start of all", 80)
+    assert got[100]["n_removed"] == 1  # crossed lines: one of them is aligned
+
+
+def test_anchored_lines():
+    assert lines.anchored_lines([]) == []
+    assert lines.anchored_lines([(1, 0, 5), (1, 2, 6), (1, 3, 1), (2, 1, 9)]) == [0, 1, 2]
+
+
 def test_patience_blocks():
     assert lines.patience_blocks([1, 2, 3], [1, 2, 3]) == [(0, 3)]
     assert lines.patience_blocks([1, 2, 3, 4], [9, 2, 8, 4]) == [(1, 2), (3, 4)]
