@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
 from millrace.operators.ordered import global_row_number
+from millrace.operators.staging import stage
 
 
 def apply_defaults(df: DataFrame, schema: StructType, defaults: dict[str, Column]) -> DataFrame:
@@ -133,8 +134,11 @@ def merge_into(
     target_scope: Column | None = None,
     source_is_unique: bool = False,
 ) -> MergeResult:
-    """MERGE as one full outer join; the first clause whose condition holds wins.
+    """MERGE as a left join for the target's rows and an anti join for the new ones; the first clause that fires wins.
 
+    * The feed is written once and read by both joins. Each of them has it, or keys
+      found with it, on the side that the optimizer may broadcast, so a small feed does
+      not shuffle the target.
     * Rows with a NULL key, and target rows outside ``target_scope``, never match.
       They stay out of the join: the target's pass through unshuffled and the
       source's can only be inserted.
@@ -142,23 +146,20 @@ def merge_into(
       ``source_is_unique`` skips that check for a source grouped by the keys.
     * Columns not named by a clause keep the target's value, or NULL on insert.
     """
+    source = stage(source, "feed")
     if not source_is_unique and matched:
         _check_single_match(target, source, on, matched, target_scope)
 
     t_usable, s_usable = _joinable(on, target_scope), _joinable(on, None)
-    t = target.where(t_usable).withColumn("_here", F.lit(True)).alias("t")
-    s = source.where(s_usable).withColumn("_here", F.lit(True)).alias("s")
-    joined = t.join(s, reduce(lambda a, b: a & b, [F.col(f"t.{k}") == F.col(f"s.{k}") for k in on]), "full")
-    in_target, in_source = F.col("t._here").isNotNull(), F.col("s._here").isNotNull()
-
-    # Number of the first clause that fires: matched clauses first, then inserts.
-    tests = [in_target & in_source & _fires(m) for m in matched] + [~in_target & _fires(n) for n in not_matched]
-    actions = [m.action for m in matched] + ["insert"] * len(not_matched)
-    values = [m.set for m in matched] + [n.values for n in not_matched]
+    t, s = target.where(t_usable).alias("t"), source.where(s_usable).withColumn("_here", F.lit(True)).alias("s")
+    joined = t.join(s, reduce(lambda a, b: a & b, [F.col(f"t.{k}") == F.col(f"s.{k}") for k in on]), "left")
+
+    # Number of the first clause that fires.
+    tests = [F.col("s._here").isNotNull() & _fires(m) for m in matched]
     decided = joined.withColumn("_clause", _first_true(tests))
-    action = F.when(in_target & F.col("_clause").isNull(), F.lit("keep"))
-    for i, name in enumerate(actions):
-        action = action.when(F.col("_clause") == i, F.lit(name))
+    action = F.when(F.col("_clause").isNull(), F.lit("keep"))
+    for i, clause in enumerate(matched):
+        action = action.when(F.col("_clause") == i, F.lit(clause.action))
 
     def column(f: StructField, otherwise: Column, numbered: list[tuple[int, dict[str, Column]]]) -> Column:
         value = otherwise
@@ -167,16 +168,17 @@ def merge_into(
                 value = F.when(F.col("_clause") == i, new[f.name]).otherwise(value)
         return value.cast(f.dataType).alias(f.name)
 
-    all_values = list(enumerate(values))
-    log = decided.select(action.alias("_action"), *[column(f, F.col(f"t.{f.name}"), all_values) for f in target.schema])
-    log = log.where(F.col("_action").isNotNull())
+    changes = list(enumerate(m.set for m in matched))
+    log = decided.select(action.alias("_action"), *[column(f, F.col(f"t.{f.name}"), changes) for f in target.schema])
 
     untouched = target.where(~t_usable).select(F.lit("keep").alias("_action"), *target.columns)
     log = log.unionByName(untouched)
     if not_matched:
-        keyless = source.where(~s_usable).alias("s").withColumn("_clause", _first_true([_fires(n) for n in not_matched]))
+        known = target.where(t_usable).select(*on).join(source.where(s_usable).select(*on), on, "left_semi")
+        unmatched = source.where(s_usable).join(known, on, "left_anti").select(*source.columns).unionByName(source.where(~s_usable))
+        decided = unmatched.alias("s").withColumn("_clause", _first_true([_fires(n) for n in not_matched]))
         inserts = list(enumerate(n.values for n in not_matched))
-        added = keyless.where(F.col("_clause").isNotNull()).select(
+        added = decided.where(F.col("_clause").isNotNull()).select(
             F.lit("insert").alias("_action"), *[column(f, F.lit(None), inserts) for f in target.schema]
         )
         log = log.unionByName(added)
@@ -185,10 +187,7 @@ def merge_into(
 
 def _first_true(tests: list[Column]) -> Column:
     """Position of the first condition that holds, NULL when none does."""
-    chain = F.when(tests[0], F.lit(0))
-    for i, test in enumerate(tests[1:], 1):
-        chain = chain.when(test, F.lit(i))
-    return chain
+    return F.coalesce(F.lit(None).cast("int"), *(F.when(test, F.lit(i)) for i, test in enumerate(tests)))
 
 
 def _check_single_match(

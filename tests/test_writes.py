@@ -172,3 +172,12 @@ def test_a_feed_can_start_with_the_rows_already_there(spark):
     assert feed.where("action = 'INSERT' and not is_update").count() == 2
     later = change_feed(df, df.withColumn("v", F.lit("a")), ["k"]).where("k = 2").select("row_id").distinct()
     assert rows(feed.where("k = 2").select("row_id")) == rows(later)
+
+
+def test_merge_has_no_full_join(spark):
+    t = spark.createDataFrame([(1, "a"), (2, "b"), (None, "c")], "k int, v string")
+    s = spark.createDataFrame([(2, "B"), (3, "C"), (None, "D")], "k int, v string")
+    merged = merge_into(t, s, ["k"], [Matched("update", None, {"v": F.col("s.v")})], [NotMatched({"k": F.col("s.k"), "v": F.col("s.v")})])
+    assert "FullOuter" not in merged.log._jdf.queryExecution().optimizedPlan().toString()
+    found = {(r["_action"], r["k"], r["v"]) for r in merged.log.collect()}
+    assert found == {("keep", 1, "a"), ("update", 2, "B"), ("keep", None, "c"), ("insert", 3, "C"), ("insert", None, "D")}
