@@ -1,15 +1,11 @@
 """Line dedup by pairwise alignment.
 
-Documents overlap if they share a line: each leads to the first document with that line. The
-lines that the fewest other documents have are a document's rare lines; the partners that
-they lead to are aligned with it whole, by patience diff: lines that occur once in both, in
-their longest common order, anchor the alignment, and equal neighbours extend it. Aligned
-blocks are deleted from the later document.
+Documents overlap if they share a line: each leads to the first document with that line. A
+document is aligned whole with every partner that its lines lead to, by patience diff: lines
+that occur once in both, in their longest common order, anchor the alignment, and equal
+neighbours extend it. Aligned blocks are deleted from the later document.
 
-A document of many pieces has more partners than ``RARE``. All the others are aligned too,
-by the anchors alone: the lines that lead to a partner, in their longest common order. That
-takes one place per shared line and not both documents, so the work stays in proportion to
-the text, whatever the size of a group or the number of partners.
+A document has at most as many partners as lines, whatever the size of a group.
 
 Every line lives on in the first document that has it: there is no earlier one to align it
 with.
@@ -28,7 +24,6 @@ from pyspark.sql import functions as F
 from millrace.llm import textops
 from millrace.operators.staging import stage
 
-RARE = 3  # rare lines of a document whose partners are aligned whole; the others by their anchors
 WORDS = 3  # words that a line needs to lead to another document
 
 
@@ -46,7 +41,7 @@ def _lines(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarra
 
 
 def line_table(docs: DataFrame) -> DataFrame:
-    """(doc_id, hashes, leads): hash of each line without white space at its ends (0: blank), and where those first stand that may lead elsewhere."""
+    """(doc_id, hashes, leads): hash of each line without white space at its ends (0: blank), and those that may lead elsewhere, each once."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in textops.slices(batches):
@@ -58,18 +53,16 @@ def line_table(docs: DataFrame) -> DataFrame:
             hashes = np.zeros(len(starts), np.uint64)
             hashes[filled] = textops.Rolling(data).of(a[first[filled]], b[last[filled] - 1])
             at = np.flatnonzero(last - first >= WORDS)
-            text = np.searchsorted(cuts, at, "right") - 1
-            order = np.lexsort((at, hashes[at], text))
-            at, text = at[order], text[order]
-            fresh = np.ones(len(at), bool)
-            fresh[1:] = (text[1:] != text[:-1]) | (hashes[at[1:]] != hashes[at[:-1]])
-            at, text = at[fresh], text[fresh]
+            keys, text = hashes[at], np.searchsorted(cuts, at, "right") - 1
+            order = np.lexsort((keys, text))
+            keys, text = keys[order], text[order]
+            fresh = np.ones(len(keys), bool)
+            fresh[1:] = (text[1:] != text[:-1]) | (keys[1:] != keys[:-1])
+            keys, text = keys[fresh], text[fresh]
             keep = np.searchsorted(text, np.arange(len(cuts)))
-            yield pa.record_batch(
-                [piece.column("doc_id"), textops.lists(cuts, hashes.view(np.int64)), textops.lists(keep, (at - cuts[text]).astype(np.int32))], names=["doc_id", "hashes", "leads"]
-            )
+            yield pa.record_batch([piece.column("doc_id"), textops.lists(cuts, hashes.view(np.int64)), textops.lists(keep, keys.view(np.int64))], names=["doc_id", "hashes", "leads"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, hashes array<long>, leads array<int>")
+    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, hashes array<long>, leads array<long>")
 
 
 def _rising(pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -162,38 +155,22 @@ _BLOCKS = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
 def aligned_blocks(docs: DataFrame) -> DataFrame:
     """(doc_id, blocks): for each later document, the line ranges to delete."""
     lines = stage(line_table(docs), "lines")
-    places = F.transform("leads", lambda i: F.struct(F.get("hashes", i).alias("line"), i.alias("at")))
-    single = lines.select("doc_id", F.explode(places).alias("x")).select("doc_id", "x.line", "x.at")
-    found = single.groupBy("line").agg(F.count("*").alias("n"), F.min(F.struct("doc_id", "at")).alias("head"))
-    shared = stage(found.filter("n > 1").select("line", "n", F.col("head.doc_id").alias("first"), F.col("head.at").alias("there")), "shared-lines")
-    met = single.join(shared, "line").filter("first < doc_id")
-    # The shared lines of a document, whose number its length bounds, the rarest first.
-    order = F.sort_array(F.collect_set(F.struct("n", "line", "first", "at", "there"))).alias("shared")
-    chosen = F.array_distinct(F.transform(F.slice("shared", 1, RARE), lambda x: x["first"])).alias("chosen")
-    ranked = met.groupBy("doc_id").agg(order).select("doc_id", "shared", chosen)
-    others = F.transform(F.filter("shared", lambda x: ~F.array_contains("chosen", x["first"])), lambda x: F.struct(x["first"].alias("first"), x["at"].alias("at"), x["there"].alias("there")))
-    partners = stage(ranked.select("doc_id", "chosen", others.alias("others")), "partners")
-    pairs = partners.select("doc_id", F.explode("chosen").alias("first"))
+    single = lines.select("doc_id", F.explode("leads").alias("lead"))
+    found = single.groupBy("lead").agg(F.count("*").alias("n"), F.min("doc_id").alias("first"))
+    shared = stage(found.filter("n > 1").select("lead", "first"), "shared-lines")
+    # As many partners as leads at most, which the document's length bounds.
+    pairs = stage(single.join(shared, "lead").filter("first < doc_id").select("doc_id", "first").distinct(), "partners")
     old = lines.select(F.col("doc_id").alias("first"), F.col("hashes").alias("old"))
     both = pairs.join(lines.select("doc_id", F.col("hashes").alias("new")), "doc_id").join(old, "first").select("doc_id", "new", "old")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [
-                [{"start": a, "end": b} for a, b in patience_blocks(old, new) if any(new[a:b])]
-                for new, old in zip(batch.column("new").to_pylist(), batch.column("old").to_pylist(), strict=True)
-            ]
+            # One row at a time: the lists of a batch take far more memory than its arrays.
+            rows = ((new.as_py(), old.as_py()) for new, old in zip(batch.column("new"), batch.column("old"), strict=True))
+            found = [[{"start": a, "end": b} for a, b in patience_blocks(old, new) if any(new[a:b])] for new, old in rows]
             yield pa.record_batch([batch.column("doc_id"), pa.array(found, _BLOCKS)], names=["doc_id", "blocks"])
 
-    def anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = [anchored_lines([(x["first"], x["at"], x["there"]) for x in others]) for others in batch.column("others").to_pylist()]
-            blocks = [[{"start": j, "end": j + 1} for j in own] for own in found]
-            yield pa.record_batch([batch.column("doc_id"), pa.array(blocks, _BLOCKS)], names=["doc_id", "blocks"])
-
-    kinds = "doc_id long, blocks array<struct<start:int,end:int>>"
-    rest = partners.filter(F.size("others") > 0).select("doc_id", "others").mapInArrow(anchors, kinds)
-    blocks = both.mapInArrow(run, kinds).union(rest)
+    blocks = both.mapInArrow(run, "doc_id long, blocks array<struct<start:int,end:int>>")
     return blocks.groupBy("doc_id").agg(F.flatten(F.collect_list("blocks")).alias("blocks"))
 
 

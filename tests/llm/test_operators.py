@@ -189,6 +189,16 @@ def test_lines_of_many_partners(spark):
     assert got[100]["n_removed"] == 1  # crossed lines: one of them is aligned
 
 
+def test_short_and_repeated_lines_of_many_partners(spark):
+    """One-word, repeated and blank lines go with their block, however many other partners a document has."""
+    ship(spark)
+    pieces = [f"piece {i} begins right here\nword{i}\n\nsays {i}\nagain and again {i}\nsays {i}\nagain and again {i}\nand piece {i} ends here" for i in range(12)]
+    rows = [(i, f"own words of {i}\n{p}") for i, p in enumerate(pieces)] + [(99, "\n".join(["start of all", *pieces]))]
+    got = by_id(lines.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")))
+    assert all(got[i]["text"] == rows[i][1] for i in range(12))
+    assert (got[99]["text"], got[99]["n_removed"]) == ("start of all", 96)
+
+
 def test_anchored_lines():
     assert lines.anchored_lines([]) == []
     assert lines.anchored_lines([(1, 0, 5), (1, 2, 6), (1, 3, 1), (2, 1, 9)]) == [0, 1, 2]
