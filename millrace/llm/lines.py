@@ -1,6 +1,6 @@
 """Line dedup by pairwise alignment.
 
-Documents overlap if they share a line: each leads to the first document with that line. A
+Documents overlap if they share a line that is not blank, however short: each leads to the first document with that line. A
 document is aligned whole with every partner that its lines lead to, by patience diff: lines
 that occur once in both, in their longest common order, anchor the alignment, and equal
 neighbours extend it. Aligned blocks are deleted from the later document.
@@ -24,8 +24,6 @@ from pyspark.sql import functions as F
 from millrace.llm import textops
 from millrace.operators.staging import stage
 
-WORDS = 3  # words that a line needs to lead to another document
-
 
 def _lines(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(start, end, offsets of the texts) of the lines; a line does not hold its line feed."""
@@ -41,7 +39,7 @@ def _lines(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarra
 
 
 def line_table(docs: DataFrame) -> DataFrame:
-    """(doc_id, hashes, leads): hash of each line without white space at its ends (0: blank), and those that may lead elsewhere, each once."""
+    """(doc_id, hashes, leads): hash of each line without white space at its ends (0: blank), and those that are not blank, each once, to lead elsewhere."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in textops.slices(batches):
@@ -52,7 +50,7 @@ def line_table(docs: DataFrame) -> DataFrame:
             filled = last > first
             hashes = np.zeros(len(starts), np.uint64)
             hashes[filled] = textops.Rolling(data).of(a[first[filled]], b[last[filled] - 1])
-            at = np.flatnonzero(last - first >= WORDS)
+            at = np.flatnonzero(filled)
             keys, text = hashes[at], np.searchsorted(cuts, at, "right") - 1
             order = np.lexsort((keys, text))
             keys, text = keys[order], text[order]

@@ -199,6 +199,15 @@ def test_short_and_repeated_lines_of_many_partners(spark):
     assert (got[99]["text"], got[99]["n_removed"]) == ("start of all", 96)
 
 
+def test_copies_of_short_lines(spark):
+    """Lists of one-word lines and texts without blanks lead to their copies."""
+    ship(spark)
+    texts = ["apples\npears\n\nplums", "北京是中国的首都\n上海是最大的城市", "x"]
+    rows = [(10 * k + i, t) for i, t in enumerate(texts) for k in range(3)]
+    got = by_id(lines.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")))
+    assert all(got[i]["text"] == (t if i < 10 else "") for i, t in rows)
+
+
 def test_anchored_lines():
     assert lines.anchored_lines([]) == []
     assert lines.anchored_lines([(1, 0, 5), (1, 2, 6), (1, 3, 1), (2, 1, 9)]) == [0, 1, 2]
