@@ -1,11 +1,15 @@
 """Line dedup by pairwise alignment.
 
-Documents overlap if they share a line that is not blank, however short: each leads to the first document with that line. A
-document is aligned whole with every partner that its lines lead to, by patience diff: lines
-that occur once in both, in their longest common order, anchor the alignment, and equal
-neighbours extend it. Aligned blocks are deleted from the later document.
+Documents overlap if they share a line that is not blank, however short: each leads to the
+first document with that line. That one may have the lines in another order, so the runs of
+2, 4, 8 and so on of such lines, and the whole text, lead too, each to the first document
+that has it. A block that an earlier document has in this order thus meets one with at least
+half of it, and a copy meets the first text of all that equals it.
 
-A document has at most as many partners as lines, whatever the size of a group.
+A document is aligned whole with every partner by patience diff: lines that occur once in
+both, in their longest common order, anchor the alignment, and equal neighbours extend it.
+Aligned blocks are deleted from the later document. It has at most as many partners as
+leads, whatever the size of a group.
 
 Every line lives on in the first document that has it: there is no earlier one to align it
 with.
@@ -38,8 +42,22 @@ def _lines(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return starts, ends, cuts
 
 
+def _leads(lines: np.ndarray, text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the lines and of their runs of 2, 4, 8 and so on within a text, and the text of each."""
+    rolling = textops.Rolling(lines)
+    keys, texts, width = [lines], [text], 2
+    while width <= len(lines):
+        at = np.flatnonzero(text[: len(text) - width + 1] == text[width - 1 :])
+        if not len(at):
+            break
+        keys.append(rolling.of(at, at + width))
+        texts.append(text[at])
+        width *= 2
+    return np.concatenate(keys), np.concatenate(texts)
+
+
 def line_table(docs: DataFrame) -> DataFrame:
-    """(doc_id, hashes, leads): hash of each line without white space at its ends (0: blank), and those that are not blank, each once, to lead elsewhere."""
+    """(doc_id, hashes, leads): hash of each line without white space at its ends (0: blank), and the hashes that lead elsewhere, each once: lines that are not blank, runs of them, and the whole text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in textops.slices(batches):
@@ -50,8 +68,12 @@ def line_table(docs: DataFrame) -> DataFrame:
             filled = last > first
             hashes = np.zeros(len(starts), np.uint64)
             hashes[filled] = textops.Rolling(data).of(a[first[filled]], b[last[filled] - 1])
-            at = np.flatnonzero(filled)
-            keys, text = hashes[at], np.searchsorted(cuts, at, "right") - 1
+            solid, own = hashes[filled], np.searchsorted(cuts, np.flatnonzero(filled), "right") - 1
+            keys, text = _leads(solid, own)
+            # Texts with the same lines, blank ones too.
+            whole = np.unique(own)
+            keys = np.concatenate((keys, textops.Rolling(hashes).of(cuts[whole], cuts[whole + 1])))
+            text = np.concatenate((text, whole))
             order = np.lexsort((keys, text))
             keys, text = keys[order], text[order]
             fresh = np.ones(len(keys), bool)
@@ -178,7 +200,7 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
     Lines are compared without white space at their ends; the lines that stay keep
     theirs. Documents are kept even if nothing is left of them. Null texts stay null, and
     empty ones empty. Copies of a document lose all lines but in the copy with the
-    smallest id; rows that share an id are one document to the others, and none to each
+    smallest id, but for texts of blank lines; rows that share an id are one document to the others, and none to each
     other. Blank lines go only inside or at the edge of an aligned block.
     """
     docs = docs.drop("n_lines", "n_removed", "blocks")

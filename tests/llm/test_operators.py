@@ -208,6 +208,19 @@ def test_copies_of_short_lines(spark):
     assert all(got[i]["text"] == (t if i < 10 else "") for i, t in rows)
 
 
+def test_lines_in_the_order_of_a_later_holder(spark):
+    """All lines first stand in document 1, in another order; copies and blocks of document 2 and 100 still go whole."""
+    ship(spark)
+    first = [f"line number {i} of all" for i in range(24)]
+    crossed = [first[i * 7 % 24] for i in range(24)]
+    rows = [(1, "\n".join(first)), (2, "\n".join(crossed)), (3, "\n".join(crossed)), (4, "\n".join(["quite another start", *crossed[3:13], "quite another end"]))]
+    rows += [(100, "and so on\nb\n\na"), (101, "a"), (102, "b"), (103, "and so on\nb\n\na")]
+    got = by_id(lines.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")))
+    assert got[1]["text"] == rows[0][1] and got[100]["text"] == rows[4][1]
+    assert got[3]["text"] == "" and got[103]["text"] == ""
+    assert got[4]["text"] == "quite another start\nquite another end"
+
+
 def test_anchored_lines():
     assert lines.anchored_lines([]) == []
     assert lines.anchored_lines([(1, 0, 5), (1, 2, 6), (1, 3, 1), (2, 1, 9)]) == [0, 1, 2]
