@@ -23,6 +23,11 @@ SQL = {
         FROM v_sessions
         WHERE date_trunc('second', session_end) + INTERVAL 6 HOUR
               <= (SELECT date_trunc('second', max(ts)) - INTERVAL 10 MINUTE FROM events)""",
+    "all_stream_sessions": """
+        SELECT user_id, date_trunc('second', session_start) AS session_start, date_trunc('second', session_end) AS session_end, event_count,
+               date_trunc('second', session_end) + INTERVAL 6 HOUR
+                 > (SELECT date_trunc('second', max(ts)) - INTERVAL 10 MINUTE FROM events) AS is_open
+        FROM v_sessions""",
     "rebuild_partitions": f"""
         SELECT CAST(order_ts AS DATE) AS order_date, count(*) AS n
         FROM (SELECT order_ts FROM v_bronze1 WHERE order_ts < {AS_OF_ORDERS} - INTERVAL 60 DAY

@@ -212,7 +212,7 @@ FLOWS: dict[str, Query] = {
     name: getattr(flow, name)
     for name in [
         "load_json", "load_csv", "load_json_array", "filename_date", "load_audit", "unload_parquet", "table_profile",
-        "auto_ingest", "append_feed", "stream_sessions", "rebuild_partitions", "run_audit", "dwh_refresh", "churn_model",
+        "auto_ingest", "append_feed", "stream_sessions", "all_stream_sessions", "rebuild_partitions", "run_audit", "dwh_refresh", "churn_model",
     ]
 }
 

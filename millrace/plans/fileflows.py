@@ -136,7 +136,7 @@ def append_feed(r: History) -> DataFrame:
 
 
 def stream_sessions(r: History) -> DataFrame:
-    """Sessions the watermark has closed once the whole event table is read."""
+    """Sessions the watermark has closed once the whole event table is read; ``all_stream_sessions`` has the open ones too."""
     root = scratch_path(r.spark, "sessions")
     source = f"{r.sf_dir}/{{events}}.parquet"  # a pattern: a stream reads folders or patterns, not one file
     events = r.spark.readStream.schema(SCHEMAS["events"]).parquet(source)
@@ -152,6 +152,19 @@ def stream_sessions(r: History) -> DataFrame:
     return r.spark.read.schema(closed.schema).parquet(f"{root}/out")
 
 
+def all_stream_sessions(r: History) -> DataFrame:
+    """Every session of the event table: those the stream has closed, and those still open at its end.
+
+    A user's open sessions lie after the closed ones, so they are made of the events
+    after the last closed one.
+    """
+    closed = stream_sessions(r)
+    last = closed.groupBy("user_id").agg(F.max("session_end").alias("last_end"))
+    left = r.table("events").join(last, "user_id", "left").where("last_end IS NULL OR date_trunc('second', ts) > last_end")
+    still = session_stream(left, SESSION_GAP_S, "10 minutes")
+    return closed.withColumn("is_open", F.lit(False)).unionByName(still.withColumn("is_open", F.lit(True)))
+
+
 def rebuild_partitions(r: History, days: int = 60) -> DataFrame:
     """The first bronze version by date, with the last 60 days rebuilt from the second."""
     path = scratch_path(r.spark, "by-date")

@@ -32,3 +32,12 @@ def test_closed_stream_sessions_equal_the_batch_ones(spark, tmp_path):
     batch = sessionise(events.where("user_id < 9"), "user_id", "ts", "event_id", 1800).groupBy("user_id", "session_no")
     want = batch.agg(F.min("ts"), F.max("ts"), F.count("*")).drop("session_no").collect()
     assert got == {tuple(r) for r in want}
+
+
+def test_open_sessions_are_not_lost(spark, retail):
+    """Every event of the table is in one session, also where the watermark has not passed."""
+    from millrace.plans import fileflows
+
+    got = fileflows.all_stream_sessions(retail)
+    assert got.agg(F.sum("event_count")).first()[0] == retail.table("events").count()
+    assert got.where("is_open").count() > 0 < got.where("NOT is_open").count()
