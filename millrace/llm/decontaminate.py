@@ -9,7 +9,12 @@ block, the items. Candidates are verified by the exact weighted Jaccard similari
 shingles, which weighs each shingle with its number of occurrences.
 
 Windows without any shingle of an item have similarity 0 with all of them, so only windows
-around such shingles are fingerprinted.
+around such shingles are fingerprinted. Similar windows may differ in more bits than the
+radius. They hold at least 4/9 as many places with a shingle of the item as both have
+shingles, so windows with that many are candidates whatever their fingerprint is, and no
+window that passes is missed.
+
+Items of fewer words than a shingle are found where a document holds just these words.
 """
 
 from __future__ import annotations
@@ -81,10 +86,22 @@ class Items:
         self.ids, self.words = ids, np.diff(first)
         self.shingles = [_shingles(hashes[a:b]) for a, b in zip(first[:-1], first[1:], strict=True)]
         prints = np.array([simhash(s) if len(s) else 0 for s in self.shingles], np.uint64)
-        self.known = np.unique(np.concatenate([*self.shingles, np.zeros(0, np.uint64)]))
+        self.short = {int(n): np.flatnonzero(self.words == n) for n in np.unique(self.words) if 0 < n < SHINGLE}
+        self.short_hashes = {n: np.array([self.shingles[i][0] for i in own], np.uint64) for n, own in self.short.items()}
+        long = [i for i, n in enumerate(self.words) if n >= SHINGLE]
+        held = np.concatenate([*(self.shingles[i] for i in long), np.zeros(0, np.uint64)])
+        owner = np.repeat(np.array(long, np.int64), [len(self.shingles[i]) for i in long])
+        # Each shingle once per item; the items of the k-th known one start at holders[k].
+        order = np.lexsort((owner, held))
+        held, owner = held[order], owner[order]
+        fresh = np.ones(len(held), bool)
+        fresh[1:] = (held[1:] != held[:-1]) | (owner[1:] != owner[:-1])
+        held, self.owner = held[fresh], owner[fresh]
+        self.known, at = np.unique(held, return_index=True)
+        self.holders = np.append(at, len(held))
         ball = _ball(RADIUS // BLOCKS)
         self.tables: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {}
-        for size in sorted({int(w) for w in self.words if w}):
+        for size in sorted({int(w) for w in self.words if w >= SHINGLE}):
             own = np.flatnonzero(self.words == size)
             tables = []
             for block in range(BLOCKS):
@@ -111,28 +128,72 @@ class Items:
         pairs = np.unique(w[good] * len(self.ids) + i[good])
         return pairs // len(self.ids), pairs % len(self.ids)
 
+    def covered(self, place: np.ndarray, known: np.ndarray, length: int, n_words: int) -> dict[int, list[tuple[np.ndarray, np.ndarray]]]:
+        """(windows, item) by size: windows with enough shingles of an item to pass, where ``place`` holds the ``known`` shingle."""
+        count = self.holders[known + 1] - self.holders[known]
+        total = np.cumsum(count)
+        item = self.owner[np.arange(count.sum()) + np.repeat(self.holders[known] - (total - count), count)]
+        order = np.argsort(item, kind="stable")
+        item, place = item[order], np.repeat(place, count)[order]
+        own, first, n = np.unique(item, return_index=True, return_counts=True)
+        out: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {}
+        for i, a, m in zip(own.tolist(), first.tolist(), n.tolist(), strict=True):
+            size = int(self.words[i])
+            span = max(1, min(size, n_words) - SHINGLE + 1)
+            # least / (both - least) >= num / den, with no more in common than there are places.
+            least = -(-SIMILARITY[0] * (span + len(self.shingles[i])) // sum(SIMILARITY))
+            if m < least:
+                continue
+            at = place[a : a + m]
+            # A window with so many places starts at most a span before its last one, at or before its first one.
+            low, high = np.maximum(at[least - 1 :] - span + 1, 0), np.minimum(at[: m - least + 1], length - span)
+            good = low <= high
+            if good.any():
+                steps = np.zeros(length + 2, np.int64)
+                np.add.at(steps, low[good], 1)
+                np.add.at(steps, high[good] + 1, -1)
+                start = np.flatnonzero(np.cumsum(steps) > 0)
+                out.setdefault(size, []).append((start, np.full(len(start), i)))
+        return out
+
     def search(self, words: np.ndarray) -> list[tuple[int, int, int, float]]:
         """(item id, first word, number of words, similarity): the best window of each item that the sequence holds."""
+        best: dict[int, tuple[float, int, int]] = {}
+        rolling = textops.Rolling(words) if self.short else None
+        for size, own in self.short.items():
+            at = np.arange(max(0, len(words) - size + 1))
+            keys, first = np.unique(rolling.of(at, at + size), return_index=True)
+            wanted = self.short_hashes[size]
+            k = np.minimum(np.searchsorted(keys, wanted), max(0, len(keys) - 1))
+            for j in np.flatnonzero(keys[k] == wanted) if len(keys) else ():
+                best[int(own[j])] = (1.0, int(first[k[j]]), size)
         shingles = _shingles(words)
         at = np.minimum(np.searchsorted(self.known, shingles), max(0, len(self.known) - 1))
         hits = np.flatnonzero(self.known[at] == shingles) if len(self.known) else at[:0]
-        if not len(hits):
-            return []
+        if len(hits):
+            self._windows(words, shingles, hits, self.covered(hits, at[hits], len(shingles), len(words)), best)
+        return [(self.ids[i], s, n, x) for i, (x, s, n) in sorted(best.items())]
+
+    def _windows(self, words: np.ndarray, shingles: np.ndarray, hits: np.ndarray, more: dict, best: dict[int, tuple[float, int, int]]) -> None:
         sums = np.concatenate((np.zeros((1, 64), np.int32), np.cumsum(_signs(shingles), axis=0, dtype=np.int32)))
-        best: dict[int, tuple[float, int, int]] = {}
         for size in self.tables:
             span = max(1, min(size, len(words)) - SHINGLE + 1)  # shingles in a window
             last = len(shingles) - span
             close = np.unique((hits[:, None] - np.arange(span)).ravel())
             close = close[(close >= 0) & (close <= last)]
+            pairs = list(more.get(size, []))
             for k in range(0, len(close), RUN):
                 start = close[k : k + RUN]
-                for w, i in zip(*self.near(size, _fingerprint(sums[start + span] - sums[start])), strict=True):
-                    s = int(start[w])
-                    least, most = weighted_jaccard(shingles[s : s + span], self.shingles[i])
-                    if SIMILARITY[1] * least >= SIMILARITY[0] * most and least / most > best.get(int(i), (0.0,))[0]:
-                        best[int(i)] = (least / most, s, min(size, len(words)))
-        return [(self.ids[i], s, n, x) for i, (x, s, n) in sorted(best.items())]
+                w, own = self.near(size, _fingerprint(sums[start + span] - sums[start]))
+                pairs.append((start[w], own))
+            if not pairs:
+                continue
+            # In order of the windows, so that the first of equally similar ones is named.
+            both = np.unique(np.concatenate([s * len(self.ids) + i for s, i in pairs]))
+            for s, i in zip((both // len(self.ids)).tolist(), (both % len(self.ids)).tolist(), strict=True):
+                least, most = weighted_jaccard(shingles[s : s + span], self.shingles[i])
+                if SIMILARITY[1] * least >= SIMILARITY[0] * most and least / most > best.get(i, (0.0,))[0]:
+                    best[i] = (least / most, s, min(size, len(words)))
 
 
 FOUND = "doc_id long, item_id long, first_word int, words int, similarity double"
@@ -142,7 +203,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """(doc_id, item_id, first_word, words, similarity): each item that a document holds, with its best window.
 
     Texts are compared by words in lower case (A-Z). A window has as many words as the
-    item, or all those of a shorter document. Null and empty texts and items match
+    item, or all those of a shorter document; every window of similarity 0.8 counts. An item
+    of fewer than five words is held where these words follow each other. Null and empty texts and items match
     nothing. A repeated item matches under each of its ids, and repeated documents match
     each. The items are taken in turns of ``ITEMS``, each of them against all documents;
     empty tables give an empty result.

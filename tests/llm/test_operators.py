@@ -11,12 +11,13 @@ from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from millrace.llm import bpe, decontaminate, fm_dedup, jaccard, lines, passages, quality, rules, suffix_dedup, token_files, toxicity
+from millrace.llm import bpe, decontaminate, fm_dedup, jaccard, lines, passages, quality, rules, suffix_dedup, textops, token_files, toxicity
 from millrace.llm.queries import QUERIES
 from millrace.llm.samples import held_out
 from millrace.llm.shipping import ship
@@ -260,6 +261,45 @@ def test_multi_index_finds_every_fingerprint_in_the_radius():
     assert set(zip(w.tolist(), i.tolist(), strict=True)) == set(zip(*map(list, np.nonzero(near)), strict=True))
 
 
+def test_windows_against_brute_force():
+    """Every window that passes is found, also those whose SimHash differs in more bits than the radius."""
+    rng = np.random.default_rng(11)
+    least_of = lambda a, b: sum((Counter(a) & Counter(b)).values())
+    grams = lambda w: list(zip(*(w[k:] for k in range(5)), strict=False))
+    far = 0
+    for size in (7, 14, 34, 54, 59):
+        originals = [[f"a{rng.integers(10**6)}" for _ in range(size)] for _ in range(60)]
+        items = decontaminate.Items(list(range(60)), [" ".join(w) for w in originals])
+        for i, w in enumerate(originals):
+            doc = [f"b{rng.integers(10**6)}" for _ in range(40)]
+            doc[20:20] = w[: size - (size - 4) // 9] if i % 2 else [*w[:2], *w]
+            got = items.search(decontaminate_words(doc))
+            own = grams(w)
+            want = [(least_of(own, grams(doc[s : s + size])), s) for s in range(len(doc) - size + 1)]
+            least = max(want)[0]
+            passes = 5 * least >= 4 * (2 * len(own) - least)
+            assert [x[0] for x in got] == [i] * passes
+            if passes:
+                assert got[0][1] == min(s for n, s in want if n == least) and got[0][3] == pytest.approx(least / (2 * len(own) - least))
+                shingles = decontaminate._shingles(decontaminate_words(doc[got[0][1] : got[0][1] + size]))
+                far += (decontaminate.simhash(shingles) ^ int(items.prints[i])).bit_count() > decontaminate.RADIUS
+    assert far  # else nothing would tell this from the radius alone
+
+
+def decontaminate_words(words):
+    data, offsets = textops.pack(pa.array([" ".join(words)]))
+    starts, ends, _ = textops.words(data, offsets)
+    return textops.Rolling(data).of(starts, ends)
+
+
+def test_short_items_inside_documents(spark):
+    ship(spark)
+    docs = spark.createDataFrame([(1, "so it is The Answer, really and truly"), (2, "the answer"), (3, "answer, the"), (4, "yes"), (5, "one two three four five six")], "doc_id long, text string")
+    bench = spark.createDataFrame([(1, "the answer,"), (2, "Yes"), (3, "three four five six"), (4, "six one"), (5, "the answer,")], "item_id long, text string")
+    got = {tuple(r) for r in decontaminate.contaminated(docs, bench).collect()}
+    assert got == {(1, 1, 3, 2, 1.0), (1, 5, 3, 2, 1.0), (4, 2, 0, 1, 1.0), (5, 3, 2, 4, 1.0)}
+
+
 @pytest.mark.parametrize("name, label, least", [("op1_quality", "quality", 0.95), ("op5_toxicity", "toxic", 0.9)])
 def test_held_out_accuracy(spark, name, label, least):
     sf = "/root/testdata/sf0.01"
