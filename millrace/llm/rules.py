@@ -3,7 +3,11 @@
 Per language and source, the minimum-covariance-determinant estimate of the mean and
 covariance of transformed statistics is approached by concentration steps: from medians
 and absolute deviations on, the nearer part of the rows gives the next mean and covariance.
-Documents far from it by Mahalanobis distance are rejected. All estimates are sums of
+Documents far from it by Mahalanobis distance are rejected. To the covariance comes, for
+each document, the noise with which a text of its length shows a statistic: the variance of
+a mean or of the root of a count, so a short text needs more to stand out. It is at least the
+mean noise of the nearer part: what these texts do not show, they may be too short to show.
+All estimates are sums of
 partial aggregates; quantiles are exact over a bounded grid, so reruns agree and no task
 holds a group.
 """
@@ -24,16 +28,16 @@ SMALL = 30  # smaller groups are estimated together
 #: Squared distance beyond which a document is an outlier: chi-squared of 4 degrees is larger once in 100,000 cases.
 CUTOFF = 28.47
 MEDIAN_OF_CHI2 = 3.357  # fixed value: median of the chi-squared distribution of 4 degrees
-#: Standard deviations below which a statistic is taken for measurement noise.
-FLOORS = {"s_length": 0.05, "s_symbols": 0.08, "s_lines": 0.15, "s_repeats": 0.15}
-STATS = list(FLOORS)
+REPEAT = 6  # words that the least repeat adds to n_repeat_words: a window of three in two places
+STATS = ["s_length", "s_symbols", "s_lines", "s_repeats"]
+NOISE = [f"v_{s}" for s in STATS]
 GROUP = ["g_lang", "g_source"]
 
 _WHITE = r"[\x20\x09-\x0D]+"
 
 
 def base_statistics(docs: DataFrame) -> DataFrame:
-    """``docs`` (doc_id, text, lang, source) with n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed."""
+    """``docs`` (doc_id, text, lang, source) with n_words, word_chars, word_squares, n_symbols, n_dup_lines, n_repeat_words, base_failed."""
     text = F.coalesce(F.col("text"), F.lit(""))
     words = F.filter(F.split(text, _WHITE), lambda w: w != "")
     lines = F.filter(F.split(text, "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
@@ -42,6 +46,7 @@ def base_statistics(docs: DataFrame) -> DataFrame:
         F.coalesce("lang", F.lit("")).alias("g_lang"),
         F.coalesce("source", F.lit("")).alias("g_source"),
         F.length(F.regexp_replace(text, _WHITE, "")).cast("long").alias("word_chars"),
+        F.aggregate(words, F.lit(0).cast("long"), lambda a, w: a + F.length(w).cast("long") * F.length(w)).alias("word_squares"),
         (F.length(text) - F.length(F.translate(text, "#*$%&|<>", ""))).cast("long").alias("n_symbols"),
         lines.alias("lines"),
         F.transform(words, lambda x: F.xxhash64(x)).alias("w"),
@@ -70,7 +75,10 @@ def base_statistics(docs: DataFrame) -> DataFrame:
 
 
 def transformed(base: DataFrame) -> DataFrame:
-    """The statistics that are compared: logarithm of the mean word length, and square roots of shares."""
+    """The statistics that are compared, logarithm of the mean word length and square roots of shares, and the variance of each at this length.
+
+    A share of n, counted in lots of k, has a root of variance k / 4n, whatever the share is.
+    """
     per = lambda c: F.col(c) / F.col("n_words")
     return base.withColumns(
         {
@@ -78,6 +86,11 @@ def transformed(base: DataFrame) -> DataFrame:
             "s_symbols": F.sqrt(F.col("n_symbols") / F.col("word_chars")),
             "s_lines": F.sqrt(per("n_dup_lines")),
             "s_repeats": F.sqrt(per("n_repeat_words")),
+            # Words of one length still have a mean that one character more would change.
+            "v_s_length": F.greatest((F.col("word_squares") * F.col("n_words") / F.col("word_chars") ** 2 - 1) / F.col("n_words"), 1 / F.col("word_chars") ** 2),
+            "v_s_symbols": 1 / (4 * F.col("word_chars")),
+            "v_s_lines": 1 / (4 * F.col("n_words")),
+            "v_s_repeats": REPEAT / (4 * F.col("n_words")),
         }
     )
 
@@ -86,46 +99,48 @@ def _grid(x: Column, step: float) -> Column:
     return F.round(x / step).cast("long")
 
 
+def _mean_noise() -> list[Column]:
+    return [F.avg(v).alias(f"m_{v}") for v in NOISE]
+
+
 def _start(rows: DataFrame) -> DataFrame:
-    """Medians, and deviations as a diagonal root, by group."""
+    """Medians, and deviations as a diagonal covariance, by group."""
     step = 1 / 1024
-    middle = rows.groupBy(GROUP).agg(*((F.percentile(_grid(F.col(s), step), 0.5) * step).alias(f"m_{s}") for s in STATS))
+    middle = rows.groupBy(GROUP).agg(*((F.percentile(_grid(F.col(s), step), 0.5) * step).alias(f"m_{s}") for s in STATS), *_mean_noise())
     away = rows.join(middle, GROUP).groupBy(GROUP)
     wide = away.agg(*((F.percentile(_grid(F.abs(F.col(s) - F.col(f"m_{s}")), step), 0.5) * step * 1.4826).alias(f"d_{s}") for s in STATS))
     params = middle.join(wide, GROUP)
-    roots = {f"l_{i}_{j}": F.sqrt(F.col(f"d_{s}") ** 2 + FLOORS[s] ** 2) if i == j else F.lit(0.0) for i, s in enumerate(STATS) for j in range(i + 1)}
-    return params.withColumns(roots).withColumn("factor", F.lit(1.0)).drop(*(f"d_{s}" for s in STATS))
+    covariance = {f"c_{i}_{j}": F.col(f"d_{s}") ** 2 if i == j else F.lit(0.0) for i, s in enumerate(STATS) for j in range(i + 1)}
+    return params.withColumns(covariance).drop(*(f"d_{s}" for s in STATS))
 
 
 def _distance(rows: DataFrame) -> DataFrame:
-    """Squared Mahalanobis distances by forward substitution with the group's Cholesky factor."""
+    """Squared Mahalanobis distances, by the Cholesky factor of the group's covariance and the document's noise."""
+    added = lambda xs: reduce(lambda a, b: a + b, xs, F.lit(0.0))
     for i, s in enumerate(STATS):
-        rest = [F.col(f"l_{i}_{j}") * F.col(f"z_{j}") for j in range(i)]
-        rows = rows.withColumn(f"z_{i}", (F.col(s) - F.col(f"m_{s}") - reduce(lambda a, b: a + b, rest, F.lit(0.0))) / F.col(f"l_{i}_{i}"))
-    total = reduce(lambda a, b: a + b, [F.col(f"z_{i}") ** 2 for i in range(len(STATS))])
-    return rows.withColumn("distance", total * F.col("factor")).drop(*(f"z_{i}" for i in range(len(STATS))))
+        for j in range(i + 1):
+            left = F.col(f"c_{i}_{j}") - added([F.col(f"l_{i}_{k}") * F.col(f"l_{j}_{k}") for k in range(j)])
+            # The diagonal is at least the noise, so no statistic that never varies makes the matrix singular.
+            entry = F.sqrt(F.greatest(left, F.lit(0.0)) + F.greatest(NOISE[i], f"m_{NOISE[i]}")) if i == j else left / F.col(f"l_{j}_{j}")
+            rows = rows.withColumn(f"l_{i}_{j}", entry)
+        rest = added([F.col(f"l_{i}_{j}") * F.col(f"z_{j}") for j in range(i)])
+        rows = rows.withColumn(f"z_{i}", (F.col(s) - F.col(f"m_{s}") - rest) / F.col(f"l_{i}_{i}"))
+    places = [(i, j) for i in range(len(STATS)) for j in range(i + 1)]
+    out = rows.withColumn("distance", added([F.col(f"z_{i}") ** 2 for i in range(len(STATS))]))
+    return out.drop(*(f"z_{i}" for i in range(len(STATS))), *(f"l_{i}_{j}" for i, j in places))
 
 
 _bucket = lambda d: _grid(F.log(d + 1e-6), 1 / 64)
 
 
 def _concentrate(rows: DataFrame, params: DataFrame) -> DataFrame:
-    """Mean and Cholesky factor of the nearer part of each group."""
-    near = _distance(rows.join(params, GROUP)).select(*GROUP, *STATS, _bucket(F.col("distance")).alias("bucket"))
+    """Mean and covariance of the nearer part of each group."""
+    near = _distance(rows.join(params, GROUP)).select(*GROUP, *STATS, *NOISE, _bucket(F.col("distance")).alias("bucket"))
     bound = near.groupBy(GROUP).agg(F.ceil(F.percentile("bucket", SHARE)).alias("bound"))
     near = near.join(bound, GROUP).filter("bucket <= bound")
     moments = [F.avg(s).alias(f"m_{s}") for s in STATS]
     moments += [F.covar_pop(STATS[i], STATS[j]).alias(f"c_{i}_{j}") for i in range(len(STATS)) for j in range(i + 1)]
-    out = near.groupBy(GROUP).agg(*moments)
-    for i, s in enumerate(STATS):
-        for j in range(i + 1):
-            done = reduce(lambda a, b: a + b, [F.col(f"l_{i}_{k}") * F.col(f"l_{j}_{k}") for k in range(j)], F.lit(0.0))
-            left = F.col(f"c_{i}_{j}") - done
-            # The diagonal is at least the noise floor, so no statistic that never varies makes the matrix singular.
-            entry = F.sqrt(F.greatest(left, F.lit(0.0)) + FLOORS[s] ** 2) if i == j else left / F.col(f"l_{j}_{j}")
-            out = out.withColumn(f"l_{i}_{j}", entry)
-    out = out.drop(*(f"c_{i}_{j}" for i in range(len(STATS)) for j in range(i + 1)))
-    return out.withColumn("factor", F.lit(1.0))
+    return near.groupBy(GROUP).agg(*moments, *_mean_noise())
 
 
 def judge(docs: DataFrame) -> DataFrame:
@@ -143,7 +158,7 @@ def judge(docs: DataFrame) -> DataFrame:
     rows = transformed(sound).join(sizes, GROUP)
     small = F.col("count") < SMALL
     rest = {g: F.when(small, F.lit("\u0000rest")).otherwise(F.col(g)) for g in GROUP}
-    rows = stage(rows.withColumns(rest).select("doc_id", *GROUP, *STATS), "transformed")
+    rows = stage(rows.withColumns(rest).select("doc_id", *GROUP, *STATS, *NOISE), "transformed")
     enough = stage(rows.groupBy(GROUP).count().filter(F.col("count") >= SMALL).select(*GROUP), "groups")
     params = stage(_start(rows.join(enough, GROUP)), "estimates")
     for _ in range(STEPS):

@@ -163,6 +163,25 @@ def test_outliers_against_numpy(spark):
     assert kept == {i for i in range(400) if i % 40}
 
 
+@pytest.mark.parametrize("kind", ["lines", "repeats", "symbols"])
+def test_outliers_in_one_statistic(spark, kind):
+    """Duplicate lines, repeated words or a tenth of symbols suffice to be rejected, each alone."""
+    rng = np.random.default_rng(4)
+    rows = []
+    for i in range(400):
+        w = ["".join(rng.choice(list("abcdefgh"), rng.integers(2, 9))) for _ in range(200)]
+        if i % 40 == 0 and kind == "lines":
+            w = [x for k, v in enumerate(w) for x in ([v, "\nabcde\n"] if k % 7 == 0 else [v])]
+        elif i % 40 == 0 and kind == "repeats":
+            w = [x for k, v in enumerate(w) for x in ([v, *w[:12]] if k % 40 == 39 else [v])]
+        elif i % 40 == 0:
+            w = [x[:-1] + "#" if k % 2 else x for k, x in enumerate(w)]
+        rows.append((i, " ".join(w), "en", "s"))
+    got = by_id(rules.judge(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")))
+    assert not any(r["base_failed"] for r in got.values())
+    assert {i for i, r in got.items() if r["kept"]} == {i for i in range(400) if i % 40}
+
+
 def test_lines(spark, corpus):
     ship(spark)
     shared = "first shared line here\nsecond shared line here\n\nthird shared line here"
