@@ -8,7 +8,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import bpe, decontaminate, fm_dedup, jaccard, lines, quality, rules, suffix_dedup, token_files, toxicity
+from millrace.llm import (
+    bpe,
+    decontaminate,
+    fm_dedup,
+    jaccard,
+    lines,
+    prefix_trie,
+    quality,
+    rules,
+    simhash,
+    suffix_dedup,
+    token_files,
+    toxicity,
+    whitening,
+)
 from millrace.llm.samples import held_out
 from millrace.llm.shipping import ship
 from millrace.operators.staging import scratch_path
@@ -78,6 +92,18 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.jaccard_components(table(spark, sf_dir, "documents"), rule).select("doc_id", "n_shingles", "component_id")
 
 
+def op11_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_quality": op1_quality,
     "op2_suffix_dedup": op2_suffix_dedup,
@@ -89,6 +115,9 @@ QUERIES: dict[str, Query] = {
     "op8_line_dedup": op8_line_dedup,
     "op9_quality_rules": op9_quality_rules,
     "op10_jaccard_join": op10_jaccard_join,
+    "op11_simhash": op11_simhash,
+    "op12_prefix_trie": op12_prefix_trie,
+    "op13_whitening": op13_whitening,
 }
 
 ORACLE_SQL: dict[str, str] = {}
