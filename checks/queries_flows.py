@@ -1,5 +1,7 @@
 from checks.views import AS_OF_ORDERS
 
+PROFILED = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"]
+
 _LOADED = """
     SELECT order_id, customer_id, order_ts, CASE WHEN order_id % 11 = 4 THEN NULL ELSE order_status END AS order_status,
            CASE WHEN order_id % 13 = 5 THEN NULL ELSE total_amount END AS total_amount
@@ -16,6 +18,41 @@ SQL = {
     "unload_parquet": """
         SELECT event_date, count(*) AS n
         FROM (SELECT CAST(event_ts AS DATE) AS event_date, user_id FROM v_user_events GROUP BY ALL) GROUP BY event_date""",
+    "load_audit": f"""
+        SELECT CAST(order_id % 2 AS INTEGER) AS arrival, TIMESTAMP '2024-05-01 00:00:00' + to_hours(CAST(order_id % 2 * 20 AS INTEGER)) AS load_time,
+               count_if(order_id % 100 <> 3)::BIGINT AS row_count, count(*) AS row_parsed, order_id % 2 = 1 AS last_day,
+               count_if(order_id % 100 = 3) > 0 AS has_errors, (SELECT count(*) FROM ({_LOADED})) AS table_rows
+        FROM v_bronze GROUP BY order_id % 2""",
+    "load_manifest": """
+        SELECT event_id, user_id, date_trunc('millisecond', event_ts) AS event_ts, event_type FROM v_user_events WHERE event_id % 3 <> 1""",
+    "table_profile": " UNION ALL ".join(f"SELECT '{t}' AS table_name, count(*) AS row_count, true AS has_bytes FROM {t}" for t in PROFILED),
+    "stream_silver": "SELECT order_id, order_status, total_amount, is_high_value, is_deleted FROM v_silver",
+    "rebuild_report": f"""
+        WITH d AS (SELECT CAST(unnest(generate_series({AS_OF_ORDERS} - INTERVAL 60 DAY, {AS_OF_ORDERS}, INTERVAL 1 DAY)) AS DATE) AS order_date),
+        n AS (SELECT CAST(order_ts AS DATE) AS order_date, count(*) AS row_count, count(e) AS error_count, min(e) AS first_error
+              FROM (SELECT order_ts, CASE WHEN customer_id <= 0 THEN 'UNKNOWN_CUSTOMER' WHEN total_amount IS NULL THEN 'NO_AMOUNT' END AS e
+                    FROM v_bronze2) GROUP BY 1),
+        o AS (SELECT CAST(order_ts AS DATE) AS order_date, count(*) AS row_count FROM v_bronze1 GROUP BY 1),
+        r AS (SELECT order_date, coalesce(n.row_count, 0) AS row_count, coalesce(error_count, 0) AS error_count, first_error,
+                     coalesce(error_count, 0) = 0 AS published,
+                     CASE WHEN coalesce(error_count, 0) = 0 THEN coalesce(n.row_count, 0) ELSE coalesce(o.row_count, 0) END AS rows_now
+              FROM d LEFT JOIN n USING (order_date) LEFT JOIN o USING (order_date))
+        SELECT *, CASE WHEN (SELECT bool_and(published) FROM r) THEN 'OK' WHEN (SELECT bool_or(published) FROM r) THEN 'PARTIAL_FAILURE' ELSE 'ERROR' END AS status,
+               (SELECT sum(row_count)::BIGINT FROM r WHERE published) AS rows_inserted, (SELECT sum(error_count)::BIGINT FROM r) AS rows_rejected
+        FROM r""",
+    "customer_360_refresh": """
+        SELECT customer_id, snapshot_date, total_spend_30d, order_count_30d, top_category, traits, true AS scored FROM v_c360
+        UNION ALL SELECT customer_id, snapshot_date, total_spend_30d, order_count_30d, top_category, traits, false FROM v_c360_earlier""",
+    "customer_360_runs": """
+        SELECT 'c360-' || n AS run_id, 'customer_360_refresh' AS proc_name, 'OK' AS status, count(*) AS rows_processed,
+               count_if(customer_id % 2 = 1 AND n = 1)::BIGINT AS rows_inserted, count_if(customer_id % 2 = 0 AND n = 1)::BIGINT AS rows_updated,
+               CAST(0 AS BIGINT) AS rows_rejected
+        FROM v_c360, (VALUES (1), (2)) t(n) GROUP BY n""",
+    "channel_quantiles": """
+        SELECT channel, count(total_amount) AS amount_count, true AS median_close, true AS p95_close FROM v_orders GROUP BY channel""",
+    "approx_channel": """
+        SELECT channel, count(DISTINCT customer_id) AS customers, true AS approx_customers_close, true AS approx_median_close,
+               true AS approx_p95_close FROM v_orders GROUP BY channel""",
     "auto_ingest": f"SELECT order_id, order_status, total_amount FROM ({_LOADED})",
     "append_feed": "SELECT order_id, order_status, total_amount FROM v_bronze",
     "stream_sessions": """

@@ -92,7 +92,7 @@ VIEWS = {
                CAST(sum(coalesce(order_total, 0)) AS DECIMAL(12,2)) AS gmv,
                string_agg(DISTINCT utm_source, '|' ORDER BY utm_source) AS utm_sources,
                round(quantile_cont(lat, 0.5), 6) AS median_lat, round(quantile_cont(lon, 0.5), 6) AS median_lon,
-               min(country) AS country
+               min(country) AS country, min(device_type) AS device_type
         FROM v_sessionised WHERE event_ts >= TIMESTAMP '2024-01-01 00:00:00'
         GROUP BY user_id, session_no""",
     "v_session_lookup": """
@@ -114,6 +114,13 @@ VIEWS = {
         SELECT user_id AS customer_id, 'C' || (user_id % 7) AS campaign_id, ts AS last_touch_ts,
                CAST(value AS DECIMAL(12,2)) AS attribution_pct
         FROM events WHERE event_type = 'click'""",
+    # The bounds of an amount's class, both included; what none holds is a whale.
+    "v_amount_classes": """
+        SELECT * FROM (VALUES ('micro', -1e12, 24.99), ('small', 25, 99.99), ('medium', 100, 499), ('large', 500, 1999)) t(class, low, high)""",
+    # Who sees addresses in clear, and who sees customers of every country.
+    "v_roles": """
+        SELECT * FROM (VALUES ('ACCOUNTADMIN', false, true), ('SECURITY_ADMIN', true, true), ('PII_ADMIN', true, false), ('R0', false, false))
+            t(role, sees_clear, sees_all)""",
     "v_role_map": """
         SELECT 'R' || (n_nationkey % 3) AS role_name, n_name AS country FROM nation
         UNION ALL SELECT 'PII_ADMIN', n_name FROM nation WHERE n_nationkey % 3 = 1""",

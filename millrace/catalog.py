@@ -12,6 +12,7 @@ from millrace.functions.semantics import order_asc
 from millrace.operators import hierarchy
 from millrace.operators import writes as wr
 from millrace.operators.changes import as_of_read
+from millrace.operators.keys import KeyMarks
 from millrace.operators.sessions import sessionise
 from millrace.operators.staging import scratch_path
 from millrace.plans import cdc
@@ -56,7 +57,7 @@ RELATIONAL: dict[str, Query] = {
     "null_ordering": lambda r: rel.null_ordering(r.customers),
     "datediff_units": lambda r: rel.datediff_units(r.orders, AS_OF_ORDERS),
     "bool_aggs": lambda r: rel.bool_aggs(r.customers),
-    "approx_channel": lambda r: rel.approx_channel(r.orders),
+    "approx_channel": flow.approx_channel,
     "pivot_channel": lambda r: rel.pivot_channel(r.orders, AS_OF_ORDERS),
     "unpivot_spend": lambda r: rel.unpivot_spend(r.daily_channel_metrics, AS_OF_ORDERS),
     "sample_orders": lambda r: rel.sample_orders(r.orders, AS_OF_ORDERS),
@@ -70,7 +71,7 @@ RELATIONAL: dict[str, Query] = {
     ),
     "category_tree": lambda r: hierarchy.category_tree(r.categories),
     "customer_lifetime": lambda r: rel.customer_lifetime(r.orders, r.customers),
-    "country_summary": lambda r: rel.country_summary(rel.customer_lifetime(r.orders, r.customers)).drop("p95_revenue"),
+    "country_summary": flow.country_summary,
     "top_countries": lambda r: rel.top_countries(
         rel.refresh_layers(r.orders, r.customers, scratch_path(r.spark, "layers"))[1]
     ),
@@ -92,8 +93,7 @@ EVENTS: dict[str, Query] = {
         r.user_events.select("event_id", "user_id", "event_ts"), "user_id", "event_ts", "event_id", SESSION_GAP_S
     ),
     "session_metrics": lambda r: _sessions(r).withColumn("median_lat", F.round("median_lat", 6))
-    .withColumn("median_lon", F.round("median_lon", 6))
-    .drop("device_type", "country"),
+    .withColumn("median_lon", F.round("median_lon", 6)),
     "session_p95": lambda r: click.session_p95(_sessions(r)),
     "enriched_events": lambda r: click.enriched_events(r.user_events, r.session_lookup),
     "state_path": lambda r: click.state_path(r.user_state_changes),
@@ -105,7 +105,7 @@ GOVERNANCE: dict[str, Query] = {
     ),
     "pii_projection": lambda r: gov.pii_projection(r.customers),
     "order_risk": lambda r: gov.order_risk(r.orders, r.customers, AS_OF_ORDERS, days=30),
-    "customer_audit_log": lambda r: gov.customer_audit_log(r.customers, AS_OF_ORDERS),
+    "customer_audit_log": flow.customer_audit_log,
 }
 
 NEW_CUSTOMERS = [
@@ -144,11 +144,12 @@ def _upsert(r: History) -> wr.MergeResult:
 
 
 def _restore(r: History) -> DataFrame:
-    """Bring rows of an earlier version back into the present table."""
-    channel = r.orders.select("order_id", "channel")
+    """Bring rows of an earlier version back into the present table; the earlier one had no currency."""
+    extra = r.orders.select("order_id", "channel", F.lit("EUR").alias("currency"))
+    present = r.bronze_v2.join(extra, "order_id").select("order_id", "total_amount", "order_status", "channel", "currency")
+    present = wr.with_defaults(present, {"currency": "'USD'"})
     columns = ["order_id", "total_amount", "order_status", "channel"]
-    present = r.bronze_v2.join(channel, "order_id").select(*columns)
-    earlier = r.bronze_v1.join(channel, "order_id").select(*columns)
+    earlier = r.bronze_v1.join(extra, "order_id").select(*columns)
     restored = {c: F.col(f"s.{c}") for c in ["total_amount", "order_status"]}
     return wr.merge_into(
         present,
@@ -174,7 +175,13 @@ def _dim(r: History) -> DataFrame:
 
 
 def _fact(r: History) -> DataFrame:
-    return dwh.fact_merge(r.fact_before, r.feed, r.order_items, _dim(r), AS_OF_ORDERS)[0]
+    """The facts as stored by month, after the feed was merged into the months it touches."""
+    root = scratch_path(r.spark, "facts")
+    table = dwh.fact_table(r.fact_before, f"{root}/fact")
+    marks = KeyMarks(r.spark, f"{root}/marks")
+    marks.advance("fact", r.fact_before, "order_sk", "before")
+    dwh.merge_facts(table, r.feed, r.order_items, _dim(r), AS_OF_ORDERS, marks, "run")
+    return table.read()
 
 
 WRITES: dict[str, Query] = {
@@ -192,12 +199,12 @@ WRITES: dict[str, Query] = {
     "change_feed": lambda r: r.feed.select("order_id", "action", "is_update", "order_status", "total_amount"),
     "cdc_silver_merge": lambda r: _silver(r).select("order_id", "order_status", "total_amount", "is_high_value", "is_deleted"),
     "cdc_gold_daily": _gold,
-    "late_orders_alert": lambda r: cdc.late_orders(_silver(r), AS_OF_ORDERS).drop("alert_ts"),
+    "late_orders_alert": lambda r: cdc.late_orders(_silver(r), AS_OF_ORDERS),
 }
 
 WAREHOUSE: dict[str, Query] = {
     "scd2_customers": lambda r: _dim(r).drop("customer_sk", "attrs"),
-    "fact_merge": lambda r: _fact(r).drop("order_sk", "payload_parts", "loaded_at"),
+    "fact_merge": lambda r: _fact(r).drop("payload_parts", "loaded_at"),
     "bridge_rebuild": lambda r: dwh.bridge_rebuild(r.bridge_before, _fact(r), r.order_items, r.products, BRIDGE_DAY),
     "orphan_rejects": lambda r: dwh.orphan_rejects(r.feed, _dim(r), "run").drop("run_id"),
     "vip_history": lambda r: dwh.vip_history(_dim(r)),
@@ -211,8 +218,9 @@ WAREHOUSE: dict[str, Query] = {
 FLOWS: dict[str, Query] = {
     name: getattr(flow, name)
     for name in [
-        "load_json", "load_csv", "load_json_array", "filename_date", "load_audit", "unload_parquet", "table_profile",
-        "auto_ingest", "append_feed", "stream_sessions", "all_stream_sessions", "rebuild_partitions", "run_audit", "dwh_refresh", "churn_model",
+        "load_json", "load_csv", "load_json_array", "load_manifest", "filename_date", "load_audit", "unload_parquet", "table_profile",
+        "auto_ingest", "append_feed", "stream_silver", "stream_sessions", "all_stream_sessions", "rebuild_partitions", "rebuild_report",
+        "run_audit", "dwh_refresh", "customer_360_refresh", "customer_360_runs", "channel_quantiles", "churn_model",
     ]
 }
 

@@ -48,6 +48,24 @@ def collapse_feed(feed: DataFrame) -> DataFrame:
     return feed.where(~((F.col("action") == "DELETE") & F.col("is_update")))
 
 
+def last_change(feed: DataFrame, keys: list[str], sequence: str) -> DataFrame:
+    """One row per key: its last change by ``sequence``, for feeds that hold several of one key.
+
+    ``is_update`` says whether the key was there before the first change of the feed, so that
+    a delete and a later insert are an update. An insert that is deleted again is left as a delete
+    of nothing. The old half of an update comes before the new one.
+    """
+    rest = [c for c in feed.columns if c not in keys]
+    at = [F.col(sequence), F.col("action")]
+    ends = feed.groupBy(*keys).agg(
+        F.min(F.struct(*[c.alias(f"o{i}") for i, c in enumerate(at)])).alias("first"),
+        F.max_by(F.struct(*rest), F.struct(*at)).alias("last"),
+    )
+    existed = F.col("first.o1") == "DELETE"
+    flat = ends.select(*keys, "last.*", existed.alias("_existed"))
+    return flat.withColumn("is_update", F.col("_existed") & (F.col("action") == "INSERT")).select(*feed.columns)
+
+
 def as_of_read(df: DataFrame, ts) -> DataFrame:
     """Rows valid at ``ts`` in a table with ``valid_from`` / ``valid_to``."""
     return df.where((F.col("valid_from") <= ts) & (F.col("valid_to").isNull() | (ts < F.col("valid_to"))))

@@ -188,13 +188,14 @@ def global_row_number(df: DataFrame, order: list[Column], name: str, start: int
 
     ``order`` must be a total order.
     """
-    rows = _ranged(df, [], order)
-    numbered = rows.withColumn(
-        "_rn", F.row_number().over(Window.partitionBy("_part").orderBy(*order)).cast("bigint")
-    )
+    # The rows are sorted and numbered within their part as they are written; the only
+    # shuffle is the one by range.
+    place = F.monotonically_increasing_id()
+    ordered = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    numbered = stage(ordered.withColumns({"_part": F.shiftright(place, 33), "_rn": place.bitwiseAND(F.lit((1 << 33) - 1)) + 1}), "numbered")
     # One row per range part, so the unpartitioned window below sees at most
     # spark.sql.shuffle.partitions rows.
-    sizes = rows.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
+    sizes = numbered.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
     earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select(F.col("_part"), F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_offset"))
     return numbered.join(offsets, "_part").select(

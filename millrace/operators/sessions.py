@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from millrace.functions.scoring import amount_bucket
 from millrace.functions.semantics import datediff_boundary, order_asc
 from millrace.operators.ordered import Hot, Scan, exact_percentile, find_hot, match_keys, ordered_scan
+from millrace.operators.staging import stage
 
 
 def sessionise(
@@ -83,10 +84,12 @@ def interval_join(
 ) -> DataFrame:
     """Left join on equal keys and ``ts BETWEEN start AND end``.
 
-    Each interval is repeated once per time bucket it touches and rows are joined
-    on (key, bucket), so the rows of one busy key are compared only with the
-    intervals of their own bucket and spread over tasks by time. ``right`` columns
-    are those of ``right`` other than the keys.
+    An interval of up to ``SHORT`` time buckets is repeated once per bucket and joined on
+    (key, bucket), so the rows of one busy key are compared only with the intervals of their
+    own bucket and spread over tasks by time. A longer one is cut into dyadic cells, two at most
+    of each width of 1, 2, 4 ... buckets, so an interval open to the end of time has some fifty
+    cells; rows look for it under every width in use. ``right`` columns are those of ``right``
+    other than the keys.
     """
 
     def bucket(at: Column) -> Column:
@@ -98,21 +101,52 @@ def interval_join(
         )
         return F.floor(seconds / bucket_s)
 
-    spread = right.where(F.col(start) <= F.col(end)).withColumn(
-        "_bucket", F.explode(F.sequence(bucket(F.col(start)), bucket(F.col(end))))
-    )
-    l = left.withColumn("_bucket", bucket(F.col(ts))).alias("l")
-    r = spread.alias("r")
-    condition = reduce(
-        lambda a, b: a & b,
-        [F.col(f"l.{k}") == F.col(f"r.{k}") for k in keys]
-        + [
-            F.col("l._bucket") == F.col("r._bucket"),
-            F.col(f"l.{ts}").between(F.col(f"r.{start}"), F.col(f"r.{end}")),
-        ],
-    )
-    added = [F.col(f"r.{c}") for c in right.columns if c not in keys]
-    return l.join(r, condition, "left").select(*[F.col(f"l.{c}") for c in left.columns], *added)
+    added = [c for c in right.columns if c not in keys]
+    ends = right.where(F.col(start) <= F.col(end)).withColumns({"_from": bucket(F.col(start)), "_to": bucket(F.col(end))})
+    ends = stage(ends, "intervals")
+
+    def meet(rows: DataFrame, intervals: DataFrame, at: list[str], how: str) -> DataFrame:
+        equal = [F.col(f"l.{k}") == F.col(f"r.{k}") for k in [*keys, *at]]
+        inside = F.col(f"l.{ts}").between(F.col(f"r.{start}"), F.col(f"r.{end}"))
+        joined = rows.alias("l").join(intervals.alias("r"), reduce(lambda a, b: a & b, [*equal, inside]), how)
+        kept = [c for c in rows.columns if c not in at]
+        return joined.select(*[F.col(f"l.{c}") for c in kept], *[F.col(f"r.{c}") for c in added])
+
+    is_short = F.col("_to") - F.col("_from") < SHORT
+    short = ends.where(is_short).withColumn("_cell", F.explode(F.sequence("_from", "_to")))
+    cells = F.explode(F.flatten(F.transform(F.sequence(F.lit(0), F.lit(WIDTHS)), _dyadic_cells)))
+    long = ends.where(~is_short).select("*", cells.alias("_c")).select("*", F.col("_c.width").alias("_width"), F.col("_c.cell").alias("_cell"))
+    widths = [r[0] for r in long.select("_width").distinct().collect()]  # at most WIDTHS + 1
+    if not widths:
+        return meet(left.withColumn("_cell", bucket(F.col(ts))), short, ["_cell"], "left")
+
+    # A row may meet intervals of several widths, so the rows that meet none are found by number.
+    numbered = stage(left.withColumn("_row", F.monotonically_increasing_id()), "interval-rows")
+    near = meet(numbered.withColumn("_cell", bucket(F.col(ts))), short, ["_cell"], "inner")
+    looking = numbered.withColumn("_width", F.explode(F.array(*[F.lit(w) for w in widths])))
+    looking = looking.withColumn("_cell", F.floor(bucket(F.col(ts)) / F.pow(F.lit(2.0), F.col("_width"))))
+    met = near.unionByName(meet(looking, long, ["_width", "_cell"], "inner"))
+    nulls = [F.lit(None).cast(right.schema[c].dataType).alias(c) for c in added]
+    alone = numbered.join(met.select("_row").distinct(), "_row", "left_anti").select(*numbered.columns, *nulls)
+    return met.unionByName(alone).drop("_row")
+
+
+SHORT = 16  # buckets that an interval may be repeated for
+WIDTHS = 40  # doublings of the bucket; 2^40 buckets of a second are 35,000 years
+
+
+def _dyadic_cells(width: Column) -> Column:
+    """The cells of 2^width buckets in _from .. _to that no wider cell in there holds: two at most.
+
+    An odd one that starts the range and an even one that ends it have parents reaching out of it.
+    """
+    size = F.pow(F.lit(2.0), width)
+    first, last = F.ceil(F.col("_from") / size), F.floor((F.col("_to") + 1) / size) - 1
+    inside = first <= last
+    at_start = F.when(inside & (F.pmod(first, F.lit(2)) == 1), first)
+    at_end = F.when(inside & (F.pmod(last, F.lit(2)) == 0), last)
+    cells = F.array_distinct(F.filter(F.array(at_start, at_end), lambda c: c.isNotNull()))
+    return F.transform(cells, lambda c: F.struct(width.alias("width"), c.alias("cell")))
 
 
 def sequence_match(

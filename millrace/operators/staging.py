@@ -39,4 +39,11 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    staged = spark.read.schema(df.schema).parquet(path)
+    staged._staged = True
+    return staged
+
+
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """``df`` itself when it is a staged table already, otherwise staged."""
+    return df if getattr(df, "_staged", False) else stage(df, name)

@@ -14,19 +14,32 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
 from millrace.operators.ordered import global_row_number
-from millrace.operators.staging import stage
+from millrace.operators.staging import staged
 
 
-def apply_defaults(df: DataFrame, schema: StructType, defaults: dict[str, Column]) -> DataFrame:
-    """Bring an INSERT's columns to the table schema; absent ones get their default or NULL."""
-    present = set(df.columns)
+DEFAULT = "default"  # key in a column's metadata: an SQL expression
 
-    def column(name: str) -> Column:
-        if name in present:
-            return F.col(name)
-        return defaults.get(name, F.lit(None))
 
-    return df.select(*[column(f.name).cast(f.dataType).alias(f.name) for f in schema])
+def with_defaults(df: DataFrame, defaults: dict[str, str]) -> DataFrame:
+    """Declare what a column gets when an INSERT does not name it; the table's schema carries it along."""
+    return df.select(*[F.col(f.name).alias(f.name, metadata={**f.metadata, DEFAULT: defaults[f.name]}) if f.name in defaults else f.name for f in df.schema])
+
+
+def default_of(f: StructField) -> Column:
+    """A column's declared default, or NULL."""
+    return F.expr(f.metadata[DEFAULT]) if DEFAULT in f.metadata else F.lit(None)
+
+
+def apply_defaults(df: DataFrame, schema: StructType, defaults: dict[str, Column] | None = None) -> DataFrame:
+    """Bring an INSERT's columns to the table schema; absent ones get the default given here, the declared one, or NULL."""
+    present, given = set(df.columns), defaults or {}
+
+    def column(f: StructField) -> Column:
+        if f.name in present:
+            return F.col(f.name)
+        return given.get(f.name, default_of(f))
+
+    return df.select(*[column(f).cast(f.dataType).alias(f.name, metadata=f.metadata) for f in schema])
 
 
 def update_where(df: DataFrame, predicate: Column, assignments: dict[str, Column]) -> DataFrame:
@@ -144,9 +157,10 @@ def merge_into(
       source's can only be inserted.
     * Fails when two source rows would change the same target row.
       ``source_is_unique`` skips that check for a source grouped by the keys.
-    * Columns not named by a clause keep the target's value, or NULL on insert.
+    * Columns not named by a clause keep the target's value; on insert they get their
+      declared default, or NULL.
     """
-    source = stage(source, "feed")
+    source = staged(source, "feed")
     if not source_is_unique and matched:
         _check_single_match(target, source, on, matched, target_scope)
 
@@ -166,7 +180,7 @@ def merge_into(
         for i, new in numbered:
             if f.name in new:
                 value = F.when(F.col("_clause") == i, new[f.name]).otherwise(value)
-        return value.cast(f.dataType).alias(f.name)
+        return value.cast(f.dataType).alias(f.name, metadata=f.metadata)
 
     changes = list(enumerate(m.set for m in matched))
     log = decided.select(action.alias("_action"), *[column(f, F.col(f"t.{f.name}"), changes) for f in target.schema])
@@ -179,7 +193,7 @@ def merge_into(
         decided = unmatched.alias("s").withColumn("_clause", _first_true([_fires(n) for n in not_matched]))
         inserts = list(enumerate(n.values for n in not_matched))
         added = decided.where(F.col("_clause").isNotNull()).select(
-            F.lit("insert").alias("_action"), *[column(f, F.lit(None), inserts) for f in target.schema]
+            F.lit("insert").alias("_action"), *[column(f, default_of(f), inserts) for f in target.schema]
         )
         log = log.unionByName(added)
     return MergeResult(log)

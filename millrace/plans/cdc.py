@@ -8,7 +8,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions.semantics import datediff_boundary
-from millrace.operators.changes import collapse_feed
+from millrace.operators.changes import collapse_feed, last_change
+from millrace.operators.partitions import PartitionedTable
+from millrace.operators.staging import stage
 from millrace.operators.writes import Matched, MergeResult, NotMatched, merge_into
 from millrace.plans.relational import since
 from millrace.sources.retail import ntz
@@ -31,20 +33,26 @@ def first_silver(bronze: DataFrame, as_of: datetime) -> DataFrame:
     )
 
 
-def silver_merge(silver: DataFrame, feed: DataFrame, as_of: datetime) -> MergeResult:
-    """Apply a change feed: deletes are soft, updates overwrite, new rows are added."""
+def silver_merge(silver: DataFrame, feed: DataFrame, as_of: datetime, batch: int | None = None) -> MergeResult:
+    """Apply a change feed: deletes are soft, updates overwrite, new rows are added.
+
+    With a ``batch`` number, ``silver`` has the column ``last_batch``: rows that this batch or a
+    later one has changed already are left as they are.
+    """
     source = collapse_feed(feed).withColumn("is_high_value", F.col("total_amount") > HIGH_VALUE)
     copied = ["customer_id", "order_ts", "order_status", "total_amount", "is_high_value"]
     values = {c: F.col(f"s.{c}") for c in copied}
     now = ntz(as_of)
     is_insert = F.col("s.action") == "INSERT"
+    mark = {} if batch is None else {"last_batch": F.lit(batch)}
+    fresh = F.lit(True) if batch is None else F.col("t.last_batch") < batch
     return merge_into(
         silver,
         source,
         ["order_id"],
         matched=[
-            Matched("update", F.col("s.action") == "DELETE", {"is_deleted": F.lit(True), "updated_at": now}),
-            Matched("update", is_insert & F.col("s.is_update"), {**values, "updated_at": now}),
+            Matched("update", fresh & (F.col("s.action") == "DELETE"), {"is_deleted": F.lit(True), "updated_at": now, **mark}),
+            Matched("update", fresh & is_insert & F.col("s.is_update"), {**values, "updated_at": now, **mark}),
         ],
         not_matched=[
             NotMatched(
@@ -54,6 +62,7 @@ def silver_merge(silver: DataFrame, feed: DataFrame, as_of: datetime) -> MergeRe
                     "inserted_at": now,
                     "updated_at": now,
                     "is_deleted": F.lit(False),
+                    **mark,
                 },
                 is_insert,
             )
@@ -63,6 +72,30 @@ def silver_merge(silver: DataFrame, feed: DataFrame, as_of: datetime) -> MergeRe
     )
 
 
+NO_BATCH = -1
+
+
+def silver_table(silver: DataFrame, path: str) -> PartitionedTable:
+    """Silver stored by month, with the number of the batch that changed a row last."""
+    marked = silver.withColumn("last_batch", F.lit(NO_BATCH).cast("bigint"))
+    return PartitionedTable(silver.sparkSession, path, marked.schema, F.trunc("order_ts", "month")).create(marked)
+
+
+def apply_silver_batch(table: PartitionedTable, feed: DataFrame, batch: int, as_of: datetime, sequence: str) -> MergeResult:
+    """Merge one batch of changes into the months it touches, exactly once.
+
+    A batch that runs again, after success or after a stop half-way through the months, finds its
+    number on the rows it has changed and leaves them. The feed has the old and the new rows of an
+    update, so its dates name every month that can change. Batch numbers rise.
+    """
+    feed = stage(feed, "batch")
+    months = table.touched(feed)
+    merged = silver_merge(table.read(months), stage(last_change(feed, ["order_id"], sequence), "changes"), as_of, batch)
+    result = MergeResult(stage(merged.log, "silver"))
+    table.replace(result.rows, months)
+    return result
+
+
 def gold_rows(silver: DataFrame) -> DataFrame:
     return (
         silver.where(~F.col("is_deleted"))

@@ -3,14 +3,17 @@
 from __future__ import annotations
 
 from datetime import datetime
+from functools import reduce
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions.semantics import json_object, order_asc, order_desc
 from millrace.operators.ordered import qualify_topn
+from millrace.operators.staging import stage
 from millrace.operators.writes import Matched, MergeResult, NotMatched, merge_into
+from millrace.plans.audit import Counts
 from millrace.plans.model import score
 from millrace.plans.relational import since
 from millrace.sources.retail import day, ntz
@@ -72,20 +75,47 @@ def customer_360(
     return scored.select("customer_id", "snapshot_date", *MEASURES)
 
 
-def upsert_360(target: DataFrame, snapshot: DataFrame, now: datetime) -> MergeResult:
-    """Upsert by (customer, snapshot date)."""
+def upsert_360(target: DataFrame, snapshot: DataFrame, now: datetime, when: Column | None = None) -> MergeResult:
+    """Upsert by (customer, snapshot date); ``when`` limits the updates."""
     keys = ["customer_id", "snapshot_date"]
     measures = {c: F.col(f"s.{c}") for c in snapshot.columns if c not in keys}
     return merge_into(
         target,
         snapshot,
         keys,
-        matched=[Matched("update", None, {**measures, "updated_at": ntz(now)})],
+        matched=[Matched("update", when, {**measures, "updated_at": ntz(now)})],
         not_matched=[NotMatched({**{k: F.col(f"s.{k}") for k in keys}, **measures, "created_at": ntz(now)})],
         source_is_unique=True,
     )
 
 
+def refresh_360(
+    target: DataFrame,
+    orders: DataFrame,
+    items: DataFrame,
+    customers: DataFrame,
+    products: DataFrame,
+    run_ts: datetime,
+    counts: Counts,
+    model: PipelineModel | None = None,
+) -> DataFrame:
+    """One run of the snapshot: build and score it, stage it, upsert what differs, and count; returns the new table.
+
+    Rows that are in the table as they should be are left alone, time stamps included, so a
+    second run of the same day changes nothing and counts no row.
+    """
+    snapshot = stage(customer_360(orders, items, customers, products, run_ts, model), "snapshot")
+    keys = ["customer_id", "snapshot_date"]
+    # A sketch has no unique form, so its estimate stands for it.
+    compared = [c for c in snapshot.columns if c not in [*keys, "hll_sessions"]]
+    differs = reduce(lambda a, b: a | b, [~F.col(f"t.{c}").eqNullSafe(F.col(f"s.{c}")) for c in compared])
+    log = stage(upsert_360(target, snapshot, run_ts, differs).log, "snapshot-merge")
+    done = {r["_action"]: r["count"] for r in log.groupBy("_action").count().collect()}
+    counts.processed = snapshot.count()
+    counts.inserted, counts.updated = done.get("insert", 0), done.get("update", 0)
+    return log.drop("_action")
+
+
 def daily_sketches(orders: DataFrame) -> DataFrame:
     """One sketch of order ids per customer and day."""
     return orders.groupBy("customer_id", F.to_date("order_ts").alias("snapshot_date")).agg(

@@ -60,3 +60,14 @@ def customer_audit_log(customers: DataFrame, as_of: datetime) -> DataFrame:
     """One audit row per active customer, as one append instead of a loop."""
     stamp = F.lit(as_of.isoformat(sep=" ")).cast("timestamp_ntz")
     return customers.where("is_active").select("customer_id", stamp.alias("audited_at"))
+
+
+def append_audit_log(customers: DataFrame, path: str, as_of: datetime) -> DataFrame:
+    """Append the audit rows of a run to the log at ``path``, which is returned.
+
+    A run's rows are a partition of their own, so a run that is repeated replaces its rows.
+    """
+    rows = customer_audit_log(customers, as_of)
+    tagged = rows.withColumn("run", F.date_format("audited_at", "yyyy-MM-dd'T'HH-mm-ss"))
+    tagged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run").parquet(path)
+    return customers.sparkSession.read.schema(rows.schema).parquet(path).select(*rows.columns)

@@ -229,6 +229,36 @@ def approx_channel(orders: DataFrame) -> DataFrame:
     )
 
 
+def quantile_sketches(orders: DataFrame) -> DataFrame:
+    """One mergeable quantile sketch of the amounts per channel and day, to be stored."""
+    return orders.groupBy("channel", F.to_date("order_ts").alias("order_date")).agg(
+        F.kll_sketch_agg_double(F.col("total_amount").cast("double"), F.lit(SKETCH_SIZE)).alias("amounts")
+    )
+
+
+SKETCH_SIZE = 400  # ranks within 0.7 % or so
+
+
+def channel_quantiles(sketches: DataFrame, quantiles: dict[str, float]) -> DataFrame:
+    """Amounts at some ranks per channel, from the union of its days' sketches; the orders are not read again."""
+    merged = sketches.groupBy("channel").agg(F.kll_merge_agg_double("amounts").alias("amounts"))
+    found = [F.kll_sketch_get_quantile_double("amounts", F.lit(p)).alias(name) for name, p in quantiles.items()]
+    return merged.select("channel", F.kll_sketch_get_n_double("amounts").alias("amount_count"), *found)
+
+
+def close_in_rank(rows: DataFrame, estimates: DataFrame, key: str, value: str, quantiles: dict[str, float], error: float) -> DataFrame:
+    """Per key, whether each estimated quantile lies within ``error`` of its rank. Ties count on both sides."""
+    met = rows.where(F.col(value).isNotNull()).select(key, value).join(estimates.select(key, *quantiles), key)
+    tests = [
+        (
+            (F.count_if(F.col(value) < F.col(name)) <= (p + error) * F.count(F.lit(1)))
+            & (F.count_if(F.col(value) <= F.col(name)) >= (p - error) * F.count(F.lit(1)))
+        ).alias(f"{name}_close")
+        for name, p in quantiles.items()
+    ]
+    return met.groupBy(key).agg(*tests)
+
+
 def pivot_channel(orders: DataFrame, as_of: datetime, days: int = 30) -> DataFrame:
     recent = orders.where(F.col("order_ts") >= since(as_of, f"{days} days"))
     wide = recent.groupBy(F.to_date("order_ts").alias("order_date")).pivot("channel", list(CHANNELS)).sum("total_amount")
@@ -415,7 +445,8 @@ def name_distance(customers: DataFrame, max_distance: int = 2) -> DataFrame:
     so names are joined on those shortened forms, never on the block itself: a form
     of an n-letter name is shared by a number of names that does not grow with the
     table. Copies of a name are first folded into their smallest id and reported as
-    (copy, that id, 0); different names are compared once, by that id.
+    (copy, that id, 0). Different names meet once for every form they share; the pair is
+    kept where they meet at the smallest one.
     """
     name = F.col("last_name")
     distinct = customers.where(name.isNotNull()).groupBy("country", "first_name", "last_name").agg(
@@ -428,32 +459,31 @@ def name_distance(customers: DataFrame, max_distance: int = 2) -> DataFrame:
         .select("customer_id", F.col("rep").alias("other_id"), F.lit(0).alias("distance"))
     )
 
-    # Every way to drop `max_distance` (here two) characters at positions i < j.
-    def without(i: Column, j: Column) -> Column:
-        return F.concat(
-            F.substring(name, F.lit(1), i - 1), F.substring(name, i + 1, j - i - 1), F.substr(name, j + 1)
-        )
-
     if max_distance != 2:
         raise ValueError("the shortened forms are built for two edits")
-    length = F.length(name)
-    pairs = F.flatten(
-        F.transform(
-            F.sequence(F.lit(1), length - 1),
-            lambda i: F.transform(F.sequence(i + 1, length), lambda j: without(i, j)),
+
+    def forms(word: Column) -> Column:
+        """Every way to drop two characters, at positions i < j."""
+        length = F.length(word)
+
+        def without(i: Column, j: Column) -> Column:
+            return F.concat(F.substring(word, F.lit(1), i - 1), F.substring(word, i + 1, j - i - 1), F.substr(word, j + 1))
+
+        ways = F.transform(
+            F.sequence(F.lit(1), length - 1), lambda i: F.transform(F.sequence(i + 1, length), lambda j: without(i, j))
         )
-    )
-    forms = F.when(length >= 2, F.array_distinct(pairs)).otherwise(F.array(F.lit("")))
-    shortened = distinct.select("country", "first_name", "last_name", "rep", length.alias("len"), F.explode(forms).alias("form"))
+        return F.when(length >= 2, F.array_distinct(F.flatten(ways))).otherwise(F.array(F.lit("")))
+
+    shortened = distinct.select("country", "first_name", "last_name", "rep", F.length(name).alias("len"), F.explode(forms(name)).alias("form"))
     on = ["country", "first_name", "len", "form"]
     a = shortened.select(*on, F.col("rep").alias("customer_id"), F.col("last_name").alias("a_name"))
     b = shortened.select(*on, F.col("rep").alias("other_id"), F.col("last_name").alias("b_name"))
     near = (
         a.join(b, on)
         .where((F.col("customer_id") < F.col("other_id")))
-        .withColumn("distance", F.levenshtein("a_name", "b_name"))
-        .where(F.col("distance") <= max_distance)
+        .withColumn("distance", F.levenshtein("a_name", "b_name", max_distance))
+        .where(F.col("distance") >= 0)  # -1: more than that
+        .where(F.col("form") == F.array_min(F.array_intersect(forms(F.col("a_name")), forms(F.col("b_name")))))
         .select("customer_id", "other_id", "distance")
-        .distinct()
     )
     return copies.unionByName(near)

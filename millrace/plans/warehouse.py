@@ -11,7 +11,9 @@ from millrace.functions.scoring import full_name
 from millrace.functions.semantics import div0, init_cap, json_object, order_asc
 from millrace.operators.changes import collapse_feed
 from millrace.operators.hierarchy import walk
+from millrace.operators.keys import KeyMarks
 from millrace.operators.ordered import global_row_number
+from millrace.operators.partitions import PartitionedTable
 from millrace.operators.semi import path
 from millrace.operators.staging import stage
 from millrace.operators.writes import Matched, MergeResult, NotMatched, merge_into
@@ -67,9 +69,9 @@ def number_new_rows(
 
 
 def scd2_merge(
-    dim: DataFrame, source: DataFrame, scope: DataFrame, run_ts: datetime, null_safe: bool = False
+    dim: DataFrame, source: DataFrame, scope: DataFrame, run_ts: datetime, null_safe: bool = False, last_key: int = 0
 ) -> tuple[DataFrame, DataFrame]:
-    """(new dimension, change log). Changed customers are expired and get a new version.
+    """(new dimension, log of the current versions). Changed customers are expired and get a new version.
 
     A change is a difference in e-mail hash, country or segment. With the default
     test a change from or to NULL is not seen, as in the source system;
@@ -83,13 +85,14 @@ def scd2_merge(
 
     changed = differs(COMPARED[0]) | differs(COMPARED[1]) | differs(COMPARED[2])
     new_values = {c: F.col(f"s.{c}") for c in ["customer_id", *DIM_DATA]}
+    # Closed versions never change, so only current ones go through the merge and its log.
+    current = F.coalesce("is_current", F.lit(False))
     merged = merge_into(
-        dim,
+        dim.where(current),
         scope,
         ["customer_id"],
         matched=[Matched("update", changed, {"valid_to": now, "is_current": F.lit(False)})],
         not_matched=[NotMatched({**new_values, "valid_from": now, "is_current": F.lit(True)})],
-        target_scope=F.col("is_current"),
     )
     log = stage(merged.log, "dim-merge")
     expired = log.where((F.col("_action") == "update") & (F.col("valid_to") == now)).select("customer_id")
@@ -104,9 +107,10 @@ def scd2_merge(
     )
     has_key = F.col("customer_sk").isNotNull()
     full_log = log.unionByName(versions)
-    kept = log.where(has_key).select(*DIM_COLUMNS)
+    kept = log.where(has_key).select(*DIM_COLUMNS).unionByName(dim.where(~current).select(*DIM_COLUMNS))
     fresh = full_log.where(~has_key).select(*DIM_COLUMNS)
-    return number_new_rows(kept, fresh, "customer_sk", [order_asc("customer_id"), order_asc("valid_from")]), full_log
+    order = [order_asc("customer_id"), order_asc("valid_from")]
+    return number_new_rows(kept, fresh, "customer_sk", order, dim, last_key), full_log
 
 
 def fact_source(feed: DataFrame, items: DataFrame, dim: DataFrame) -> DataFrame:
@@ -179,6 +183,27 @@ def fact_merge(fact: DataFrame, feed: DataFrame, items: DataFrame, dim: DataFram
     return number_new_rows(rows.where(has_key), rows.where(~has_key), "order_sk", [order_asc("order_id")], log, last_key), log
 
 
+def fact_table(fact: DataFrame, path: str) -> PartitionedTable:
+    """Facts stored by month of the order."""
+    return PartitionedTable(fact.sparkSession, path, fact.schema, F.trunc("order_date", "month")).create(fact)
+
+
+def merge_facts(
+    table: PartitionedTable, feed: DataFrame, items: DataFrame, dim: DataFrame, run_ts: datetime, marks: KeyMarks, run_id: str
+) -> DataFrame:
+    """Merge a feed into the stored months it touches; the log holds those months' rows.
+
+    ``feed`` is staged and has the old and the new rows of an update, so its dates name every
+    month that can change. Other months are neither read nor written. New keys go on after the
+    stored mark, which is advanced before the rows are published.
+    """
+    months = table.touched(feed.select(F.to_date("order_ts").alias("order_date")))
+    rows, log = fact_merge(table.read(months), feed, items, dim, run_ts, marks.last("fact"))
+    marks.advance("fact", rows, "order_sk", run_id)
+    table.replace(rows, months)
+    return log
+
+
 def bridge_rebuild(bridge: DataFrame, fact: DataFrame, items: DataFrame, products: DataFrame, run_day: date) -> DataFrame:
     """Category revenue shares of one day's orders: delete, then insert.
 

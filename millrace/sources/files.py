@@ -6,13 +6,16 @@ and rejected rows keep their text and the reason.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterable
 from dataclasses import dataclass, field
+from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from millrace.operators.partitions import balanced
 from millrace.operators.staging import stage
 
 CORRUPT = "_corrupt"
@@ -24,6 +27,10 @@ class TooManyErrors(ValueError):
     """More rejected rows than the load allows."""
 
 
+class MissingFile(FileNotFoundError):
+    """A file that the manifest calls mandatory is not there."""
+
+
 @dataclass(frozen=True)
 class Delimited:
     """How a delimited file is written."""
@@ -99,6 +106,35 @@ def load_json(
     return load
 
 
+def _exists(spark: SparkSession, path: str) -> bool:
+    location = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return location.getFileSystem(spark._jsc.hadoopConfiguration()).exists(location)
+
+
+def read_manifest(spark: SparkSession, path: str) -> list[str]:
+    """The files of a manifest, ``{"entries": [{"url": ..., "mandatory": ...}]}``, that are there.
+
+    Raises when a mandatory one is missing, before anything is read; an entry that does not say
+    is optional. The manifest itself is one small file.
+    """
+    text = spark.read.text(path, wholetext=True).first()
+    entries = json.loads(text[0] if text else "{}").get("entries", [])
+    found = {e["url"]: _exists(spark, e["url"]) for e in entries}
+    missing = sorted(e["url"] for e in entries if e.get("mandatory") and not found[e["url"]])
+    if missing:
+        raise MissingFile(f"{len(missing)} mandatory files are missing, the first is {missing[0]}")
+    return [url for url in found if found[url]]
+
+
+def load_manifest(spark: SparkSession, path: str, schema: StructType, **how) -> Load:
+    """JSON lines of the files that a manifest lists, each once; ``how`` is passed to ``load_json``."""
+    paths = read_manifest(spark, path)
+    if not paths:
+        empty = spark.createDataFrame([], StructType([*schema.fields, *[StructField(c, StringType()) for c in (FILE, CORRUPT, ERROR)]]))
+        return Load(empty, [f.name for f in schema.fields])
+    return load_json(spark, paths, schema, **how)
+
+
 def load_json_array(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     """Files that each hold one JSON array; every element is a row."""
     return spark.read.schema(schema).option("multiLine", True).json(path)
@@ -140,9 +176,9 @@ def delimited_options(fmt: Delimited) -> dict[str, str]:
 
 
 def load_csv(
-    spark: SparkSession, path: str, schema: StructType, fmt: Delimited = Delimited(), pattern: str | None = None
+    spark: SparkSession, path: str | list[str], schema: StructType, fmt: Delimited = Delimited(), pattern: str | None = None
 ) -> Load:
-    """Delimited files below ``path`` whose full name matches ``pattern``; bad rows are set aside."""
+    """Delimited files below ``path`` (or of a list) whose full name matches ``pattern``; bad rows are set aside."""
     reader = spark.read.schema(text_schema(schema)).options(**delimited_options(fmt))
     rows = reader.option("recursiveFileLookup", True).csv(path)
     if pattern:
@@ -168,45 +204,81 @@ def load_audit(raw: DataFrame) -> DataFrame:
     return per_file.select("file_name", status.alias("status"), "row_count", "row_parsed", "first_error_message")
 
 
+LEDGER_SCHEMA = (
+    "file_name string, status string, row_count bigint, row_parsed bigint, first_error_message string,"
+    " table_name string, load_time timestamp_ntz"
+)
+
+
+@dataclass(frozen=True)
+class LoadHistory:
+    """A ledger at ``path`` of the files loaded into tables: their load time, rows and first error."""
+
+    spark: SparkSession
+    path: str
+
+    def rows(self) -> DataFrame:
+        if not _exists(self.spark, self.path):
+            return self.spark.createDataFrame([], LEDGER_SCHEMA)
+        return self.spark.read.schema(LEDGER_SCHEMA).parquet(self.path)
+
+    def since(self, table: str, at: datetime) -> DataFrame:
+        """Files loaded into a table at or after a time."""
+        return self.rows().where((F.col("table_name") == table) & (F.col("load_time") >= F.lit(at.isoformat(sep=" ")).cast("timestamp_ntz")))
+
+    def load(
+        self, table: str, dst: str, root: str, schema: StructType, load_time: datetime, fmt: Delimited = Delimited(), pattern: str | None = None
+    ) -> int:
+        """Load the delimited files below ``root`` that the ledger does not have into ``dst``; returns their number.
+
+        Rows go into a folder of the load time before the files are noted. A load that stopped
+        between the two is repeated under its own load time and replaces its folder, so it neither
+        loses nor doubles a file. A file without a single good row is noted as failed and not tried again.
+        """
+        stamp = load_time.strftime("%Y-%m-%dT%H-%M-%S")
+        # Only names are listed here; the reader is handed the new files' names by the driver in any case.
+        listed = self.spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root).select(F.col("path").alias("file_name"))
+        if pattern:
+            listed = listed.where(F.col("file_name").rlike(f"^(?:{pattern})$"))
+        known = self.rows().where(F.col("table_name") == table)
+        new = [r[0] for r in listed.join(known, "file_name", "left_anti").collect()]
+        if not new:
+            return 0
+        fresh = stage(load_csv(self.spark, new, schema, fmt).raw, "load")
+        audit = load_audit(fresh)
+        names = [f.name for f in schema.fields]
+        fresh.where(F.col(ERROR).isNull()).select(*names).write.mode("overwrite").parquet(f"{dst}/load={stamp}")
+        noted = audit.select("*", F.lit(table).alias("table_name"), F.lit(load_time.isoformat(sep=" ")).cast("timestamp_ntz").alias("load_time"))
+        noted.coalesce(1).write.mode("append").parquet(self.path)
+        return len(new)
+
+
 def filename_date(spark: SparkSession, root: str, schema: StructType, pattern: str = r".*[.]parquet", start: int = 17) -> DataFrame:
     """Parquet files with a date cut from characters ``start`` .. ``start + 9`` of their path below ``root``.
 
-    The folder is listed again on every call, so new files are seen.
+    The folder is listed again on every call, so new files are seen. A relative root is taken from
+    the working folder, as the reader does.
     """
     rows = spark.read.schema(schema).option("recursiveFileLookup", True).parquet(root)
     full = F.col("_metadata.file_path")
     # The part below the root is cut by the root's length, both without scheme and host.
-    base = spark._jvm.org.apache.hadoop.fs.Path(root).toUri().getRawPath().rstrip("/")
+    location = spark._jvm.org.apache.hadoop.fs.Path(root)
+    location = location.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(location)
+    base = location.toUri().getRawPath().rstrip("/")
     below = F.substr(F.regexp_replace(full, "^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?", ""), F.lit(len(base) + 2))
     return rows.where(full.rlike(f"^(?:{pattern})$")).select(
         "*", F.try_to_date(F.substring(below, start, 10), "yyyy-MM-dd").alias("file_date")
     )
 
 
-def balanced(df: DataFrame, partition_by: list[str], max_records: int) -> DataFrame:
-    """Rows laid out for a write partitioned by some columns, so that each value gives few files.
-
-    Rows are normally hashed on the columns. When some value holds more than
-    ``max_records`` rows they are rebalanced instead, and adaptive execution splits
-    such a value over several tasks.
-    """
-    columns = [F.col(c) for c in partition_by]
-    large = df.groupBy(*columns).count().where(F.col("count") > max_records)
-    if large.isEmpty():
-        # A stated number keeps adaptive execution from merging tasks by size alone:
-        # the cost here is the number of files a task opens.
-        return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *columns)
-    return df.hint("rebalance", *columns)
-
-
 def unload(df: DataFrame, path: str, partition_by: list[str], max_records: int = 2_000_000) -> None:
     """Replace ``path`` with Parquet files partitioned by some columns, cut by number of rows."""
-    writer = balanced(df, partition_by, max_records).write.mode("overwrite")
+    writer = balanced(df, partition_by).write.mode("overwrite")
     writer.option("maxRecordsPerFile", max_records).partitionBy(*partition_by).parquet(path)
 
 
 def table_profile(tables: dict[str, DataFrame]) -> DataFrame:
-    """Rows and bytes of file-backed tables. Each file is counted before files are summed."""
+    """Rows and bytes of file-backed tables, the largest first. Each file is counted before files are summed."""
     result = None
     for name, df in tables.items():
         per_file = df.select(F.col("_metadata.file_path").alias("f"), F.col("_metadata.file_size").alias("b")).groupBy("f", "b").count()
@@ -214,4 +286,4 @@ def table_profile(tables: dict[str, DataFrame]) -> DataFrame:
             F.coalesce(F.sum("count"), F.lit(0)).alias("row_count"), F.coalesce(F.sum("b"), F.lit(0)).alias("bytes")
         ).select(F.lit(name).alias("table_name"), "row_count", "bytes")
         result = one if result is None else result.unionByName(one)
-    return result
+    return result if result is None else result.orderBy(F.col("bytes").desc(), "table_name")  # one row a table

@@ -68,7 +68,7 @@ class History(Retail):
         )
         rows = current.unionByName(previous)
         keyed = assign_surrogate_keys(rows, [order_asc("customer_id"), order_asc("valid_from")], "customer_sk")
-        return stage(keyed.select(*DIM_COLUMNS), "dim-before")
+        return keyed.select(*DIM_COLUMNS)
 
     @cached_property
     def fact_before(self) -> DataFrame:
@@ -92,7 +92,7 @@ class History(Retail):
                 ntz(EARLIER).alias("loaded_at"),
             )
         )
-        return stage(assign_surrogate_keys(facts, [order_asc("order_id")], "order_sk"), "fact-before")
+        return assign_surrogate_keys(facts, [order_asc("order_id")], "order_sk")
 
     @cached_property
     def bridge_before(self) -> DataFrame:

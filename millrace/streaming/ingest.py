@@ -1,13 +1,17 @@
-"""Files that arrive over time: auto-ingest, append-only feeds, incremental silver."""
+"""Files that arrive over time: auto-ingest, append-only feeds, and the streamed silver merge."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from millrace.operators.partitions import PartitionedTable
+from millrace.operators.staging import stage
+from millrace.plans.cdc import apply_silver_batch
 from millrace.sources.files import CORRUPT, ERROR, FILE, Delimited, delimited_options, text_schema, typed_delimited
 
 
@@ -34,7 +38,7 @@ def auto_ingest(
             tagged = df.withColumn("_batch", F.lit(batch_id))
             tagged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("_batch").parquet(path)
 
-        typed = typed_delimited(batch, schema, fmt)
+        typed = stage(typed_delimited(batch, schema, fmt), "ingested")
         replace(typed.where(F.col(ERROR).isNull()).select(*names), dst)
         replace(typed.where(F.col(ERROR).isNotNull()).select(FILE, CORRUPT, ERROR), f"{dst}_rejects")
 
@@ -63,3 +67,19 @@ def append_feed(
     stream = spark.readStream.schema(schema).parquet(src)
     stream.writeStream.foreachBatch(gate).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
     return handed
+
+
+def stream_silver(
+    spark: SparkSession, src: str, checkpoint: str, schema: StructType, table: PartitionedTable, as_of: datetime, sequence: str, files: int = 1000
+) -> None:
+    """Merge the change files that arrived below ``src`` since the last call into silver, ``files`` at most in a batch.
+
+    The checkpoint numbers the batches and the table remembers the number on each row, so a batch
+    that is handed out again changes nothing. Checkpoint and table belong together.
+    """
+
+    def merge(batch: DataFrame, batch_id: int) -> None:
+        apply_silver_batch(table, batch, batch_id, as_of, sequence)
+
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", files).parquet(src)
+    stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
