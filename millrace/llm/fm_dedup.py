@@ -19,11 +19,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm import textops
-from millrace.llm.passages import Windows, by_anchor, contents, index_rows, indexed, loose_windows, open_anchors, segments
+from millrace.llm.passages import Windows, by_anchor, contents, index_rows, indexed, live_segments, loose_windows, open_anchors
 from millrace.llm.suffix_dedup import MARK, _marks
 from millrace.operators.staging import stage
 
-SHARD = 8 << 17  # bytes of word hashes, 8 a word
+SHARD = 7 << 17  # bytes of text
 QUERY = 64  # windows that one stream of words has at most
 
 
@@ -216,7 +216,10 @@ ANSWER = "c1 long, c2 long, first int, stop int"
 
 def _answer(length: int):
     def run(rows: pa.Table) -> Iterator[pa.RecordBatch]:
-        texts = [np.frombuffer(b.as_buffer(), np.uint64) for b in rows.column("units")]
+        data, offsets = textops.pack(rows.column("units"))
+        starts, ends, cuts = textops.words(data, offsets)
+        codes, _ = textops.distinct(data, starts, ends)
+        texts = np.split(codes.astype(np.uint64), cuts[1:-1])
         found = earlier_windows(texts, rows.column("doc_id").to_numpy(), length)
         c1, c2, firsts, stops = [], [], [], []
         for x, y, earlier in zip(rows.column("c1").to_pylist(), rows.column("c2").to_pylist(), found, strict=True):
@@ -233,7 +236,7 @@ def _answer(length: int):
 def earlier_spans(docs: DataFrame, length: int = 50) -> DataFrame:
     """(doc_id, first, stop): ranges of window starts, in words, that a document with a smaller id has too."""
     w = Windows("word", length, min(8, max(1, length // 2)))
-    found = stage(segments(docs, w), "segments")
+    found = live_segments(docs, w)
     held = stage(contents(found), "contents")
     anchors = stage(open_anchors(held, w), "anchors")
     key = ["c1", "c2"]
@@ -286,6 +289,6 @@ def remove_repeats(docs: DataFrame, length: int = 50) -> DataFrame:
             n = np.diff(cuts)
             yield pa.record_batch([piece.column("doc_id"), pa.array(kept, pa.string()), pa.array(n), pa.array(n - np.array(counts))], names=["doc_id", "kept", "n_words", "n_removed"])
 
-    marks = earlier_spans(docs, length).groupBy("doc_id").agg(F.collect_list(F.struct("first", "stop")).alias("marks"))
+    marks = stage(earlier_spans(docs, length).groupBy("doc_id").agg(F.collect_list(F.struct("first", "stop")).alias("marks")), "marks")
     joined = docs.select("doc_id", "text").join(marks, "doc_id", "left")
     return joined.mapInArrow(run, "doc_id long, kept string, n_words long, n_removed long")

@@ -3,17 +3,19 @@
 A window is ``length`` consecutive units (bytes or words) of one document. Its *anchor* is
 the smallest hash among the ``gram``-unit stretches inside it, so equal windows have equal
 anchors wherever they are. A *segment* is a run of windows with one anchor in one document.
-A window can repeat only in segments with its anchor; segments whose anchor occurs once
-in the corpus are done with. Equal segments, told by a 128-bit hash, are handled as one
-*content*; of each, one segment goes on to the index of its anchor.
+A window can repeat only in segments with its anchor. So the anchors are counted first, and
+segments whose anchor occurs once in the corpus are dropped on their way. Equal segments, told
+by a cryptographic hash of 128 bits, are handled as one *content*; of each, one segment goes on
+to the index of its anchor, with its text.
 
 Anchors with more than ``HOT_UNITS`` units of different contents would make one task too
-large; their windows are told apart one by one, by hash, in an aggregation that Spark
-spreads over all tasks (``loose_windows``).
+large; their windows are told apart one by one, by two hashes modulo a prime, in an aggregation
+that Spark spreads over all tasks (``loose_windows``).
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
@@ -23,10 +25,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm import textops
+from millrace.operators.staging import stage
 
 HOT_UNITS = 5 << 18
-#: Segments that are few enough to send to all tasks instead of shuffling the texts.
-FEW = 50_000
 #: Windows in a segment at most; longer runs (of one repeated word, say) are cut.
 LONGEST = 4096
 
@@ -39,12 +40,22 @@ class Windows:
     length: int
     gram: int
 
-    def units(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(units, unit offsets of the texts): bytes, or hashes of words."""
+    def units(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, Callable]:
+        """(units, unit offsets of the texts, text of each stretch of units): bytes, or hashes of words.
+
+        The words of a stretch have one blank between them.
+        """
         if self.unit == "byte":
-            return data, offsets
+            raw = data.tobytes()
+            return data, offsets, lambda a, b: [raw[i:j] for i, j in zip(a.tolist(), b.tolist(), strict=True)]
         starts, ends, first = textops.words(data, offsets)
-        return textops.Rolling(data).of(starts, ends), first
+        own, cuts = textops.flat(data, starts, ends)
+        place = np.arange(len(own)) + np.repeat(np.arange(len(starts)), np.diff(cuts))
+        spaced = np.full(len(own) + len(starts), 32, np.uint8)
+        spaced[place] = own
+        raw, at = spaced.tobytes(), cuts + np.arange(len(cuts))
+        texts = lambda a, b: [raw[i : j - 1] for i, j in zip(at[a].tolist(), at[b].tolist(), strict=True)]
+        return textops.content_hashes(data, starts, ends), first, texts
 
 
 SEGMENT = "doc_id long, anchor long, c1 long, c2 long, starts array<int>, windows int, multi boolean"
@@ -87,17 +98,37 @@ def _cut(units: np.ndarray, offsets: np.ndarray, w: Windows) -> tuple[np.ndarray
     return text, starts, ends, anchor, multi
 
 
+def live_segments(docs: DataFrame, w: Windows) -> DataFrame:
+    """The segments whose anchor occurs in another segment too, or twice in their own; staged.
+
+    The documents are cut twice, so that the anchors alone are counted and nothing is kept of the
+    segments that nobody shares.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for piece in textops.slices(batches):
+            _, _, _, anchor, multi = _cut(*w.units(*textops.pack(piece.column("text")))[:2], w)
+            if len(anchor):
+                own, at, n = np.unique(anchor, return_inverse=True, return_counts=True)
+                twice = np.bincount(at, multi, len(own)) > 0
+                yield pa.record_batch([pa.array(own.view(np.int64)), pa.array(n + twice)], names=["anchor", "n"])
+
+    counted = docs.select("doc_id", "text").mapInArrow(run, "anchor long, n long").groupBy("anchor").agg(F.sum("n").alias("n"))
+    shared = stage(counted.filter("n > 1").select("anchor"), "shared-anchors")
+    return stage(segments(docs, w).join(shared, "anchor", "left_semi"), "segments")
+
+
 def segments(docs: DataFrame, w: Windows) -> DataFrame:
     """The segments of every document; equal segments of one document are one row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in textops.slices(batches):
-            units, offsets = w.units(*textops.pack(piece.column("text")))
+            units, offsets, texts = w.units(*textops.pack(piece.column("text")))
             text, starts, ends, anchor, multi = _cut(units, offsets, w)
             if not len(text):
                 continue
-            c1 = textops.Rolling(units, 0).of(starts, ends + w.length - 1)
-            c2 = textops.Rolling(units, 1).of(starts, ends + w.length - 1)
+            digests = b"".join(hashlib.blake2b(t, digest_size=16).digest() for t in texts(starts, ends + w.length - 1))
+            c1, c2 = np.frombuffer(digests, np.uint64).reshape(-1, 2).T
             order = np.lexsort((starts, c2, c1, text))
             text, starts, ends, anchor, multi, c1, c2 = (x[order] for x in (text, starts, ends, anchor, multi, c1, c2))
             head = np.flatnonzero(np.concatenate(([True], (text[1:] != text[:-1]) | (c1[1:] != c1[:-1]) | (c2[1:] != c2[:-1]))))
@@ -140,32 +171,28 @@ def _wanted(kept: DataFrame) -> DataFrame:
 
 
 def _with_wanted(docs: DataFrame, kept: DataFrame) -> DataFrame:
-    """Documents with the segments wanted of them; a short list goes to the texts, else both are shuffled."""
-    wanted = _wanted(kept)
-    if kept.count() <= FEW:
-        wanted = F.broadcast(wanted)
-    return docs.select("doc_id", "text").join(wanted, "doc_id")
+    """Documents with the segments wanted of them. The list is written first, so that the optimizer knows its size."""
+    return docs.select("doc_id", "text").join(stage(_wanted(kept), "wanted"), "doc_id")
 
 
 def _slices(batches: Iterator[pa.RecordBatch], w: Windows):
-    """(units, text, absolute starts, windows, anchor, c1, c2, doc ids) of the wanted segments of a slice of documents."""
+    """(units, their texts, absolute starts, windows, anchor, c1, c2, doc ids, starts) of the wanted segments of a slice of documents."""
     for piece in textops.slices(batches):
-        units, offsets = w.units(*textops.pack(piece.column("text")))
+        units, offsets, texts = w.units(*textops.pack(piece.column("text")))
         lists = piece.column("wanted")
         rows = lists.flatten()
         text = np.repeat(np.arange(len(lists)), lists.value_lengths().to_numpy(zero_copy_only=False))
         get = lambda name, rows=rows: rows.field(name).to_numpy(zero_copy_only=False)
         start = get("start").astype(np.int64)
-        yield units, offsets[text] + start, get("windows").astype(np.int64), get("anchor"), get("c1"), get("c2"), piece.column("doc_id").to_numpy()[text], start
+        yield units, texts, offsets[text] + start, get("windows").astype(np.int64), get("anchor"), get("c1"), get("c2"), piece.column("doc_id").to_numpy()[text], start
 
 
 def index_rows(docs: DataFrame, kept: DataFrame, w: Windows) -> DataFrame:
-    """(anchor, c1, c2, doc_id, start, windows, units): the chosen segments with their units as bytes."""
+    """(anchor, c1, c2, doc_id, start, windows, units): the chosen segments with their text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for units, at, windows, anchor, c1, c2, ids, start in _slices(batches, w):
-            ends = at + windows + w.length - 1
-            raw = pa.array([units[a:b].tobytes() for a, b in zip(at.tolist(), ends.tolist(), strict=True)], pa.binary())
+        for _, texts, at, windows, anchor, c1, c2, ids, start in _slices(batches, w):
+            raw = pa.array(texts(at, at + windows + w.length - 1), pa.binary())
             yield pa.record_batch(
                 [*map(pa.array, (anchor, c1, c2, ids, start.astype(np.int32), windows.astype(np.int32))), raw], names=["anchor", "c1", "c2", "doc_id", "start", "windows", "units"]
             )
@@ -174,11 +201,11 @@ def index_rows(docs: DataFrame, kept: DataFrame, w: Windows) -> DataFrame:
 
 
 def loose_windows(docs: DataFrame, kept: DataFrame, w: Windows) -> DataFrame:
-    """(w1, w2, c1, c2, doc_id, at): every window of the chosen segments, by 128-bit hash."""
+    """(w1, w2, c1, c2, doc_id, at): every window of the chosen segments, by hashes at two points modulo a prime."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for units, at, windows, _, c1, c2, ids, start in _slices(batches, w):
-            a, b = textops.Rolling(units, 0), textops.Rolling(units, 1)
+        for units, _, at, windows, _, c1, c2, ids, start in _slices(batches, w):
+            a, b = textops.PrimeRolling(units, 0), textops.PrimeRolling(units, 1)
             for k in range(0, len(at), 512):
                 n = windows[k : k + 512]
                 step = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm import textops
-from millrace.llm.passages import Windows, by_anchor, contents, index_rows, indexed, loose_windows, open_anchors, segments
+from millrace.llm.passages import Windows, by_anchor, contents, index_rows, indexed, live_segments, loose_windows, open_anchors
 from millrace.operators.staging import stage
 
 FIRST = 5  # symbols in the first sort key
@@ -161,7 +161,7 @@ def _marks(ids: list[int], ranges: list[tuple[int, int]]) -> pa.RecordBatch:
 def repeated_spans(docs: DataFrame, length: int = 400) -> DataFrame:
     """(doc_id, first, stop): ranges of window starts that occur elsewhere too; ranges may overlap."""
     w = Windows("byte", length, min(24, max(1, length // 2)))
-    found = stage(segments(docs, w), "segments")
+    found = live_segments(docs, w)
     held = stage(contents(found), "contents")
     anchors = stage(open_anchors(held, w), "anchors")
     # Contents with several copies repeat as a whole. They still witness for others.
@@ -207,6 +207,6 @@ def remove_repeats(docs: DataFrame, length: int = 400) -> DataFrame:
                 [piece.column("doc_id"), pa.array(kept, pa.binary()), *(pa.array(x, pa.int64()) for x in (sizes, removed, spans))], names=["doc_id", "kept", "n_bytes", "n_removed", "n_spans"]
             )
 
-    marks = repeated_spans(docs, length).groupBy("doc_id").agg(F.collect_list(F.struct("first", "stop")).alias("marks"))
+    marks = stage(repeated_spans(docs, length).groupBy("doc_id").agg(F.collect_list(F.struct("first", "stop")).alias("marks")), "marks")
     joined = docs.select("doc_id", "text").join(marks, "doc_id", "left")
     return joined.mapInArrow(run, "doc_id long, kept binary, n_bytes long, n_removed long, n_spans long")

@@ -7,6 +7,7 @@ last. A null text counts as empty.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -100,8 +101,109 @@ def powers(n: int, family: int = 0) -> tuple[np.ndarray, np.ndarray]:
     return _powers[family]
 
 
+def flat(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(bytes, offsets) of stretches, one after the other."""
+    lengths = ends - starts
+    offsets = np.concatenate(([0], np.cumsum(lengths)))
+    return data[np.arange(offsets[-1]) + np.repeat(starts - offsets[:-1], lengths)], offsets
+
+
+def distinct(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, list[bytes]]:
+    """(number of each stretch's content, the contents), by comparing bytes. The stretches are less than 2 GB."""
+    own, offsets = flat(data, starts, ends)
+    buffers = [None, pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(own)]
+    coded = pa.Array.from_buffers(pa.binary(), len(starts), buffers).dictionary_encode()
+    return coded.indices.to_numpy(zero_copy_only=False).astype(np.int64), coded.dictionary.to_pylist()
+
+
+_seen: dict[bytes, int] = {}
+_REMEMBERED = 300_000
+
+
+def content_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """64 bits of a cryptographic hash of each stretch; each distinct one is hashed once."""
+    if not len(starts):
+        return np.zeros(0, np.uint64)
+    codes, names = distinct(data, starts, ends)
+    if len(_seen) > _REMEMBERED:
+        _seen.clear()
+    hashes = []
+    for name in names:
+        h = _seen.get(name)
+        if h is None:
+            h = int.from_bytes(hashlib.blake2b(name, digest_size=8).digest(), "little")
+            if len(name) <= 64:
+                _seen[name] = h
+        hashes.append(h)
+    return np.array(hashes, np.uint64)[codes]
+
+
+def shingles(words: np.ndarray, k: int) -> np.ndarray:
+    """Hash of each ``k`` neighbours of hashed words, by start. Not linear in the words, so no words cancel out."""
+    n = max(0, len(words) - k + 1)
+    out = np.full(n, k, np.uint64)
+    for i in range(k):
+        out = mix(out * np.uint64(_BASE) + words[i : i + n])
+    return out
+
+
+PRIME = (1 << 61) - 1
+_POINTS = (0x0A7B3C5E91D2F486, 0x13C6EF372FE94F82)  # picked at random below the prime
+
+
+def _reduced(x: np.ndarray) -> np.ndarray:
+    x = (x & np.uint64(PRIME)) + (x >> np.uint64(61))
+    return np.where(x >= np.uint64(PRIME), x - np.uint64(PRIME), x)
+
+
+def mulmod(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Products modulo 2^61 - 1 of numbers below it."""
+    half, rest = np.uint64(31), np.uint64((1 << 31) - 1)
+    ah, al, bh, bl = a >> half, a & rest, b >> half, b & rest
+    middle = al * bh + ah * bl
+    carried = (middle >> np.uint64(30)) + ((middle & np.uint64((1 << 30) - 1)) << half)
+    return _reduced(ah * bh * np.uint64(2) + carried + al * bl)
+
+
+@lru_cache(maxsize=8)
+def _prime_powers(size: int, point: int) -> np.ndarray:
+    out = np.ones(size, np.uint64)
+    have, step = 1, np.uint64(point)
+    while have < size:
+        n = min(have, size - have)
+        out[have : have + n] = mulmod(out[:n], np.full(n, step))
+        have += n
+        step = np.uint64(int(step) * int(step) % PRIME)
+    return out
+
+
+class PrimeRolling:
+    """Hashes of stretches of bytes or 64-bit numbers, as a polynomial modulo the prime 2^61 - 1 at one of two points.
+
+    Two stretches of n units collide for at most n of the points. Where a hash of long stretches
+    decides that they are equal, both points are used.
+    """
+
+    def __init__(self, values: np.ndarray, family: int = 0):
+        point, size = _POINTS[family], 1 << max(10, int(len(values)).bit_length())
+        self.up, self.down = _prime_powers(size, point), _prime_powers(size, pow(point, PRIME - 2, PRIME))
+        terms = mulmod(_reduced(mix(values.astype(np.uint64) + np.uint64(1))), self.up[: len(values)])
+        # Sums of up to 2^32 halves of 31 bits fit 64 bits.
+        low, high = np.cumsum(terms & np.uint64((1 << 31) - 1)), _reduced(np.cumsum(terms >> np.uint64(31)))
+        sums = _reduced(_reduced(low) + mulmod(high, np.full(len(high), np.uint64(1 << 31))))
+        self.sums = np.concatenate((np.zeros(1, np.uint64), sums))
+
+    def of(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        difference = _reduced(self.sums[end] + np.uint64(PRIME) - self.sums[start])
+        return mix(mulmod(difference, self.down[start]) + (end - start).astype(np.uint64) * np.uint64(_BASE))
+
+
 class Rolling:
-    """Hashes of any stretch of a sequence of bytes or of 64-bit numbers."""
+    """Hashes of any stretch of a sequence of bytes or of 64-bit numbers, modulo 2^64: fast, but some long stretches collide.
+
+    For looking up candidates and counting features; equality is told by ``content_hashes``,
+    ``shingles`` or ``PrimeRolling``.
+    """
 
     def __init__(self, values: np.ndarray, family: int = 0):
         n = len(values)
