@@ -26,8 +26,8 @@ from millrace.llm import textops
 #: The characters with Unicode's White_Space property.
 WHITE = r"\t-\r \x85\xa0  -     　"
 #: Text whose distinct words are encoded together.
-BATCH_BYTES = 12 << 20
-_RARE_WHITE = regex.compile(r"[\x85\xa0  -     　]")
+BATCH_BYTES = 4 << 20
+_RARE_WHITE = r"[\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 
 
 class Ranks:
@@ -182,27 +182,18 @@ def cut_pieces(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
 
 def encode_batch(texts: pa.Array, ranks: Ranks, pattern: regex.Pattern) -> pa.Array:
     """Token ids of each text as a list column; null is empty."""
-    odd = [i for i, t in enumerate(texts.to_pylist()) if t and _RARE_WHITE.search(t)] if _may_be_odd(texts) else []
+    odd = np.flatnonzero(pa.compute.match_substring_regex(texts.fill_null(""), _RARE_WHITE).to_numpy(zero_copy_only=False)).tolist()
     slots: dict[bytes, int] = {}
     parts = []
-    # Hashes of the pieces so far, sorted, and the place of each in ``names``.
-    keys, slot = np.zeros(0, np.uint64), np.zeros(0, np.int64)
-    names: list[bytes] = []
+    place: dict[bytes, int] = {}  # of each piece of text so far, in the order of ``names``
     table = pa.record_batch([texts], names=["text"])
     for piece in textops.slices(iter([table])):
         data, offsets = textops.pack(piece.column("text"))
         a, b = cut_pieces(data, offsets)
-        own, at, inverse = np.unique(textops.Rolling(data).of(a, b), return_index=True, return_inverse=True)
-        raw = data.tobytes()
-        place = np.minimum(np.searchsorted(keys, own), max(0, len(keys) - 1))
-        new = keys[place] != own if len(keys) else np.ones(len(own), bool)
-        slot_of = slot[place] if len(keys) else np.zeros(len(own), np.int64)
-        slot_of[new] = np.arange(len(names), len(names) + int(new.sum()))
-        names += [raw[i:j] for i, j in zip(a[at[new]].tolist(), b[at[new]].tolist(), strict=True)]
-        keys, slot = np.concatenate((keys, own[new])), np.concatenate((slot, slot_of[new]))
-        order = np.argsort(keys, kind="stable")
-        keys, slot = keys[order], slot[order]
-        parts.append((slot_of[inverse].astype(np.int32), np.searchsorted(a, offsets)))
+        codes, found = textops.distinct(data, a, b)
+        slot_of = np.array([place.setdefault(name, len(place)) for name in found], np.int32)
+        parts.append((slot_of[codes] if len(codes) else slot_of, np.searchsorted(a, offsets)))
+    names = list(place)
     # Matches of the pattern within the pieces, and within whole texts with rare white space.
     owners: list[list[int]] = []
     for name in [*names, *(texts[i].as_py().encode() for i in odd)]:
@@ -228,10 +219,6 @@ def encode_batch(texts: pa.Array, ranks: Ranks, pattern: regex.Pattern) -> pa.Ar
     return textops.lists(np.concatenate(([0], np.cumsum(lengths))), values)
 
 
-def _may_be_odd(texts: pa.Array) -> bool:
-    return pa.compute.any(pa.compute.match_substring_regex(texts.fill_null(""), "[\\x{85}\\x{a0}\\x{1680}\\x{2000}-\\x{200a}\\x{2028}\\x{2029}\\x{202f}\\x{205f}\\x{3000}]")).as_py()
-
-
 def _ranges(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
     """The numbers of the ranges, one after the other."""
     total = np.cumsum(counts)

@@ -87,15 +87,14 @@ def shingle_sets(data: np.ndarray, offsets: np.ndarray, k: int) -> list[np.ndarr
     """
     data = textops.lower_ascii(data)
     starts, ends, first = textops.words(data, offsets)
-    hashes = textops.Rolling(data).of(starts, ends)
-    sequence = textops.Rolling(hashes)
-    grams = sequence.grams(k)
+    hashes = textops.content_hashes(data, starts, ends)
+    grams = textops.shingles(hashes, k)
     out = []
     for a, b in zip(first[:-1], first[1:], strict=True):
         if b - a >= k:
             out.append(np.unique(grams[a : b - k + 1]))
         else:
-            out.append(sequence.of(np.array([a]), np.array([b])) if b > a else grams[:0])
+            out.append(textops.shingles(hashes[a:b], int(b - a)) if b > a else grams[:0])
     return out
 
 

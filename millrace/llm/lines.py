@@ -67,7 +67,7 @@ def line_table(docs: DataFrame) -> DataFrame:
             first, last = np.searchsorted(a, starts), np.searchsorted(b, ends, "right")
             filled = last > first
             hashes = np.zeros(len(starts), np.uint64)
-            hashes[filled] = textops.Rolling(data).of(a[first[filled]], b[last[filled] - 1])
+            hashes[filled] = textops.content_hashes(data, a[first[filled]], b[last[filled] - 1])
             solid, own = hashes[filled], np.searchsorted(cuts, np.flatnonzero(filled), "right") - 1
             keys, text = _leads(solid, own)
             # Texts with the same lines, blank ones too.
@@ -161,14 +161,6 @@ def _joined(blocks: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
-def anchored_lines(shared: list[tuple[int, int, int]]) -> list[int]:
-    """Lines of a document, from its (partner, line, line of the partner), in the longest common order with each partner."""
-    by_partner: dict[int, list[tuple[int, int]]] = {}
-    for first, at, there in sorted(shared):
-        by_partner.setdefault(first, []).append((at, there))
-    return sorted(j for pairs in by_partner.values() for j, _ in _rising(pairs))
-
-
 _BLOCKS = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
 
 

@@ -24,8 +24,8 @@ from millrace.llm import (
     whitening,
 )
 from millrace.llm.samples import held_out
-from millrace.llm.shipping import ship
-from millrace.operators.staging import scratch_path
+from millrace.llm.shipping import arrow_batches, ship
+from millrace.operators.staging import scratch_path, stage
 from millrace.session import prepare
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -73,6 +73,8 @@ def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
     ids = bpe.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), ranks, public_tokenizers.PATTERN).drop("text")
+    with arrow_batches(spark, bpe.BATCH_BYTES):
+        ids = stage(ids, "token-ids")  # so that a task holds the encoder's tables or the decoder's, not both
     joined = F.array_join(F.col("token_ids").cast("array<string>"), " ")
     digests = ids.select("doc_id", F.size("token_ids").cast("long").alias("n_tokens"), F.sha2(joined, 256).alias("ids_sha256"), "token_ids")
     return bpe.decode(digests, ranks).select("doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))

@@ -11,6 +11,7 @@ knowing one another.
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import uuid
@@ -42,11 +43,13 @@ def _open(uri: str) -> tuple[pyarrow.fs.FileSystem, str]:
 
 
 class WordEncoder:
-    """Ids of texts by a tokenizer that drops white space, each distinct word encoded once.
+    """Ids of texts by a tokenizer, each distinct word encoded once where words stand for themselves.
 
-    Only for tokenizers whose matches never run across ASCII white space, and that lower
-    their input; the marks at the end of a word are matches of their own after a letter or
-    digit, unless the word has an apostrophe.
+    They do if no match runs across ASCII white space, which is dropped, the input is lowered, each
+    word's last token says so, and the marks at the end of a word are matches of their own after a
+    letter or digit, unless the word has an apostrophe. The file must declare the lowering and the
+    marked tokens, and ``PROBES`` must come out as from the library; otherwise texts are encoded whole.
+    A word that holds an added token (a special one, say) goes to the library as it is.
     """
 
     def __init__(self, path: str):
@@ -55,16 +58,34 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # the strings of special tokens are ordinary text
+        with open(path, encoding="utf-8") as f:
+            declared = json.load(f)
+        self.added = [t["content"].encode() for t in declared.get("added_tokens") or ()]
         vocabulary = self.tokenizer.get_vocab()
         self.last = np.zeros(max(vocabulary.values()) + 1, bool)
         self.last[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
         self.width = 2 if len(self.last) <= 1 << 16 else 4
         self.forget()
+        self.by_word = self._by_word(declared)
+
+    def _by_word(self, declared: dict) -> bool:
+        normalizer = declared.get("normalizer") or {}
+        steps = [n.get("type") for n in normalizer.get("normalizers", [normalizer])]
+        if "Lowercase" not in steps or not self.last.any() or any(re.search(rb"[\x20\x09-\x0D]", t) for t in self.added):
+            return False
+        self.by_word = True
+        data, offsets = textops.pack(pa.array(PROBES))
+        try:
+            ids, cuts = self.encode(data, offsets)
+        except ValueError:
+            return False
+        finally:
+            self.forget()
+        whole = [e.ids for e in self.tokenizer.encode_batch_fast(PROBES, add_special_tokens=False)]
+        return [ids[a:b].tolist() for a, b in zip(cuts[:-1], cuts[1:], strict=True)] == whole
 
     def forget(self) -> None:
-        self.keys = np.zeros(0, np.uint64)
-        self.slot = np.zeros(0, np.int64)
+        self.slots: dict[bytes, int] = {}
         self.ids: list[np.ndarray] = []
         self.ends = np.zeros(1, np.int64)
 
@@ -96,48 +117,69 @@ class WordEncoder:
             ids[_ranges(starts[~plain], counts[~plain])] = np.concatenate(rest)
         return ids, counts
 
-    def _learn(self, keys: np.ndarray, names: list[str]) -> None:
-        ids, sizes = self._encode_words(names)
+    def _learn(self, names: list[bytes]) -> None:
+        ids, sizes = self._encode_words([name.decode() for name in names])
         self.ids.append(ids)
-        self.slot = np.concatenate((self.slot, np.arange(len(self.keys), len(self.keys) + len(keys))))
+        for name in names:
+            self.slots[name] = len(self.slots)
         self.ends = np.concatenate((self.ends, self.ends[-1] + np.cumsum(sizes)))
-        self.keys = np.concatenate((self.keys, keys))
-        order = np.argsort(self.keys, kind="stable")
-        self.keys, self.slot = self.keys[order], self.slot[order]
+
+    def _whole(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        raw = data.tobytes()
+        found = self._ids([raw[i:j].decode() for i, j in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)], 16)
+        return np.concatenate([*found, np.zeros(0, np.uint32)]), np.cumsum([0, *map(len, found)])
 
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(ids, offsets in ids) of the texts."""
-        data = textops.lower_ascii(data)
+        if not self.by_word:
+            return self._whole(data, offsets)
+        given, data = data, textops.lower_ascii(data)
         a, b, first = textops.words(data, offsets)
         if not len(a):
             return np.zeros(0, np.uint32), np.zeros(len(offsets), np.int64)
+        # Also where only the lowered word would hold one.
+        special = self._special(given, a) | self._special(data, a)
+        for i in np.flatnonzero(special).tolist():
+            data[a[i] : b[i]] = given[a[i] : b[i]]
         # Split off the marks at the end of a word.
         quotes = np.concatenate(([0], np.cumsum(data == 39)))
         mark = _PUNCTUATION[data]
         since = np.maximum.accumulate(np.where(mark, -1, np.arange(len(data))))  # last place that is no mark
         cut = since[b - 1] + 1
-        split = (cut < b) & (cut > a) & _ALNUM[data[np.maximum(cut - 1, 0)]] & (quotes[b] == quotes[a])
+        split = (cut < b) & (cut > a) & _ALNUM[data[np.maximum(cut - 1, 0)]] & (quotes[b] == quotes[a]) & ~special
         starts = np.concatenate((a, cut[split]))
         ends = np.concatenate((np.where(split, cut, b), b[split]))
         order = np.argsort(starts, kind="stable")
         starts, ends = starts[order], ends[order]
         cuts = np.searchsorted(starts, offsets)
-        own, at, inverse = np.unique(textops.Rolling(data).of(starts, ends), return_index=True, return_inverse=True)
-        if len(self.keys) + len(own) > REMEMBERED:
+        codes, names = textops.distinct(data, starts, ends)
+        if len(self.slots) + len(names) > REMEMBERED:
             self.forget()
-        place = np.minimum(np.searchsorted(self.keys, own), max(0, len(self.keys) - 1))
-        new = self.keys[place] != own if len(self.keys) else np.ones(len(own), bool)
-        if new.any():
-            raw = data.tobytes()
-            self._learn(own[new], [raw[i:j].decode() for i, j in zip(starts[at[new]].tolist(), ends[at[new]].tolist(), strict=True)])
+        new = [name for name in names if name not in self.slots]
+        if new:
+            self._learn(new)
         if len(self.ids) > 1:
             self.ids = [np.concatenate(self.ids)]
-        used = self.slot[np.searchsorted(self.keys, own)][inverse]
+        used = np.array([self.slots[name] for name in names], np.int64)[codes]
         sizes = self.ends[used + 1] - self.ends[used]
         total = np.concatenate(([0], np.cumsum(sizes)))
         return self.ids[0][_ranges(self.ends[used], sizes)], total[cuts]
 
 
+    def _special(self, data: np.ndarray, starts: np.ndarray) -> np.ndarray:
+        """Which words hold an added token, as it is written there."""
+        out = np.zeros(len(starts), bool)
+        raw = data.tobytes()
+        for token in self.added:
+            at = raw.find(token) if token else -1
+            while at >= 0:
+                out[np.searchsorted(starts, at, "right") - 1] = True
+                at = raw.find(token, at + 1)
+        return out
+
+
+#: Texts that a tokenizer must encode word by word as it does whole.
+PROBES = ["Hello, World's 42 times!?  (so-called) a.b...", "don't \t\nÉTÉ naïve §9 x_y 語 '' it's,", "A1b2 -- <i> 3.14% \u2003end "]
 _encoders: dict[str, WordEncoder] = {}
 
 

@@ -3,17 +3,21 @@
 from __future__ import annotations
 
 import hashlib
+import json
 import math
 import random
 import re
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
+import public_tokenizers
+import pyarrow as pa
 import pytest
 import xxhash
+from tokenizers import Tokenizer
 
-from millrace.llm import joins, prefix_trie, simhash, whitening
+from millrace.llm import bpe, jaccard, joins, lines, prefix_trie, simhash, suffix_dedup, textops, token_files, whitening
 from millrace.llm.queries import QUERIES
 from millrace.llm.shipping import ship
 from millrace.operators import ordered
@@ -340,3 +344,108 @@ def test_jacobi_on_the_cholesky_factor(rank):
     assert np.allclose(axes.T @ axes, np.eye(len(values)), atol=1e-9)
     assert np.allclose(axes * values @ axes.T, v, atol=1e-10)
     assert np.allclose(values, np.sort(np.linalg.eigvalsh(v))[::-1][: len(values)], rtol=1e-6, atol=1e-12)
+
+
+# --- Equality is told by contents: a Thue-Morse word and its complement, which collide in polynomials modulo 2^64
+
+
+def twins(n: int = 1024) -> tuple[str, str]:
+    bits = [k.bit_count() % 2 for k in range(n)]
+    return "".join("ab"[b] for b in bits), "".join("ba"[b] for b in bits)
+
+
+@pytest.mark.parametrize("n", [512, 1024, 4096])
+def test_hashes_tell_twins_apart(n):
+    a, b = (np.frombuffer(t.encode(), np.uint8) for t in twins(n))
+    both, cuts = np.concatenate((a, b)), (np.array([0, n]), np.array([n, 2 * n]))
+    assert len(np.unique(textops.content_hashes(both, *cuts))) == 2
+    for family in (0, 1):
+        assert len(np.unique(textops.PrimeRolling(both, family).of(*cuts))) == 2
+        assert len(np.unique(textops.PrimeRolling(both.astype(np.uint64) * np.uint64(1 << 40), family).of(*cuts))) == 2
+
+
+def test_prime_hashes_depend_on_the_stretch_alone():
+    rng = np.random.default_rng(1)
+    part = rng.integers(0, 1 << 63, 300, dtype=np.uint64)
+    row = np.concatenate((rng.integers(0, 9, 777, dtype=np.uint64), part, part[:50], part))
+    got = textops.PrimeRolling(row).of(np.array([777, 1127, 777, 1077]), np.array([1077, 1427, 827, 1127]))
+    assert got[0] == got[1] and got[2] == got[3] != got[0]
+    a, b = (int(x) for x in rng.integers(0, textops.PRIME, 2))
+    assert int(textops.mulmod(np.array([a], np.uint64), np.array([b], np.uint64))[0]) == a * b % textops.PRIME
+    edge = np.array([textops.PRIME - 1], np.uint64)
+    assert int(textops.mulmod(edge, edge)[0]) == 1
+
+
+def test_twins_in_every_operator(spark):
+    ship(spark)
+    one, two = twins()
+    words_one, words_two = (" ".join(t) for t in twins())
+    kind = "doc_id long, text string"
+    got = {r["doc_id"]: r for r in lines.dedup_lines(spark.createDataFrame([(1, one), (2, "own line\n" + two)], kind)).collect()}
+    assert got[2]["text"] == "own line\n" + two and got[2]["n_removed"] == 0
+    pairs = spark.createDataFrame([(1, one), (2, two), (3, words_one), (4, words_two)], kind)
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    ids = bpe.encode(pairs, path, public_tokenizers.PATTERN)
+    assert all(bytes(r["decoded"]).decode() == {1: one, 2: two, 3: words_one, 4: words_two}[r["doc_id"]] for r in bpe.decode(ids, path).collect())
+    tokens = public_tokenizers.path("word_bpe_49k.json")
+    data, offsets = textops.pack(pa.array([f"{one} {two}"]))
+    assert token_files.WordEncoder(tokens).encode(data, offsets)[0].tolist() == Tokenizer.from_file(tokens).encode(f"{one} {two}", add_special_tokens=False).ids
+    rule = jaccard.Similarity(words=2000)  # one shingle, the whole sequence
+    assert all(r["component_id"] == r["doc_id"] for r in jaccard.jaccard_components(pairs, rule).collect())
+
+
+def test_twins_in_passages(spark):
+    """Contents that collide modulo 2^64 and share nothing of the length asked for."""
+    ship(spark)
+    rng = random.Random(3)
+    both = ["".join(rng.choice("xyz") for _ in range(30)) + t + "".join(rng.choice("xyz") for _ in range(30)) for t in twins(512)]
+    want = {}
+    seen = Counter(t[k : k + 400] for t in both for k in range(len(t) - 399))
+    for i, t in enumerate(both):
+        want[i] = len({k + j for k in range(len(t) - 399) if seen[t[k : k + 400]] > 1 for j in range(400)})
+    df = spark.createDataFrame(list(enumerate(both)), "doc_id long, text string")
+    assert {r["doc_id"]: r["n_removed"] for r in suffix_dedup.remove_repeats(df, 400).collect()} == want
+
+
+# --- Token ids as from the library
+
+
+@pytest.fixture(scope="module")
+def library():
+    path = public_tokenizers.path("word_bpe_49k.json")
+    return path, Tokenizer.from_file(path)
+
+
+def by_words(encoder, texts):
+    ids, cuts = encoder.encode(*textops.pack(pa.array(texts)))
+    return [ids[a:b].tolist() for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+
+
+def test_special_tokens_as_from_the_library(library):
+    path, exact = library
+    encoder = token_files.WordEncoder(path)
+    assert encoder.by_word
+    rng = random.Random(7)
+    parts = ["<|endoftext|>", "<|startoftext|>", "<|EndOfText|>", "Hello", "it's", "a", ",", ".", " ", "  ", "\n", "<|", "|>", "É", "42", "\u00a0", "語", "'", "--"]
+    texts = ["<|endoftext|> hello", "a<|endoftext|>b", "<|startoftext|>Hi", "x <|endoftext|>, y", "<|endoftext|><|endoftext|>", "<|end <|endoftext|"]
+    texts += ["".join(rng.choice(parts) for _ in range(rng.randrange(1, 12))) for _ in range(1500)]
+    assert by_words(encoder, texts) == [exact.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+def test_other_tokenizers_are_taken_whole(library, tmp_path):
+    """A tokenizer that keeps case, or whose matches run over blanks, is asked about whole texts."""
+    declared = json.load(open(library[0]))
+    texts = ["Hello World, it's 3 AM", "a  b\tc", "", "Ünï <|endoftext|> X"]
+    for change in ("case", "blanks"):
+        other = json.loads(json.dumps(declared))
+        if change == "case":
+            other["normalizer"]["normalizers"] = [n for n in other["normalizer"]["normalizers"] if n["type"] != "Lowercase"]
+        else:
+            other["pre_tokenizer"]["pretokenizers"] = [p for p in other["pre_tokenizer"]["pretokenizers"] if p["type"] != "Split"]
+        path = f"{tmp_path}/{change}.json"
+        with open(path, "w") as f:
+            json.dump(other, f)
+        encoder = token_files.WordEncoder(path)
+        exact = Tokenizer.from_file(path)
+        assert not encoder.by_word
+        assert by_words(encoder, texts) == [exact.encode(t, add_special_tokens=False).ids for t in texts]
