@@ -7,8 +7,9 @@ Shingles are ordered by a 64-bit hash, and this one global order is cut into fra
 fragments, one fragment holds the same shingles in both. So each set signs every
 fragment with a hash of the shingles it has there, and sets meet only where a whole
 fragment agrees. The number of fragments depends on the size class of the smaller set;
-a set signs for its own class and for the one below. A shingle that very many documents
-share makes no candidates by itself. Equal sets are one class from the start.
+a set signs for its own class and for the one below. Equal sets are one class from the start.
+A shingle that very many documents share makes candidates only of those that have a fragment
+to themselves with it.
 
 *Verification.* Candidates form clusters. In a cluster, the order is cut into blocks of
 shingles; a matrix product counts the overlap of each block by itself, and the sum over
@@ -27,11 +28,12 @@ from functools import lru_cache
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.llm import textops
 from millrace.llm.graph import components
+from millrace.llm.joins import join_many
 from millrace.operators.staging import stage
 
 TILE = 1500  # sets compared at once; any two sets of a cluster meet in some pair of tiles
@@ -127,24 +129,43 @@ def signatures(tokens: np.ndarray, rule: Similarity) -> np.ndarray:
 
 
 def describe(docs: DataFrame, rule: Similarity) -> DataFrame:
-    """(doc_id, n_shingles, set_hash, sigs) of each document."""
+    """(doc_id, n_shingles, set_hash) of each document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in textops.slices(batches):
             sets = shingle_sets(*textops.pack(piece.column("text")), rule.words)
-            sigs = [signatures(s, rule) if len(s) else s for s in sets]
-            ends = np.cumsum([0, *map(len, sigs)])
-            yield pa.record_batch(
-                [
-                    piece.column("doc_id"),
-                    pa.array([len(s) for s in sets], pa.int64()),
-                    pa.array([hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets], pa.binary()),
-                    textops.lists(ends, np.concatenate(sigs).view(np.int64)),
-                ],
-                names=["doc_id", "n_shingles", "set_hash", "sigs"],
-            )
+            hashes = pa.array([hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets], pa.binary())
+            yield pa.record_batch([piece.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), hashes], names=["doc_id", "n_shingles", "set_hash"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n_shingles long, set_hash binary, sigs array<long>")
+    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n_shingles long, set_hash binary")
+
+
+def meetings(docs: DataFrame, rule: Similarity) -> DataFrame:
+    """(a, b): every document that shares a signature with a smaller one, and the smallest that it meets there.
+
+    Signatures are not kept: they are shuffled once. Documents of one slice that share a
+    signature meet at once, and only the smallest of them goes on to the others, so a signature
+    that very many documents share sends one row a slice.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for piece in textops.slices(batches):
+            sets = shingle_sets(*textops.pack(piece.column("text")), rule.words)
+            own = [signatures(s, rule) if len(s) else s for s in sets]
+            sig, doc = np.concatenate(own), np.repeat(piece.column("doc_id").to_numpy(), [len(s) for s in own])
+            order = np.lexsort((doc, sig))
+            sig, doc = sig[order], doc[order]
+            head = np.concatenate(([True], sig[1:] != sig[:-1])) if len(sig) else np.zeros(0, bool)
+            least = doc[np.flatnonzero(head)][np.cumsum(head) - 1] if len(sig) else doc
+            met = np.unique(np.stack((doc, least))[:, doc != least], axis=1)
+            # Pairs that have met travel under keys of their own, so that they are spread.
+            keys = np.concatenate((sig[head], textops.mix(met[0].astype(np.uint64) * np.uint64(3) ^ textops.mix(met[1].astype(np.uint64)))))
+            partner = pa.array(np.concatenate((doc[head], met[1])), mask=np.arange(len(keys)) < int(head.sum()))
+            yield pa.record_batch([pa.array(keys.view(np.int64)), pa.array(np.concatenate((doc[head], met[0]))), partner], names=["sig", "a", "b"])
+
+    rows = docs.filter("doc_id is not null").select("doc_id", "text").mapInArrow(run, "sig long, a long, b long")
+    hub = F.min(F.when(F.col("b").isNull(), F.col("a"))).over(Window.partitionBy("sig"))
+    return rows.select("a", F.coalesce("b", hub).alias("b")).filter("a <> b").distinct()
 
 
 def linked_groups(sets: list[np.ndarray], ids: np.ndarray, rule: Similarity) -> tuple[np.ndarray, np.ndarray]:
@@ -250,12 +271,13 @@ def jaccard_components(docs: DataFrame, rule: Similarity) -> DataFrame:
     # The representatives of equal sets; sets without shingles are linked with nothing.
     classes = stage(described.filter("n_shingles > 0").groupBy("set_hash").agg(F.min("doc_id").alias("class_id")), "representatives")
     own = F.when(F.col("n_shingles") > 0, F.col("class_id")).otherwise(F.col("doc_id"))
-    members = described.drop("sigs").join(classes, "set_hash", "left").select("doc_id", "n_shingles", own.alias("class_id"))
-    members = stage(members, "classes")
-    reps = members.filter("doc_id = class_id and n_shingles > 0").select("doc_id")
-    signed = described.select("doc_id", "sigs").join(reps, "doc_id", "left_semi").select("doc_id", F.explode("sigs").alias("sig"))
-    shared = signed.groupBy("sig").agg(F.min("doc_id").alias("hub"), F.max("doc_id").alias("last")).filter("hub < last")
-    star = stage(signed.join(shared.select("sig", "hub"), "sig").filter("doc_id <> hub").select("doc_id", "hub").distinct(), "stars")
+    members = stage(join_many(described, classes, "set_hash").select("doc_id", "n_shingles", own.alias("class_id")), "classes")
+    # Copies meet where their class does.
+    of = members.filter("n_shingles > 0").groupBy("doc_id").agg(F.min("class_id").alias("class_id"))
+    met = stage(meetings(docs, rule), "meetings")
+    met = stage(join_many(met, of.select(F.col("doc_id").alias("b"), F.col("class_id").alias("hub")), "b", "inner").select("a", "hub"), "meetings")
+    star = join_many(met, of.select(F.col("doc_id").alias("a"), "class_id"), "a", "inner").filter("class_id <> hub")
+    star = stage(star.select(F.greatest("class_id", "hub").alias("doc_id"), F.least("class_id", "hub").alias("hub")).distinct(), "stars")
     clusters = components(star)
     sizes = clusters.groupBy("component").count()
     clusters = stage(clusters.join(sizes, "component").select(F.col("node").alias("doc_id"), F.col("component").alias("cluster"), F.col("count").alias("size")), "clusters")
