@@ -13,9 +13,12 @@ to themselves with it.
 
 *Verification.* Candidates form clusters. In a cluster, the order is cut into blocks of
 shingles; a matrix product counts the overlap of each block by itself, and the sum over
-blocks is the exact overlap. A cluster larger than a tile is first thinned out by
-comparing each set with the smallest set it meets, then dealt over pairs of tiles; tiles
-within one component that is known already are not compared.
+blocks is the exact overlap. In a cluster larger than a tile, each set is first compared with
+the smallest set it meets, which makes components; then *parity sketches* are compared by pairs
+of tiles, a bit a shingle or so, between sets of different components. Every difference of two
+sets flips one bit of the sketch, so two sketches that differ in more bits than the rule allows
+differences rule the pair out, and no linked pair is lost. Of the pairs left, the overlap is
+counted.
 """
 
 from __future__ import annotations
@@ -36,7 +39,7 @@ from millrace.llm.graph import components
 from millrace.llm.joins import join_many
 from millrace.operators.staging import stage
 
-TILE = 1500  # sets compared at once; any two sets of a cluster meet in some pair of tiles
+TILE = 1500  # sets or sketches compared at once; any two of a cluster meet in some pair of tiles
 SEEDS = 8
 
 
@@ -299,8 +302,9 @@ def _large_clusters(held: DataFrame, star: DataFrame, rule: Similarity) -> DataF
     parts = held.select("doc_id", "cluster").join(known, "doc_id", "left").withColumn("part", F.coalesce("part", "doc_id"))
     counts = parts.groupBy("cluster", "part").count()
     # A component larger than a tile gets tiles of its own; the others share the rest.
-    parts = parts.join(counts, ["cluster", "part"]).select("doc_id", "cluster", F.when(F.col("count") > TILE, F.col("part")).otherwise(F.lit(-1)).alias("lane"))
+    parts = parts.join(counts, ["cluster", "part"]).select("doc_id", "cluster", "part", F.when(F.col("count") > TILE, F.col("part")).otherwise(F.lit(-1)).alias("lane"))
     lanes = parts.groupBy("cluster", "lane").agg(F.ceil(F.count("*") / F.lit(TILE)).alias("tiles"))
+    # Sketches only: a set is sent once a pair of tiles, so it must be small.
     tiles = lanes.select("cluster", "lane", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)).alias("tile"))
     x = tiles.select("cluster", F.struct("lane", "tile").alias("x"))
     y = tiles.select("cluster", F.struct("lane", "tile").alias("y"))
@@ -309,7 +313,81 @@ def _large_clusters(held: DataFrame, star: DataFrame, rule: Similarity) -> DataF
     sides = pairs.select("cluster", "pair", F.explode(F.array_distinct(F.array("x", "y"))).alias("at"))
     sides = sides.select("cluster", "pair", F.col("at.lane").alias("lane"), F.col("at.tile").alias("tile"))
     placed = parts.join(lanes, ["cluster", "lane"]).withColumn("tile", F.pmod(F.xxhash64("doc_id"), F.col("tiles")))
-    placed = placed.join(held.select("doc_id", "tokens"), "doc_id")
-    work = placed.join(sides, ["cluster", "lane", "tile"]).select("cluster", "pair", "doc_id", "tokens")
-    found = work.groupBy("cluster", "pair").applyInPandas(_group_links(rule), "a long, b long")
-    return first.union(found)
+    placed = stage(placed.join(_sketches(held), "doc_id"), "sketches")
+    work = placed.join(sides, ["cluster", "lane", "tile"]).select("cluster", "pair", "doc_id", "part", "n", "sketch")
+    near = stage(work.groupBy("cluster", "pair").applyInPandas(_near_sketches(rule), "a long, b long").distinct(), "near-sketches")
+    return first.union(_verified(near, held, rule))
+
+
+def parity_sketch(tokens: np.ndarray) -> bytes:
+    """As many bits as there are tokens, up to the next power of two, each the parity of the tokens that fall on it."""
+    size = 1 << max(8, (len(tokens) - 1).bit_length())
+    parity = np.bincount((tokens & np.uint64(size - 1)).astype(np.int64), minlength=size) & 1
+    return np.packbits(parity.astype(np.uint8), bitorder="little").tobytes()
+
+
+def near_sketches(sizes: np.ndarray, sketches: list[bytes], part: np.ndarray, rule: Similarity) -> tuple[np.ndarray, np.ndarray]:
+    """(i, j) of all sets of different parts whose sizes and sketches allow a link."""
+    words = np.array([len(s) // 8 for s in sketches])
+    left, right = [], []
+    for width in np.unique(words).tolist():
+        # A linked set is at most 1 / similarity as large, so its sketch is as long or the next longer ones.
+        own, other = np.flatnonzero(words == width), np.flatnonzero(words >= width)
+        folded = np.zeros((len(other), width), np.uint64)
+        for k, i in enumerate(other.tolist()):
+            folded[k] = np.bitwise_xor.reduce(np.frombuffer(sketches[i], np.uint64).reshape(-1, width), axis=0)
+        place = np.searchsorted(other, own)
+        step = max(1, (1 << 21) // max(1, folded.size))
+        for k in range(0, len(own), step):
+            rows = own[k : k + step]
+            differ = np.zeros((len(rows), len(other)), np.int64)
+            for w in range(width):
+                differ += np.bitwise_count(folded[place[k : k + step], w][:, None] ^ folded[None, :, w])
+            both = sizes[rows][:, None] + sizes[other][None, :]
+            smaller, larger = np.minimum(sizes[rows][:, None], sizes[other][None, :]), np.maximum(sizes[rows][:, None], sizes[other][None, :])
+            good = ((rule.den + rule.num) * differ <= (rule.den - rule.num) * both) & (rule.den * smaller >= rule.num * larger)
+            good &= part[rows][:, None] != part[other][None, :]
+            i, j = np.nonzero(good)
+            left.append(rows[i])
+            right.append(other[j])
+    i, j = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (left, right))
+    pairs = np.unique(np.stack((np.maximum(i, j), np.minimum(i, j))), axis=1)
+    return pairs[0], pairs[1]
+
+
+def _sketches(held: DataFrame) -> DataFrame:
+    """(doc_id, n, sketch) of the sets of ``held``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = [np.frombuffer(b.as_buffer(), np.uint64) for b in batch.column("tokens")]
+            columns = [batch.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), pa.array([parity_sketch(s) for s in sets], pa.binary())]
+            yield pa.record_batch(columns, names=["doc_id", "n", "sketch"])
+
+    return held.select("doc_id", "tokens").mapInArrow(run, "doc_id long, n long, sketch binary")
+
+
+def _near_sketches(rule: Similarity):
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
+        i, j = near_sketches(rows["n"].to_numpy(), rows["sketch"].tolist(), rows["part"].to_numpy(), rule)
+        ids = rows["doc_id"].to_numpy()
+        return pd.DataFrame({"a": np.maximum(ids[i], ids[j]), "b": np.minimum(ids[i], ids[j])})
+
+    return run
+
+
+def _verified(pairs: DataFrame, held: DataFrame, rule: Similarity) -> DataFrame:
+    """The pairs (a, b) whose overlap, counted whole, links them."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            good = []
+            for x, y in zip(batch.column("x"), batch.column("y"), strict=True):
+                x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
+                overlap = len(np.intersect1d(x, y, assume_unique=True))
+                good.append(bool(rule.linked(np.int64(overlap), np.int64(len(x) + len(y) - overlap))))
+            yield pa.RecordBatch.from_arrays([batch.column(c).filter(pa.array(good, pa.bool_())) for c in ("a", "b")], names=["a", "b"])
+
+    both = pairs.join(held.select(F.col("doc_id").alias("a"), F.col("tokens").alias("x")), "a")
+    both = both.join(held.select(F.col("doc_id").alias("b"), F.col("tokens").alias("y")), "b")
+    return both.select("a", "b", "x", "y").mapInArrow(run, "a long, b long")

@@ -449,3 +449,49 @@ def test_other_tokenizers_are_taken_whole(library, tmp_path):
         exact = Tokenizer.from_file(path)
         assert not encoder.by_word
         assert by_words(encoder, texts) == [exact.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+# --- Large clusters of the Jaccard join
+
+
+@pytest.mark.parametrize("rule", [jaccard.Similarity(), jaccard.Similarity(words=3, num=90, den=100)])
+def test_sketches_lose_no_linked_pair(rule):
+    rng = np.random.default_rng(5)
+    sets = []
+    for size in (1, 4, 9, 60, 255, 256, 257, 300, 1000, 5000):
+        base = textops.mix(rng.integers(0, 1 << 63, size, dtype=np.uint64))
+        for lost in (0, 0.02, 0.05, 0.1, 0.15, 0.2, 0.3):
+            own = base[: max(1, int(size * (1 - lost)))]
+            fresh = textops.mix(rng.integers(0, 1 << 63, int(size * lost / 3), dtype=np.uint64))
+            sets.append(np.unique(np.concatenate((own, fresh))))
+    n = np.array([len(s) for s in sets])
+    part = np.arange(len(sets))
+    i, j = jaccard.near_sketches(n, [jaccard.parity_sketch(s) for s in sets], part, rule)
+    near = set(zip(i.tolist(), j.tolist(), strict=True))
+    overlaps = {(a, b): len(np.intersect1d(sets[a], sets[b])) for a in part for b in part[:a]}
+    linked = {(int(a), int(b)) for (a, b), o in overlaps.items() if rule.linked(np.int64(o), np.int64(n[a] + n[b] - o))}
+    assert linked <= near and len(near) < 3 * len(linked)
+    same = jaccard.near_sketches(n, [jaccard.parity_sketch(s) for s in sets], np.zeros(len(sets)), rule)
+    assert len(same[0]) == 0
+
+
+@pytest.mark.parametrize("tile", [2, 7])
+def test_components_of_large_clusters(spark, monkeypatch, tile):
+    """Families of near copies that frequent passages join into one cluster, in tiles of a few sets."""
+    ship(spark)
+    monkeypatch.setattr(jaccard, "TILE", tile)
+    rng = random.Random(8)
+    make = lambda n: [f"w{rng.randrange(400)}" for _ in range(n)]
+    common, texts = make(30), []
+    for family in range(6):
+        base = make(rng.randrange(20, 90)) + common
+        for _ in range(5):
+            copy = list(base)
+            for _ in range(rng.randrange(4)):
+                copy[rng.randrange(len(copy))] = "edit"
+            texts.append(" ".join(copy))
+    rule = jaccard.Similarity()
+    sets = {k: {tuple(w[i : i + 5]) for i in range(len(w) - 4)} for k, w in ((k, t.split()) for k, t in enumerate(texts))}
+    pairs = {(a, b) for a in sets for b in sets if b < a and 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b])}
+    got = jaccard.jaccard_components(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), rule)
+    assert {r["doc_id"]: r["component_id"] for r in got.collect()} == brute_groups(sorted(sets), pairs)
