@@ -102,10 +102,13 @@ def powers(n: int, family: int = 0) -> tuple[np.ndarray, np.ndarray]:
 
 
 def flat(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(bytes, offsets) of stretches, one after the other."""
+    """(bytes, offsets) of stretches that rise and do not overlap, one after the other."""
     lengths = ends - starts
-    offsets = np.concatenate(([0], np.cumsum(lengths)))
-    return data[np.arange(offsets[-1]) + np.repeat(starts - offsets[:-1], lengths)], offsets
+    filled = lengths > 0
+    steps = np.zeros(len(data) + 1, np.int8)
+    steps[starts[filled]] = 1
+    steps[ends[filled]] -= 1
+    return data[np.cumsum(steps[:-1], dtype=np.int8).view(bool)], np.concatenate(([0], np.cumsum(lengths)))
 
 
 def distinct(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, list[bytes]]:
@@ -113,7 +116,9 @@ def distinct(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np
     own, offsets = flat(data, starts, ends)
     buffers = [None, pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(own)]
     coded = pa.Array.from_buffers(pa.binary(), len(starts), buffers).dictionary_encode()
-    return coded.indices.to_numpy(zero_copy_only=False).astype(np.int64), coded.dictionary.to_pylist()
+    names, cuts = pack(coded.dictionary)
+    raw, cuts = names.tobytes(), cuts.tolist()
+    return coded.indices.to_numpy(zero_copy_only=False).astype(np.int64), [raw[a:b] for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
 
 
 _seen: dict[bytes, int] = {}

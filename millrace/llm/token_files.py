@@ -16,6 +16,7 @@ import os
 import re
 import uuid
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -155,12 +156,14 @@ class WordEncoder:
         codes, names = textops.distinct(data, starts, ends)
         if len(self.slots) + len(names) > REMEMBERED:
             self.forget()
-        new = [name for name in names if name not in self.slots]
-        if new:
-            self._learn(new)
+        slots = np.fromiter(map(self.slots.get, names, repeat(-1)), np.int64, len(names))
+        new = np.flatnonzero(slots < 0)
+        if len(new):
+            slots[new] = np.arange(len(self.slots), len(self.slots) + len(new))
+            self._learn([names[i] for i in new.tolist()])
         if len(self.ids) > 1:
             self.ids = [np.concatenate(self.ids)]
-        used = np.array([self.slots[name] for name in names], np.int64)[codes]
+        used = slots[codes]
         sizes = self.ends[used + 1] - self.ends[used]
         total = np.concatenate(([0], np.cumsum(sizes)))
         return self.ids[0][_ranges(self.ends[used], sizes)], total[cuts]
