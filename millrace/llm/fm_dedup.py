@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm import textops
-from millrace.llm.passages import Windows, by_anchor, contents, index_rows, indexed, live_segments, loose_windows, open_anchors
+from millrace.llm.passages import Windows, by_anchor, contents, finer_pieces, index_rows, indexed, live_segments, loose_windows, open_anchors, pieces
 from millrace.llm.suffix_dedup import MARK, _marks
 from millrace.operators.staging import stage
 
@@ -235,31 +235,41 @@ def _answer(length: int):
 
 def earlier_spans(docs: DataFrame, length: int = 50) -> DataFrame:
     """(doc_id, first, stop): ranges of window starts, in words, that a document with a smaller id has too."""
-    w = Windows("word", length, min(8, max(1, length // 2)))
+    return stage(_spans(pieces(docs), Windows("word", length, min(8, max(1, length // 2)))).drop("base"), "spans")
+
+
+def _spans(docs: DataFrame, w: Windows) -> DataFrame:
+    """``earlier_spans`` of pieces, with their base."""
     found = live_segments(docs, w)
     held = stage(contents(found), "contents")
     anchors = stage(open_anchors(held, w), "anchors")
     key = ["c1", "c2"]
     # Later documents with the same content: all windows go.
     later = found.join(held.filter("copies > 1").select("anchor", *key, F.col("doc_id").alias("least")), ["anchor", *key])
-    later = later.filter("doc_id > least").select("doc_id", "windows", F.explode("starts").alias("first"))
-    later = later.select("doc_id", "first", (F.col("first") + F.col("windows")).alias("stop"))
+    later = later.filter("doc_id > least").select("doc_id", "base", "windows", F.explode("starts").alias("first"))
+    later = later.select("doc_id", "base", "first", (F.col("first") + F.col("windows")).alias("stop"))
     # The smallest document of a content: what the index says of it.
-    chosen = ["anchor", *key, "doc_id", "start", "windows"]
+    chosen = ["anchor", *key, "doc_id", "base", "start", "windows"]
     cold = held.join(anchors.filter("not hot"), "anchor").select(*chosen)
-    answers = indexed(by_anchor(index_rows(docs, cold, w)), _answer(length), ANSWER, SHARD)
+    answers = indexed(by_anchor(index_rows(docs, cold, w)), _answer(w.length), ANSWER, SHARD)
     hot = held.join(anchors.filter("hot"), "anchor").select(*chosen)
     if not hot.isEmpty():
-        loose = stage(loose_windows(docs, hot, w), "windows")
-        least = stage(loose.groupBy("w1", "w2").agg(F.min("doc_id").alias("least")), "first-windows")
-        loose = loose.join(least, ["w1", "w2"]).filter("doc_id > least").join(hot.select(*key, "start"), key)
-        answers = answers.union(loose.select(*key, (F.col("at") - F.col("start")).alias("first"), (F.col("at") - F.col("start") + 1).alias("stop")))
+        if finer := w.finer():
+            # The base of such a piece is the start of its content.
+            rest = _spans(finer_pieces(docs, hot, w), finer).withColumnRenamed("base", "start")
+            rest = rest.join(hot.select(*key, "doc_id", "start"), ["doc_id", "start"])
+        else:
+            loose = stage(loose_windows(docs, hot, w), "windows")
+            least = stage(loose.groupBy("w1", "w2").agg(F.min("doc_id").alias("least")), "first-windows")
+            rest = loose.join(least, ["w1", "w2"]).filter("doc_id > least").join(hot.select(*key, "start"), key)
+            rest = rest.select(*key, "start", F.col("at").alias("first"), (F.col("at") + 1).alias("stop"))
+        answers = answers.union(rest.select(*key, (F.col("first") - F.col("start")).alias("first"), (F.col("stop") - F.col("start")).alias("stop")))
     answers = stage(answers, "answers")
     own = held.select(*key, F.col("doc_id").alias("least"))
-    told = found.select("doc_id", *key, "starts").join(answers, key).join(own, key).filter("doc_id = least")
-    told = told.select("doc_id", F.explode("starts").alias("start"), "first", "stop")
-    told = told.select("doc_id", (F.col("start") + F.col("first")).alias("first"), (F.col("start") + F.col("stop")).alias("stop"))
-    return stage(later.union(told), "spans")
+    told = found.select("doc_id", "base", *key, "starts").join(answers, key).join(own, key).filter("doc_id = least")
+    told = told.select("doc_id", "base", F.explode("starts").alias("start"), "first", "stop")
+    told = told.select("doc_id", "base", (F.col("start") + F.col("first")).alias("first"), (F.col("start") + F.col("stop")).alias("stop"))
+    return later.union(told)
 
 
 def remove_repeats(docs: DataFrame, length: int = 50) -> DataFrame:

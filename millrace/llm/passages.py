@@ -9,15 +9,21 @@ by a cryptographic hash of 128 bits, are handled as one *content*; of each, one
 to the index of its anchor, with its text.
 
 Anchors with more than ``HOT_UNITS`` units of different contents would make one task too
-large; their windows are told apart one by one, by two hashes modulo a prime, in an aggregation
-that Spark spreads over all tasks (``loose_windows``).
+large: a short stretch that very many documents have, each in a context of its own. Their contents
+become *pieces* that are cut anew by anchors of half a window (``Windows.finer``), which contexts
+seldom share. Windows of anchors that are hot even so are told apart one by one, by two hashes
+modulo a prime, in an aggregation that Spark spreads over all tasks (``loose_windows``).
+
+All functions work on pieces: ``doc_id``, ``base`` and ``text``, where the text is the part of the
+document from unit ``base`` on. A whole document is one piece with base 0; windows of a document
+lie in one piece each. Places are always counted from the start of the document.
 """
 
 from __future__ import annotations
 
 import hashlib
 from collections.abc import Callable, Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -40,6 +46,11 @@ class Windows:
     length: int
     gram: int
 
+    def finer(self) -> Windows | None:
+        """Windows whose anchors are half as long as they are, if these are shorter."""
+        half = self.length // 2
+        return replace(self, gram=half) if self.gram < half else None
+
     def units(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, Callable]:
         """(units, unit offsets of the texts, text of each stretch of units): bytes, or hashes of words.
 
@@ -58,7 +69,7 @@ class Windows:
         return textops.content_hashes(data, starts, ends), first, texts
 
 
-SEGMENT = "doc_id long, anchor long, c1 long, c2 long, starts array<int>, windows int, multi boolean"
+SEGMENT = "doc_id long, base int, anchor long, c1 long, c2 long, starts array<int>, windows int, multi boolean"
 
 
 def _cut(units: np.ndarray, offsets: np.ndarray, w: Windows) -> tuple[np.ndarray, ...]:
@@ -98,6 +109,11 @@ def _cut(units: np.ndarray, offsets: np.ndarray, w: Windows) -> tuple[np.ndarray
     return text, starts, ends, anchor, multi
 
 
+def pieces(docs: DataFrame) -> DataFrame:
+    """Whole documents as pieces."""
+    return docs.select("doc_id", F.lit(0).alias("base"), "text")
+
+
 def live_segments(docs: DataFrame, w: Windows) -> DataFrame:
     """The segments whose anchor occurs in another segment too, or twice in their own; staged.
 
@@ -113,13 +129,13 @@ def live_segments(docs: DataFrame, w: Windows) -> DataFrame:
                 twice = np.bincount(at, multi, len(own)) > 0
                 yield pa.record_batch([pa.array(own.view(np.int64)), pa.array(n + twice)], names=["anchor", "n"])
 
-    counted = docs.select("doc_id", "text").mapInArrow(run, "anchor long, n long").groupBy("anchor").agg(F.sum("n").alias("n"))
+    counted = docs.select("text").mapInArrow(run, "anchor long, n long").groupBy("anchor").agg(F.sum("n").alias("n"))
     shared = stage(counted.filter("n > 1").select("anchor"), "shared-anchors")
     return stage(segments(docs, w).join(shared, "anchor", "left_semi"), "segments")
 
 
 def segments(docs: DataFrame, w: Windows) -> DataFrame:
-    """The segments of every document; equal segments of one document are one row."""
+    """The segments of every piece; equal segments of one piece are one row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in textops.slices(batches):
@@ -132,30 +148,31 @@ def segments(docs: DataFrame, w: Windows) -> DataFrame:
             order = np.lexsort((starts, c2, c1, text))
             text, starts, ends, anchor, multi, c1, c2 = (x[order] for x in (text, starts, ends, anchor, multi, c1, c2))
             head = np.flatnonzero(np.concatenate(([True], (text[1:] != text[:-1]) | (c1[1:] != c1[:-1]) | (c2[1:] != c2[:-1]))))
-            ids = piece.column("doc_id").to_numpy()
+            ids, base = piece.column("doc_id").to_numpy(), piece.column("base").to_numpy()
             yield pa.record_batch(
                 [
                     pa.array(ids[text[head]]),
+                    pa.array(base[text[head]]),
                     *(pa.array(x[head].view(np.int64)) for x in (anchor, c1, c2)),
-                    textops.lists(np.append(head, len(text)), (starts - offsets[text]).astype(np.int32)),
+                    textops.lists(np.append(head, len(text)), (starts - offsets[text] + base[text]).astype(np.int32)),
                     pa.array((ends - starts)[head].astype(np.int32)),
                     pa.array(multi[head]),
                 ],
-                names=["doc_id", "anchor", "c1", "c2", "starts", "windows", "multi"],
+                names=["doc_id", "base", "anchor", "c1", "c2", "starts", "windows", "multi"],
             )
 
-    return docs.select("doc_id", "text").mapInArrow(run, SEGMENT)
+    return docs.select("doc_id", "base", "text").mapInArrow(run, SEGMENT)
 
 
 def contents(found: DataFrame) -> DataFrame:
-    """One row for each content: its anchor, hash, number of segments, smallest document, a start there, windows, multi."""
-    return found.groupBy("anchor", "c1", "c2").agg(
+    """One row for each content: its anchor, hash, number of segments, smallest document, a piece of it and a start there, windows, multi."""
+    per = found.groupBy("anchor", "c1", "c2").agg(
         F.sum(F.size("starts")).alias("copies"),
-        F.min("doc_id").alias("doc_id"),
-        F.min_by(F.col("starts")[0], "doc_id").alias("start"),
+        F.min(F.struct("doc_id", "base", F.col("starts")[0].alias("start"))).alias("least"),
         F.first("windows").alias("windows"),
         F.max("multi").alias("multi"),
     )
+    return per.select("anchor", "c1", "c2", "copies", "least.*", "windows", "multi")
 
 
 def open_anchors(held: DataFrame, w: Windows) -> DataFrame:
@@ -166,17 +183,17 @@ def open_anchors(held: DataFrame, w: Windows) -> DataFrame:
 
 
 def _wanted(kept: DataFrame) -> DataFrame:
-    """For each document, the segments that are looked at; their number is bounded by its length."""
-    return kept.groupBy("doc_id").agg(F.collect_list(F.struct("start", "windows", "anchor", "c1", "c2")).alias("wanted"))
+    """For each piece, the segments that are looked at; their number is bounded by its length."""
+    return kept.groupBy("doc_id", "base").agg(F.collect_list(F.struct("start", "windows", "anchor", "c1", "c2")).alias("wanted"))
 
 
 def _with_wanted(docs: DataFrame, kept: DataFrame) -> DataFrame:
-    """Documents with the segments wanted of them. The list is written first, so that the optimizer knows its size."""
-    return docs.select("doc_id", "text").join(stage(_wanted(kept), "wanted"), "doc_id")
+    """Pieces with the segments wanted of them. The list is written first, so that the optimizer knows its size."""
+    return docs.select("doc_id", "base", "text").join(stage(_wanted(kept), "wanted"), ["doc_id", "base"])
 
 
 def _slices(batches: Iterator[pa.RecordBatch], w: Windows):
-    """(units, their texts, absolute starts, windows, anchor, c1, c2, doc ids, starts) of the wanted segments of a slice of documents."""
+    """(units, their texts, absolute starts, windows, anchor, c1, c2, doc ids, starts) of the wanted segments of a slice of pieces."""
     for piece in textops.slices(batches):
         units, offsets, texts = w.units(*textops.pack(piece.column("text")))
         lists = piece.column("wanted")
@@ -184,7 +201,8 @@ def _slices(batches: Iterator[pa.RecordBatch], w: Windows):
         text = np.repeat(np.arange(len(lists)), lists.value_lengths().to_numpy(zero_copy_only=False))
         get = lambda name, rows=rows: rows.field(name).to_numpy(zero_copy_only=False)
         start = get("start").astype(np.int64)
-        yield units, texts, offsets[text] + start, get("windows").astype(np.int64), get("anchor"), get("c1"), get("c2"), piece.column("doc_id").to_numpy()[text], start
+        place = offsets[text] + start - piece.column("base").to_numpy()[text]
+        yield units, texts, place, get("windows").astype(np.int64), get("anchor"), get("c1"), get("c2"), piece.column("doc_id").to_numpy()[text], start
 
 
 def index_rows(docs: DataFrame, kept: DataFrame, w: Windows) -> DataFrame:
@@ -200,6 +218,12 @@ def index_rows(docs: DataFrame, kept: DataFrame, w: Windows) -> DataFrame:
     return _with_wanted(docs, kept).mapInArrow(run, "anchor long, c1 long, c2 long, doc_id long, start int, windows int, units binary")
 
 
+def finer_pieces(docs: DataFrame, kept: DataFrame, w: Windows) -> DataFrame:
+    """The chosen segments as pieces; staged."""
+    rows = index_rows(docs, kept, w)
+    return stage(rows.select("doc_id", F.col("start").alias("base"), F.col("units").alias("text")), "pieces")
+
+
 def loose_windows(docs: DataFrame, kept: DataFrame, w: Windows) -> DataFrame:
     """(w1, w2, c1, c2, doc_id, at): every window of the chosen segments, by hashes at two points modulo a prime."""
 

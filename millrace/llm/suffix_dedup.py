@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm import textops
-from millrace.llm.passages import Windows, by_anchor, contents, index_rows, indexed, live_segments, loose_windows, open_anchors
+from millrace.llm.passages import Windows, by_anchor, contents, finer_pieces, index_rows, indexed, live_segments, loose_windows, open_anchors, pieces
 from millrace.operators.staging import stage
 
 FIRST = 5  # symbols in the first sort key
@@ -160,7 +160,11 @@ def _marks(ids: list[int], ranges: list[tuple[int, int]]) -> pa.RecordBatch:
 
 def repeated_spans(docs: DataFrame, length: int = 400) -> DataFrame:
     """(doc_id, first, stop): ranges of window starts that occur elsewhere too; ranges may overlap."""
-    w = Windows("byte", length, min(24, max(1, length // 2)))
+    return stage(_spans(pieces(docs), Windows("byte", length, min(24, max(1, length // 2)))), "spans")
+
+
+def _spans(docs: DataFrame, w: Windows) -> DataFrame:
+    """``repeated_spans`` of pieces."""
     found = live_segments(docs, w)
     held = stage(contents(found), "contents")
     anchors = stage(open_anchors(held, w), "anchors")
@@ -168,15 +172,18 @@ def repeated_spans(docs: DataFrame, length: int = 400) -> DataFrame:
     many = held.filter("copies > 1").select("anchor", "c1", "c2")
     whole = found.join(many, ["anchor", "c1", "c2"]).select("doc_id", "windows", F.explode("starts").alias("first"))
     whole = whole.select("doc_id", "first", (F.col("first") + F.col("windows")).alias("stop"))
-    cold = held.join(anchors.filter("not hot"), "anchor").select("anchor", "c1", "c2", "doc_id", "start", "windows")
-    single = indexed(by_anchor(index_rows(docs, cold, w)), _answer(length), MARK, SHARD)
-    hot = held.join(anchors.filter("hot"), "anchor").select("anchor", "c1", "c2", "doc_id", "start", "windows")
-    if not hot.isEmpty():
+    cold = held.join(anchors.filter("not hot"), "anchor").select("anchor", "c1", "c2", "doc_id", "base", "start", "windows")
+    single = indexed(by_anchor(index_rows(docs, cold, w)), _answer(w.length), MARK, SHARD)
+    hot = held.join(anchors.filter("hot"), "anchor").select("anchor", "c1", "c2", "doc_id", "base", "start", "windows")
+    if hot.isEmpty():
+        return whole.union(single)
+    if finer := w.finer():
+        rest = _spans(finer_pieces(docs, hot, w), finer)
+    else:
         loose = stage(loose_windows(docs, hot, w), "windows")
         twice = stage(loose.groupBy("w1", "w2").count().filter("count > 1").select("w1", "w2"), "repeated-windows")
-        loose = loose.join(twice, ["w1", "w2"]).select("doc_id", F.col("at").alias("first"), (F.col("at") + 1).alias("stop"))
-        single = single.union(loose)
-    return stage(whole.union(single), "spans")
+        rest = loose.join(twice, ["w1", "w2"]).select("doc_id", F.col("at").alias("first"), (F.col("at") + 1).alias("stop"))
+    return whole.union(single).union(rest)
 
 
 def remove_repeats(docs: DataFrame, length: int = 400) -> DataFrame:

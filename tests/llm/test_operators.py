@@ -90,6 +90,40 @@ def test_word_windows(corpus, monkeypatch, hot):
         assert (got[i]["n_words"], got[i]["n_removed"]) == (len(w), sum(gone))
 
 
+@pytest.mark.parametrize(("module", "hot", "last"), [(suffix_dedup, 6000, False), (suffix_dedup, 100, True), (fm_dedup, 2000, False), (fm_dedup, 100, True)])
+def test_frequent_line_in_many_contexts(spark, monkeypatch, module, hot, last):
+    """A line that all documents have, between texts of their own; some share more. Once the finer anchors tell all contexts apart."""
+    monkeypatch.setattr(passages, "HOT_UNITS", hot)
+    depths, loose = [], []
+    monkeypatch.setattr(module, "finer_pieces", lambda *a, own=module.finer_pieces: depths.append(1) or own(*a))
+    monkeypatch.setattr(module, "loose_windows", lambda *a, own=module.loose_windows: loose.append(1) or own(*a))
+    rng = random.Random(5)
+    make = lambda n: " ".join("".join(rng.choice("abcdefghij") for _ in range(rng.randint(2, 7))) for _ in range(n))
+    line, passage = make(12), make(90)
+    texts = [f"{make(60)} {line} {make(60)}" for _ in range(30)]
+    texts += [f"{make(70)} {line} {passage} {make(i)} {line} {make(55)}" for i in range(6)]
+    texts += [f"{texts[0]} {line} {texts[0]}", texts[1], f"{line} {texts[2][100:]}"]
+    docs = spark.createDataFrame([(97 * i % 101, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    got = {r["doc_id"]: r["n_removed"] for r in module.remove_repeats(docs).collect()}
+    want = {}
+    if module is suffix_dedup:
+        seen = Counter(t[k : k + 400] for t in texts for k in range(len(t) - 399))
+        for i, t in enumerate(texts):
+            want[97 * i % 101] = len({k + j for k in range(len(t) - 399) if seen[t[k : k + 400]] > 1 for j in range(400)})
+    else:
+        words = {97 * i % 101: t.split() for i, t in enumerate(texts)}
+        least: dict = {}
+        for i in sorted(words):
+            for k in range(len(words[i]) - 49):
+                least.setdefault(tuple(words[i][k : k + 50]), i)
+        for i, w in words.items():
+            want[i] = len({k + j for k in range(len(w) - 49) if least[tuple(w[k : k + 50])] < i for j in range(50)})
+    assert got == want
+    assert sum(map(bool, want.values())) >= 6
+    assert depths
+    assert bool(loose) == last
+
+
 @pytest.mark.parametrize("tile", [1500, 3])
 @pytest.mark.parametrize("rule", [jaccard.Similarity(3, 90, 100), jaccard.Similarity(), jaccard.Similarity(2, 1, 2)])
 def test_components(corpus, monkeypatch, rule, tile):
