@@ -10,9 +10,10 @@ to the index of its anchor, with its text.
 
 Anchors with more than ``HOT_UNITS`` units of different contents would make one task too
 large: a short stretch that very many documents have, each in a context of its own. Their contents
-become *pieces* that are cut anew by anchors of half a window (``Windows.finer``), which contexts
-seldom share. Windows of anchors that are hot even so are told apart one by one, by two hashes
-modulo a prime, in an aggregation that Spark spreads over all tasks (``loose_windows``).
+become *pieces* that are cut anew by longer and longer anchors (``Windows.finer``), which contexts
+seldom share. Windows of anchors that are hot even so, as those of periodic texts, are told apart
+one by one, by two hashes modulo a prime, in an aggregation that Spark spreads over all tasks
+(``loose_windows``, ``distinct_windows``).
 
 All functions work on pieces: ``doc_id``, ``base`` and ``text``, where the text is the part of the
 document from unit ``base`` on. A whole document is one piece with base 0; windows of a document
@@ -36,6 +37,8 @@ from millrace.operators.staging import stage
 HOT_UNITS = 5 << 18
 #: Windows in a segment at most; longer runs (of one repeated word, say) are cut.
 LONGEST = 4096
+#: Windows that are hashed at a time.
+CHUNK = 1 << 16
 
 
 @dataclass(frozen=True)
@@ -47,9 +50,9 @@ class Windows:
     gram: int
 
     def finer(self) -> Windows | None:
-        """Windows whose anchors are half as long as they are, if these are shorter."""
-        half = self.length // 2
-        return replace(self, gram=half) if self.gram < half else None
+        """The same windows with half as many places for an anchor, unless these are few."""
+        places = (self.length - self.gram) // 2
+        return replace(self, gram=self.length - places) if places >= max(1, self.length // 16) else None
 
     def units(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, Callable]:
         """(units, unit offsets of the texts, text of each stretch of units): bytes, or hashes of words.
@@ -224,24 +227,63 @@ def finer_pieces(docs: DataFrame, kept: DataFrame, w: Windows) -> DataFrame:
     return stage(rows.select("doc_id", F.col("start").alias("base"), F.col("units").alias("text")), "pieces")
 
 
+def _hashed(batches: Iterator[pa.RecordBatch], w: Windows):
+    """(w1, w2, segment, place in the document) of the windows of some wanted segments, and anchor, c1, c2, doc id of these."""
+    for units, _, at, windows, *names, start in _slices(batches, w):
+        a, b = textops.PrimeRolling(units, 0), textops.PrimeRolling(units, 1)
+        done = np.cumsum(windows)
+        k = 0
+        while k < len(at):
+            stop = max(k + 1, int(np.searchsorted(done, done[k] - windows[k] + CHUNK, "right")))
+            n = windows[k:stop]
+            step = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
+            place = np.repeat(at[k:stop], n) + step
+            w1, w2 = (x.of(place, place + w.length).view(np.int64) for x in (a, b))
+            yield w1, w2, np.repeat(np.arange(stop - k), n), (np.repeat(start[k:stop], n) + step).astype(np.int32), [x[k:stop] for x in names]
+            k = stop
+
+
 def loose_windows(docs: DataFrame, kept: DataFrame, w: Windows) -> DataFrame:
     """(w1, w2, c1, c2, doc_id, at): every window of the chosen segments, by hashes at two points modulo a prime."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for units, _, at, windows, _, c1, c2, ids, start in _slices(batches, w):
-            a, b = textops.PrimeRolling(units, 0), textops.PrimeRolling(units, 1)
-            for k in range(0, len(at), 512):
-                n = windows[k : k + 512]
-                step = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
-                place = np.repeat(at[k : k + 512], n) + step
-                columns = [x.of(place, place + w.length).view(np.int64) for x in (a, b)]
-                columns += [np.repeat(x[k : k + 512], n) for x in (c1, c2, ids)]
-                columns.append((np.repeat(start[k : k + 512], n) + step).astype(np.int32))
-                yield pa.record_batch(list(map(pa.array, columns)), names=["w1", "w2", "c1", "c2", "doc_id", "at"])
+        for w1, w2, of, at, (_, *names) in _hashed(batches, w):
+            yield pa.record_batch(list(map(pa.array, (w1, w2, *(x[of] for x in names), at))), names=["w1", "w2", "c1", "c2", "doc_id", "at"])
 
     return _with_wanted(docs, kept).mapInArrow(run, "w1 long, w2 long, c1 long, c2 long, doc_id long, at int")
 
 
+def distinct_windows(docs: DataFrame, kept: DataFrame, w: Windows) -> DataFrame:
+    """(w1, w2, doc_id, first, stop, n): the different windows of the chosen segments, by hashes at two points modulo a prime.
+
+    Those that a segment has once (n is 1) lie at ``first``. Of one that it has more often there is a
+    row with n of 2; all places of such windows are in further rows without hashes, as ranges.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for w1, w2, of, at, (_, _, _, ids) in _hashed(batches, w):
+            order = np.lexsort((at, w2, w1, of))
+            x, y, z = w1[order], w2[order], of[order]
+            head = np.flatnonzero(np.concatenate(([True], (x[1:] != x[:-1]) | (y[1:] != y[:-1]) | (z[1:] != z[:-1]))))
+            times = np.diff(np.append(head, len(x)))
+            again = np.zeros(len(x), bool)
+            again[order] = np.repeat(times > 1, times)
+            first = again.copy()
+            first[1:] &= ~again[:-1] | (of[1:] != of[:-1])
+            last = again.copy()
+            last[:-1] &= ~again[1:] | (of[1:] != of[:-1])
+            a, b, one = np.flatnonzero(first), np.flatnonzero(last), order[head]
+            none = pa.nulls(len(a), pa.int64())
+            columns = [pa.concat_arrays([pa.array(v[one]), none]) for v in (w1, w2)]
+            columns.append(pa.array(ids[of[np.concatenate((one, a))]]))
+            columns.append(pa.array(at[np.concatenate((one, a))]))
+            columns.append(pa.array(at[np.concatenate((one, b))] + np.int32(1)))
+            columns.append(pa.array(np.concatenate((np.minimum(times, 2), np.zeros(len(a)))).astype(np.int32)))
+            yield pa.record_batch(columns, names=["w1", "w2", "doc_id", "first", "stop", "n"])
+
+    return _with_wanted(docs, kept).mapInArrow(run, "w1 long, w2 long, doc_id long, first int, stop int, n int")
+
+
 def by_anchor(rows: DataFrame) -> DataFrame:
     """Bring the segments of an anchor together, in order of anchor."""
     return rows.repartition("anchor").sortWithinPartitions("anchor", "c1", "c2")

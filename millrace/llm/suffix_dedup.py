@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm import textops
-from millrace.llm.passages import Windows, by_anchor, contents, finer_pieces, index_rows, indexed, live_segments, loose_windows, open_anchors, pieces
+from millrace.llm.passages import Windows, by_anchor, contents, distinct_windows, finer_pieces, index_rows, indexed, live_segments, open_anchors, pieces
 from millrace.operators.staging import stage
 
 FIRST = 5  # symbols in the first sort key
@@ -180,9 +180,10 @@ def _spans(docs: DataFrame, w: Windows) -> DataFrame:
     if finer := w.finer():
         rest = _spans(finer_pieces(docs, hot, w), finer)
     else:
-        loose = stage(loose_windows(docs, hot, w), "windows")
-        twice = stage(loose.groupBy("w1", "w2").count().filter("count > 1").select("w1", "w2"), "repeated-windows")
-        rest = loose.join(twice, ["w1", "w2"]).select("doc_id", F.col("at").alias("first"), (F.col("at") + 1).alias("stop"))
+        loose = stage(distinct_windows(docs, hot, w), "windows")
+        twice = loose.filter("n > 0").groupBy("w1", "w2").agg(F.sum("n").alias("times")).filter("times > 1").select("w1", "w2")
+        once = loose.filter("n = 1").join(stage(twice, "repeated-windows"), ["w1", "w2"], "left_semi")
+        rest = once.union(loose.filter("n = 0").select(once.columns)).select("doc_id", "first", "stop")
     return whole.union(single).union(rest)
 
 
