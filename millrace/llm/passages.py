@@ -10,7 +10,7 @@ to the index of its anchor, with its text.
 
 Anchors with more than ``HOT_UNITS`` units of different contents would make one task too
 large: a short stretch that very many documents have, each in a context of its own. Their contents
-become *pieces* that are cut anew by longer and longer anchors (``Windows.finer``), which contexts
+become *pieces* that are cut anew by longer anchors (``Windows.finer``), which contexts
 seldom share. Windows of anchors that are hot even so, as those of periodic texts, are told apart
 one by one, by two hashes modulo a prime, in an aggregation that Spark spreads over all tasks
 (``loose_windows``, ``distinct_windows``).
@@ -50,8 +50,8 @@ class Windows:
     gram: int
 
     def finer(self) -> Windows | None:
-        """The same windows with half as many places for an anchor, unless these are few."""
-        places = (self.length - self.gram) // 2
+        """The same windows with a quarter as many places for an anchor, unless these are few."""
+        places = (self.length - self.gram) // 4
         return replace(self, gram=self.length - places) if places >= max(1, self.length // 16) else None
 
     def units(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, Callable]:
@@ -169,13 +169,17 @@ def segments(docs: DataFrame, w: Windows) -> DataFrame:
 
 def contents(found: DataFrame) -> DataFrame:
     """One row for each content: its anchor, hash, number of segments, smallest document, a piece of it and a start there, windows, multi."""
+    # One number for both places, which the aggregation can keep in its hash table.
+    place = F.shiftleft(F.col("base").cast("long"), 32) + F.col("starts")[0]
     per = found.groupBy("anchor", "c1", "c2").agg(
         F.sum(F.size("starts")).alias("copies"),
-        F.min(F.struct("doc_id", "base", F.col("starts")[0].alias("start"))).alias("least"),
+        F.min("doc_id").alias("doc_id"),
+        F.min_by(place, "doc_id").alias("place"),
         F.first("windows").alias("windows"),
         F.max("multi").alias("multi"),
     )
-    return per.select("anchor", "c1", "c2", "copies", "least.*", "windows", "multi")
+    places = {"base": F.shiftright("place", 32).cast("int"), "start": F.col("place").bitwiseAND((1 << 32) - 1).cast("int")}
+    return per.withColumns(places).drop("place")
 
 
 def open_anchors(held: DataFrame, w: Windows) -> DataFrame:

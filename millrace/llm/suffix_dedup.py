@@ -160,11 +160,11 @@ def _marks(ids: list[int], ranges: list[tuple[int, int]]) -> pa.RecordBatch:
 
 def repeated_spans(docs: DataFrame, length: int = 400) -> DataFrame:
     """(doc_id, first, stop): ranges of window starts that occur elsewhere too; ranges may overlap."""
-    return stage(_spans(pieces(docs), Windows("byte", length, min(24, max(1, length // 2)))), "spans")
+    return _spans(pieces(docs), Windows("byte", length, min(24, max(1, length // 2))))
 
 
 def _spans(docs: DataFrame, w: Windows) -> DataFrame:
-    """``repeated_spans`` of pieces."""
+    """``repeated_spans`` of pieces; staged."""
     found = live_segments(docs, w)
     held = stage(contents(found), "contents")
     anchors = stage(open_anchors(held, w), "anchors")
@@ -176,7 +176,7 @@ def _spans(docs: DataFrame, w: Windows) -> DataFrame:
     single = indexed(by_anchor(index_rows(docs, cold, w)), _answer(w.length), MARK, SHARD)
     hot = held.join(anchors.filter("hot"), "anchor").select("anchor", "c1", "c2", "doc_id", "base", "start", "windows")
     if hot.isEmpty():
-        return whole.union(single)
+        return stage(whole.union(single), "spans")
     if finer := w.finer():
         rest = _spans(finer_pieces(docs, hot, w), finer)
     else:
@@ -184,7 +184,7 @@ def _spans(docs: DataFrame, w: Windows) -> DataFrame:
         twice = loose.filter("n > 0").groupBy("w1", "w2").agg(F.sum("n").alias("times")).filter("times > 1").select("w1", "w2")
         once = loose.filter("n = 1").join(stage(twice, "repeated-windows"), ["w1", "w2"], "left_semi")
         rest = once.union(loose.filter("n = 0").select(once.columns)).select("doc_id", "first", "stop")
-    return whole.union(single).union(rest)
+    return stage(whole.union(single).union(rest), "spans")
 
 
 def remove_repeats(docs: DataFrame, length: int = 400) -> DataFrame:
