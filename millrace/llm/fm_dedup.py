@@ -249,17 +249,15 @@ def _spans(docs: DataFrame, w: Windows) -> DataFrame:
     later = later.filter("doc_id > least").select("doc_id", "base", "windows", F.explode("starts").alias("first"))
     later = later.select("doc_id", "base", "first", (F.col("first") + F.col("windows")).alias("stop"))
     # The smallest document of a content: what the index says of it.
-    chosen = ["anchor", *key, "doc_id", "base", "start", "windows"]
-    cold = held.join(anchors.filter("not hot"), "anchor").select(*chosen)
-    answers = indexed(by_anchor(index_rows(docs, cold, w)), _answer(w.length), ANSWER, SHARD)
-    hot = held.join(anchors.filter("hot"), "anchor").select(*chosen)
-    if not hot.isEmpty():
+    cold, hot = index_rows(docs, held, anchors, w)
+    answers = indexed(by_anchor(cold), _answer(w.length), ANSWER, SHARD)
+    if hot is not None:
         if finer := w.finer():
             # The base of such a piece is the start of its content.
-            rest = _spans(finer_pieces(docs, hot, w), finer).withColumnRenamed("base", "start")
+            rest = _spans(finer_pieces(hot), finer).withColumnRenamed("base", "start")
             rest = rest.join(hot.select(*key, "doc_id", "start"), ["doc_id", "start"])
         else:
-            loose = stage(loose_windows(docs, hot, w), "windows")
+            loose = stage(loose_windows(hot, w), "windows")
             least = stage(loose.groupBy("w1", "w2").agg(F.min("doc_id").alias("least")), "first-windows")
             rest = loose.join(least, ["w1", "w2"]).filter("doc_id > least").join(hot.select(*key, "start"), key)
             rest = rest.select(*key, "start", F.col("at").alias("first"), (F.col("at") + 1).alias("stop"))

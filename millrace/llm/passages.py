@@ -191,7 +191,7 @@ def open_anchors(held: DataFrame, w: Windows) -> DataFrame:
 
 def _wanted(kept: DataFrame) -> DataFrame:
     """For each piece, the segments that are looked at; their number is bounded by its length."""
-    return kept.groupBy("doc_id", "base").agg(F.collect_list(F.struct("start", "windows", "anchor", "c1", "c2")).alias("wanted"))
+    return kept.groupBy("doc_id", "base").agg(F.collect_list(F.struct("start", "windows", "anchor", "c1", "c2", "hot")).alias("wanted"))
 
 
 def _with_wanted(docs: DataFrame, kept: DataFrame) -> DataFrame:
@@ -199,73 +199,84 @@ def _with_wanted(docs: DataFrame, kept: DataFrame) -> DataFrame:
     return docs.select("doc_id", "base", "text").join(stage(_wanted(kept), "wanted"), ["doc_id", "base"])
 
 
-def _slices(batches: Iterator[pa.RecordBatch], w: Windows):
-    """(units, their texts, absolute starts, windows, anchor, c1, c2, doc ids, starts) of the wanted segments of a slice of pieces."""
-    for piece in textops.slices(batches):
-        units, offsets, texts = w.units(*textops.pack(piece.column("text")))
-        lists = piece.column("wanted")
-        rows = lists.flatten()
-        text = np.repeat(np.arange(len(lists)), lists.value_lengths().to_numpy(zero_copy_only=False))
-        get = lambda name, rows=rows: rows.field(name).to_numpy(zero_copy_only=False)
-        start = get("start").astype(np.int64)
-        place = offsets[text] + start - piece.column("base").to_numpy()[text]
-        yield units, texts, place, get("windows").astype(np.int64), get("anchor"), get("c1"), get("c2"), piece.column("doc_id").to_numpy()[text], start
+ROW = "anchor long, c1 long, c2 long, doc_id long, start int, windows int, hot boolean, units binary"
 
 
-def index_rows(docs: DataFrame, kept: DataFrame, w: Windows) -> DataFrame:
-    """(anchor, c1, c2, doc_id, start, windows, units): the chosen segments with their text."""
+def _index_rows(docs: DataFrame, kept: DataFrame, w: Windows) -> DataFrame:
+    """The chosen segments with their text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, texts, at, windows, anchor, c1, c2, ids, start in _slices(batches, w):
-            raw = pa.array(texts(at, at + windows + w.length - 1), pa.binary())
-            yield pa.record_batch(
-                [*map(pa.array, (anchor, c1, c2, ids, start.astype(np.int32), windows.astype(np.int32))), raw], names=["anchor", "c1", "c2", "doc_id", "start", "windows", "units"]
-            )
+        for piece in textops.slices(batches):
+            _, offsets, texts = w.units(*textops.pack(piece.column("text")))
+            lists = piece.column("wanted")
+            rows = lists.flatten()
+            text = np.repeat(np.arange(len(lists)), lists.value_lengths().to_numpy(zero_copy_only=False))
+            start, windows = (rows.field(x).to_numpy(zero_copy_only=False).astype(np.int64) for x in ("start", "windows"))
+            at = offsets[text] + start - piece.column("base").to_numpy()[text]
+            columns = {x: rows.field(x) for x in ("anchor", "c1", "c2", "start", "windows", "hot")}
+            columns["doc_id"] = pa.array(piece.column("doc_id").to_numpy()[text])
+            columns["units"] = pa.array(texts(at, at + windows + w.length - 1), pa.binary())
+            names = ["anchor", "c1", "c2", "doc_id", "start", "windows", "hot", "units"]
+            yield pa.record_batch([columns[x] for x in names], names=names)
+
+    return _with_wanted(docs, kept).mapInArrow(run, ROW)
 
-    return _with_wanted(docs, kept).mapInArrow(run, "anchor long, c1 long, c2 long, doc_id long, start int, windows int, units binary")
+
+def index_rows(docs: DataFrame, held: DataFrame, anchors: DataFrame, w: Windows) -> tuple[DataFrame, DataFrame | None]:
+    """The contents of open anchors with their text: those for the index, and those of hot anchors, if there are any.
+
+    The documents are shuffled once for both.
+    """
+    rows = _index_rows(docs, held.join(anchors, "anchor"), w)
+    if anchors.filter("hot").isEmpty():
+        return rows, None
+    rows = stage(rows, "texts")
+    return rows.filter("not hot"), rows.filter("hot")
 
 
-def finer_pieces(docs: DataFrame, kept: DataFrame, w: Windows) -> DataFrame:
-    """The chosen segments as pieces; staged."""
-    rows = index_rows(docs, kept, w)
-    return stage(rows.select("doc_id", F.col("start").alias("base"), F.col("units").alias("text")), "pieces")
+def finer_pieces(hot: DataFrame) -> DataFrame:
+    """Hot contents as pieces; their base is the start of the content."""
+    return hot.select("doc_id", F.col("start").alias("base"), F.col("units").alias("text"))
 
 
 def _hashed(batches: Iterator[pa.RecordBatch], w: Windows):
-    """(w1, w2, segment, place in the document) of the windows of some wanted segments, and anchor, c1, c2, doc id of these."""
-    for units, _, at, windows, *names, start in _slices(batches, w):
+    """(w1, w2, row, place in the document) of all windows of some hot contents, and these."""
+    for piece in textops.slices(batches, "units"):
+        units, offsets, _ = w.units(*textops.pack(piece.column("units")))
         a, b = textops.PrimeRolling(units, 0), textops.PrimeRolling(units, 1)
+        windows, start = np.diff(offsets) - w.length + 1, piece.column("start").to_numpy()
         done = np.cumsum(windows)
         k = 0
-        while k < len(at):
+        while k < len(windows):
             stop = max(k + 1, int(np.searchsorted(done, done[k] - windows[k] + CHUNK, "right")))
             n = windows[k:stop]
             step = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
-            place = np.repeat(at[k:stop], n) + step
+            place = np.repeat(offsets[k:stop], n) + step
             w1, w2 = (x.of(place, place + w.length).view(np.int64) for x in (a, b))
-            yield w1, w2, np.repeat(np.arange(stop - k), n), (np.repeat(start[k:stop], n) + step).astype(np.int32), [x[k:stop] for x in names]
+            yield w1, w2, np.repeat(np.arange(stop - k), n), (np.repeat(start[k:stop], n) + step).astype(np.int32), piece.slice(k, stop - k)
             k = stop
 
 
-def loose_windows(docs: DataFrame, kept: DataFrame, w: Windows) -> DataFrame:
-    """(w1, w2, c1, c2, doc_id, at): every window of the chosen segments, by hashes at two points modulo a prime."""
+def loose_windows(hot: DataFrame, w: Windows) -> DataFrame:
+    """(w1, w2, c1, c2, doc_id, at): every window of hot contents, by hashes at two points modulo a prime."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for w1, w2, of, at, (_, *names) in _hashed(batches, w):
-            yield pa.record_batch(list(map(pa.array, (w1, w2, *(x[of] for x in names), at))), names=["w1", "w2", "c1", "c2", "doc_id", "at"])
+        for w1, w2, of, at, rows in _hashed(batches, w):
+            yield pa.record_batch([pa.array(w1), pa.array(w2), *(rows.column(x).take(pa.array(of)) for x in ("c1", "c2", "doc_id")), pa.array(at)], names=["w1", "w2", "c1", "c2", "doc_id", "at"])
 
-    return _with_wanted(docs, kept).mapInArrow(run, "w1 long, w2 long, c1 long, c2 long, doc_id long, at int")
+    return hot.mapInArrow(run, "w1 long, w2 long, c1 long, c2 long, doc_id long, at int")
 
 
-def distinct_windows(docs: DataFrame, kept: DataFrame, w: Windows) -> DataFrame:
-    """(w1, w2, doc_id, first, stop, n): the different windows of the chosen segments, by hashes at two points modulo a prime.
+def distinct_windows(hot: DataFrame, w: Windows) -> DataFrame:
+    """(w1, w2, doc_id, first, stop, n): the different windows of hot contents, by hashes at two points modulo a prime.
 
-    Those that a segment has once (n is 1) lie at ``first``. Of one that it has more often there is a
+    Those that a content has once (n is 1) lie at ``first``. Of one that it has more often there is a
     row with n of 2; all places of such windows are in further rows without hashes, as ranges.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for w1, w2, of, at, (_, _, _, ids) in _hashed(batches, w):
+        for w1, w2, of, at, rows in _hashed(batches, w):
+            ids = rows.column("doc_id").to_numpy()
             order = np.lexsort((at, w2, w1, of))
             x, y, z = w1[order], w2[order], of[order]
             head = np.flatnonzero(np.concatenate(([True], (x[1:] != x[:-1]) | (y[1:] != y[:-1]) | (z[1:] != z[:-1]))))
@@ -285,7 +296,7 @@ def distinct_windows(docs: DataFrame, kept: DataFrame, w: Windows) -> DataFrame:
             columns.append(pa.array(np.concatenate((np.minimum(times, 2), np.zeros(len(a)))).astype(np.int32)))
             yield pa.record_batch(columns, names=["w1", "w2", "doc_id", "first", "stop", "n"])
 
-    return _with_wanted(docs, kept).mapInArrow(run, "w1 long, w2 long, doc_id long, first int, stop int, n int")
+    return hot.mapInArrow(run, "w1 long, w2 long, doc_id long, first int, stop int, n int")
 
 
 def by_anchor(rows: DataFrame) -> DataFrame:

@@ -172,15 +172,14 @@ def _spans(docs: DataFrame, w: Windows) -> DataFrame:
     many = held.filter("copies > 1").select("anchor", "c1", "c2")
     whole = found.join(many, ["anchor", "c1", "c2"]).select("doc_id", "windows", F.explode("starts").alias("first"))
     whole = whole.select("doc_id", "first", (F.col("first") + F.col("windows")).alias("stop"))
-    cold = held.join(anchors.filter("not hot"), "anchor").select("anchor", "c1", "c2", "doc_id", "base", "start", "windows")
-    single = indexed(by_anchor(index_rows(docs, cold, w)), _answer(w.length), MARK, SHARD)
-    hot = held.join(anchors.filter("hot"), "anchor").select("anchor", "c1", "c2", "doc_id", "base", "start", "windows")
-    if hot.isEmpty():
+    cold, hot = index_rows(docs, held, anchors, w)
+    single = indexed(by_anchor(cold), _answer(w.length), MARK, SHARD)
+    if hot is None:
         return stage(whole.union(single), "spans")
     if finer := w.finer():
-        rest = _spans(finer_pieces(docs, hot, w), finer)
+        rest = _spans(finer_pieces(hot), finer)
     else:
-        loose = stage(distinct_windows(docs, hot, w), "windows")
+        loose = stage(distinct_windows(hot, w), "windows")
         twice = loose.filter("n > 0").groupBy("w1", "w2").agg(F.sum("n").alias("times")).filter("times > 1").select("w1", "w2")
         once = loose.filter("n = 1").join(stage(twice, "repeated-windows"), ["w1", "w2"], "left_semi")
         rest = once.union(loose.filter("n = 0").select(once.columns)).select("doc_id", "first", "stop")
