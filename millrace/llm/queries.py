@@ -14,6 +14,7 @@ from millrace.llm import (
     fm_dedup,
     jaccard,
     lines,
+    oracle,
     prefix_trie,
     quality,
     rules,
@@ -122,4 +123,4 @@ QUERIES: dict[str, Query] = {
     "op13_whitening": op13_whitening,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = oracle.SQL
