@@ -200,6 +200,26 @@ def test_outliers_in_symbols(spark):
     assert kept == {i for i in range(400) if i % 40}
 
 
+def test_lines_against_all_pairs(spark):
+    """No document loses more lines than alignment with every earlier one that shares a line takes, and together they lose 0.97 of those."""
+    ship(spark)
+    docs = spark.read.parquet(f"{SF.replace('0.001', '0.01')}/documents.parquet")
+    names: dict[str, int] = {"": 0}
+    coded = {i: [names.setdefault(x.strip(" \t\n\v\f\r"), len(names)) for x in (r["text"] or "").split("\n")] for i, r in by_id(docs).items()}
+    holders: dict[int, list[int]] = {}
+    expected = {}
+    for i in sorted(coded):
+        solid = set(coded[i]) - {0}
+        partners = {h for x in solid for h in holders.get(x, [])}
+        expected[i] = len({k for h in partners for a, b in lines.patience_blocks(coded[h], coded[i]) for k in range(a, b)})
+        for x in solid:
+            holders.setdefault(x, []).append(i)
+    got = {i: r["n_removed"] for i, r in by_id(lines.dedup_lines(docs)).items()}
+    assert set(got) == set(expected)
+    assert all(got[i] <= expected[i] for i in got)
+    assert sum(got.values()) >= 0.97 * sum(expected.values()) > 0
+
+
 @pytest.mark.parametrize("kind", ["lines", "repeats", "symbols"])
 def test_outliers_in_one_statistic(spark, kind):
     """Duplicate lines, repeated words or a tenth of symbols suffice to be rejected, each alone."""
