@@ -139,6 +139,7 @@ def describe(docs: DataFrame, rule: Similarity) -> DataFrame:
             sets = shingle_sets(*textops.pack(piece.column("text")), rule.words)
             hashes = pa.array([hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets], pa.binary())
             yield pa.record_batch([piece.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), hashes], names=["doc_id", "n_shingles", "set_hash"])
+        textops.release()
 
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n_shingles long, set_hash binary")
 
@@ -165,6 +166,7 @@ def meetings(docs: DataFrame, rule: Similarity) -> DataFrame:
             keys = np.concatenate((sig[head], textops.mix(met[0].astype(np.uint64) * np.uint64(3) ^ textops.mix(met[1].astype(np.uint64)))))
             partner = pa.array(np.concatenate((doc[head], met[1])), mask=np.arange(len(keys)) < int(head.sum()))
             yield pa.record_batch([pa.array(keys.view(np.int64)), pa.array(np.concatenate((doc[head], met[0]))), partner], names=["sig", "a", "b"])
+        textops.release()
 
     rows = docs.filter("doc_id is not null").select("doc_id", "text").mapInArrow(run, "sig long, a long, b long")
     hub = F.min(F.when(F.col("b").isNull(), F.col("a"))).over(Window.partitionBy("sig"))
@@ -226,6 +228,7 @@ def _sets_of(docs: DataFrame, wanted: DataFrame, rule: Similarity) -> DataFrame:
             sets = shingle_sets(*textops.pack(piece.column("text")), rule.words)
             columns = [piece.column("doc_id"), *(piece.column(c) for c in names), pa.array([s.tobytes() for s in sets], pa.binary())]
             yield pa.record_batch(columns, names=["doc_id", *names, "tokens"])
+        textops.release()
 
     kinds = ", ".join(f"{c} {t}" for c, t in wanted.dtypes if c != "doc_id")
     return docs.select("doc_id", "text").join(wanted, "doc_id").mapInArrow(run, f"doc_id long, {kinds}, tokens binary")
