@@ -11,14 +11,17 @@ a set signs for its own class and for the one below. Equal sets are one class fr
 A shingle that very many documents share makes candidates only of those that have a fragment
 to themselves with it.
 
+*Sketches.* A common passage has fragments to itself, so documents that share no more than it
+meet too. Of the sets that meet, *parity sketches* are compared, a bit a shingle or so. Every
+difference of two sets flips one bit of the sketch, so two sketches that differ in more bits than
+the rule allows differences rule the pair out, and no linked pair is lost. Only links that sketches
+allow make clusters; those of all meetings would join a share of the table that grows with it.
+
 *Verification.* Candidates form clusters. In a cluster, the order is cut into blocks of
 shingles; a matrix product counts the overlap of each block by itself, and the sum over
 blocks is the exact overlap. In a cluster larger than a tile, each set is first compared with
-the smallest set it meets, which makes components; then *parity sketches* are compared by pairs
-of tiles, a bit a shingle or so, between sets of different components. Every difference of two
-sets flips one bit of the sketch, so two sketches that differ in more bits than the rule allows
-differences rule the pair out, and no linked pair is lost. Of the pairs left, the overlap is
-counted.
+the smallest set it meets, which makes components; then the sketches are compared by pairs
+of tiles, between sets of different components. Of the pairs left, the overlap is counted.
 """
 
 from __future__ import annotations
@@ -132,45 +135,94 @@ def signatures(tokens: np.ndarray, rule: Similarity) -> np.ndarray:
 
 
 def describe(docs: DataFrame, rule: Similarity) -> DataFrame:
-    """(doc_id, n_shingles, set_hash) of each document."""
+    """(doc_id, n_shingles, set_hash, sketch) of each document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in textops.slices(batches):
             sets = shingle_sets(*textops.pack(piece.column("text")), rule.words)
             hashes = pa.array([hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets], pa.binary())
-            yield pa.record_batch([piece.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), hashes], names=["doc_id", "n_shingles", "set_hash"])
+            sketches = pa.array([parity_sketch(s) if len(s) else None for s in sets], pa.binary())
+            columns = [piece.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), hashes, sketches]
+            yield pa.record_batch(columns, names=["doc_id", "n_shingles", "set_hash", "sketch"])
         textops.release()
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n_shingles long, set_hash binary")
+    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n_shingles long, set_hash binary, sketch binary")
 
 
 def meetings(docs: DataFrame, rule: Similarity) -> DataFrame:
-    """(a, b): every document that shares a signature with a smaller one, and the smallest that it meets there.
+    """(met): the documents that share a signature, as a sorted list; each list once.
 
-    Signatures are not kept: they are shuffled once. Documents of one slice that share a
-    signature meet at once, and only the smallest of them goes on to the others, so a signature
-    that very many documents share sends one row a slice.
+    Signatures are not kept: they are shuffled once. Copies in one slice sign once. Documents
+    that share many signatures, as near copies do, make few different lists.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in textops.slices(batches):
             sets = shingle_sets(*textops.pack(piece.column("text")), rule.words)
-            own = [signatures(s, rule) if len(s) else s for s in sets]
-            sig, doc = np.concatenate(own), np.repeat(piece.column("doc_id").to_numpy(), [len(s) for s in own])
-            order = np.lexsort((doc, sig))
-            sig, doc = sig[order], doc[order]
-            head = np.concatenate(([True], sig[1:] != sig[:-1])) if len(sig) else np.zeros(0, bool)
-            least = doc[np.flatnonzero(head)][np.cumsum(head) - 1] if len(sig) else doc
-            met = np.unique(np.stack((doc, least))[:, doc != least], axis=1)
-            # Pairs that have met travel under keys of their own, so that they are spread.
-            keys = np.concatenate((sig[head], textops.mix(met[0].astype(np.uint64) * np.uint64(3) ^ textops.mix(met[1].astype(np.uint64)))))
-            partner = pa.array(np.concatenate((doc[head], met[1])), mask=np.arange(len(keys)) < int(head.sum()))
-            yield pa.record_batch([pa.array(keys.view(np.int64)), pa.array(np.concatenate((doc[head], met[0]))), partner], names=["sig", "a", "b"])
+            ids = piece.column("doc_id").to_numpy()
+            first = {s.tobytes(): k for k, s in reversed(list(enumerate(sets))) if len(s)}
+            signing = sorted(first.values())
+            own = [signatures(sets[k], rule) for k in signing]
+            sig = np.concatenate(own) if own else np.zeros(0, np.uint64)
+            yield pa.record_batch([pa.array(sig.view(np.int64)), pa.array(np.repeat(ids[signing], [len(s) for s in own]))], names=["sig", "doc_id"])
         textops.release()
 
-    rows = docs.filter("doc_id is not null").select("doc_id", "text").mapInArrow(run, "sig long, a long, b long")
-    hub = F.min(F.when(F.col("b").isNull(), F.col("a"))).over(Window.partitionBy("sig"))
-    return rows.select("a", F.coalesce("b", hub).alias("b")).filter("a <> b").distinct()
+    rows = docs.filter("doc_id is not null").select("doc_id", "text").mapInArrow(run, "sig long, doc_id long")
+    # Most signatures are those of one document; they go before anything is collected.
+    same = Window.partitionBy("sig")
+    shared = rows.withColumns({"least": F.min("doc_id").over(same), "most": F.max("doc_id").over(same)}).filter("least < most")
+    return shared.groupBy("sig").agg(F.array_sort(F.collect_set("doc_id")).alias("met")).select("met").distinct()
+
+
+def candidates(met: DataFrame, of: DataFrame, described: DataFrame, rule: Similarity) -> DataFrame:
+    """(doc_id, hub): links between classes that make components of all pairs that meet and whose sketches allow a link.
+
+    Documents that share a common passage meet although they are far apart, and a chain of such
+    meetings would join most of a large table. So sketches are compared among those that meet, in
+    each list by itself, and a list sends on a row a document at most.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = batch.column("set")
+            cuts, flat = lists.offsets.to_numpy(), lists.values
+            ids, sizes, sketches = flat.field("doc_id").to_numpy(), flat.field("n").to_numpy(), flat.field("sketch").to_pylist()
+            found = [sketch_stars(ids[a:b], sizes[a:b], sketches[a:b], rule) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+            pairs = np.unique(np.concatenate(found), axis=0) if found else np.zeros((0, 2), np.int64)
+            yield pa.record_batch([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["doc_id", "hub"])
+
+    # Two lists under one hash would only be compared with each other too.
+    rows = met.select(F.xxhash64("met").alias("list"), F.explode("met").alias("doc_id")).join(of, "doc_id")
+    rows = rows.select("list", F.col("class_id").alias("doc_id")).distinct()
+    lists = rows.groupBy("list").count().filter("count > 1").select("list")
+    known = described.select("doc_id", F.col("n_shingles").alias("n"), "sketch").distinct()
+    sets = rows.join(lists, "list", "left_semi").join(known, "doc_id").groupBy("list").agg(F.collect_list(F.struct("doc_id", "n", "sketch")).alias("set"))
+    return sets.select("set").mapInArrow(run, "doc_id long, hub long").distinct()
+
+
+def allowed(sizes: np.ndarray, others: np.ndarray, differ: np.ndarray, rule: Similarity) -> np.ndarray:
+    """Whether sets of these sizes may be linked if they differ in so many shingles at least."""
+    smaller, larger = np.minimum(sizes, others), np.maximum(sizes, others)
+    return ((rule.den + rule.num) * differ <= (rule.den - rule.num) * (sizes + others)) & (rule.den * smaller >= rule.num * larger)
+
+
+def sketch_stars(ids: np.ndarray, sizes: np.ndarray, sketches: list[bytes], rule: Similarity) -> np.ndarray:
+    """Rows (id, smallest id) of the components that links allowed by sizes and sketches make."""
+    width = min(map(len, sketches)) // 8
+    folded = np.stack([np.bitwise_xor.reduce(np.frombuffer(s, np.uint64).reshape(-1, width), axis=0) for s in sketches])
+    rest, found = np.argsort(ids, kind="stable"), []
+    while len(rest) > 1:
+        root, front, rest = rest[0], [rest[0]], rest[1:]
+        while front and len(rest):
+            x = front.pop()
+            differ = np.bitwise_count(folded[rest] ^ folded[x]).sum(1, dtype=np.int64)
+            near = allowed(sizes[rest], sizes[x], differ, rule)
+            if near.any():
+                joined, rest = rest[near], rest[~near]
+                front.extend(joined.tolist())
+                found.append(np.stack((ids[joined], np.full(len(joined), ids[root])), 1))
+    pairs = np.concatenate(found) if found else np.zeros((0, 2), np.int64)
+    return pairs[pairs[:, 0] != pairs[:, 1]]
 
 
 def linked_groups(sets: list[np.ndarray], ids: np.ndarray, rule: Similarity) -> tuple[np.ndarray, np.ndarray]:
@@ -277,13 +329,11 @@ def jaccard_components(docs: DataFrame, rule: Similarity) -> DataFrame:
     # The representatives of equal sets; sets without shingles are linked with nothing.
     classes = stage(described.filter("n_shingles > 0").groupBy("set_hash").agg(F.min("doc_id").alias("class_id")), "representatives")
     own = F.when(F.col("n_shingles") > 0, F.col("class_id")).otherwise(F.col("doc_id"))
-    members = stage(join_many(described, classes, "set_hash").select("doc_id", "n_shingles", own.alias("class_id")), "classes")
+    members = stage(join_many(described.drop("sketch"), classes, "set_hash").select("doc_id", "n_shingles", own.alias("class_id")), "classes")
     # Copies meet where their class does.
     of = members.filter("n_shingles > 0").groupBy("doc_id").agg(F.min("class_id").alias("class_id"))
     met = stage(meetings(docs, rule), "meetings")
-    met = stage(join_many(met, of.select(F.col("doc_id").alias("b"), F.col("class_id").alias("hub")), "b", "inner").select("a", "hub"), "meetings")
-    star = join_many(met, of.select(F.col("doc_id").alias("a"), "class_id"), "a", "inner").filter("class_id <> hub")
-    star = stage(star.select(F.greatest("class_id", "hub").alias("doc_id"), F.least("class_id", "hub").alias("hub")).distinct(), "stars")
+    star = stage(candidates(met, of, described, rule), "stars")
     clusters = components(star)
     sizes = clusters.groupBy("component").count()
     clusters = stage(clusters.join(sizes, "component").select(F.col("node").alias("doc_id"), F.col("component").alias("cluster"), F.col("count").alias("size")), "clusters")
@@ -324,7 +374,7 @@ def _large_clusters(held: DataFrame, star: DataFrame, rule: Similarity) -> DataF
 
 def parity_sketch(tokens: np.ndarray) -> bytes:
     """As many bits as there are tokens, up to the next power of two, each the parity of the tokens that fall on it."""
-    size = 1 << max(8, (len(tokens) - 1).bit_length())
+    size = 1 << max(9, (len(tokens) - 1).bit_length())
     parity = np.bincount((tokens & np.uint64(size - 1)).astype(np.int64), minlength=size) & 1
     return np.packbits(parity.astype(np.uint8), bitorder="little").tobytes()
 
@@ -346,9 +396,7 @@ def near_sketches(sizes: np.ndarray, sketches: list[bytes], part: np.ndarray, ru
             differ = np.zeros((len(rows), len(other)), np.int64)
             for w in range(width):
                 differ += np.bitwise_count(folded[place[k : k + step], w][:, None] ^ folded[None, :, w])
-            both = sizes[rows][:, None] + sizes[other][None, :]
-            smaller, larger = np.minimum(sizes[rows][:, None], sizes[other][None, :]), np.maximum(sizes[rows][:, None], sizes[other][None, :])
-            good = ((rule.den + rule.num) * differ <= (rule.den - rule.num) * both) & (rule.den * smaller >= rule.num * larger)
+            good = allowed(sizes[rows][:, None], sizes[other][None, :], differ, rule)
             good &= part[rows][:, None] != part[other][None, :]
             i, j = np.nonzero(good)
             left.append(rows[i])
